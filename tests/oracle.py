@@ -1,0 +1,81 @@
+"""Compare every registered query with its DuckDB SQL: columns, types, rows and values.
+
+Run as a script: ``python tests/oracle.py [sf_dir] [query ...]``.
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return connection
+
+
+def _normal(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame[sorted(frame.columns)].copy()
+    for name in frame.columns:
+        if str(frame[name].dtype).startswith("datetime"):
+            frame[name] = frame[name].astype("datetime64[us]")
+    if len(frame.columns) and len(frame):
+        frame = frame.sort_values(list(frame.columns), kind="stable", na_position="first")
+    return frame.reset_index(drop=True)
+
+
+def difference(spark, connection, build, sql: str, sf_dir: str) -> str | None:
+    """None when both sides agree, else a short text on how they differ."""
+    ours = _normal(build(spark, sf_dir).toPandas())
+    theirs = _normal(connection.sql(sql).df())
+    if list(ours.columns) != list(theirs.columns):
+        return f"columns {list(ours.columns)} / {list(theirs.columns)}"
+    if len(ours) != len(theirs):
+        return f"rows {len(ours)} / {len(theirs)}"
+    try:
+        pd.testing.assert_frame_equal(ours, theirs, check_exact=True)
+    except AssertionError as error:
+        return str(error)
+    return None
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+    from pyspark.sql import SparkSession
+
+    import __spark_entry__ as entry
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    wanted = sys.argv[2:]
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    connection = duck(sf_dir)
+    bad = 0
+    for name, build in entry.queries().items():
+        if wanted and name not in wanted:
+            continue
+        started = time.perf_counter()
+        sql = entry.oracle_sql().get(name)
+        if sql is None:
+            print(f"{name}: rows only, {build(spark, sf_dir).count()} rows", flush=True)
+            continue
+        found = difference(spark, connection, build, sql, sf_dir)
+        bad += found is not None
+        print(f"{name}: {found or 'match'} ({time.perf_counter() - started:.2f}s)", flush=True)
+    print("mismatches:", bad)
