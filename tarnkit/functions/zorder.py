@@ -1,4 +1,4 @@
-"""Z-order (Morton) codes for two numeric columns, as plain column expressions.
+"""Z-order (Morton) codes for two numeric columns, built from plain column expressions.
 
 Each axis is scaled to 16 bits between its minimum and maximum; the code interleaves
 the bits, first axis in the even places. Null, NaN and infinite inputs give a null code.
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 AXIS_MAX = 0xFFFF
 
+# Shift and mask of each step that doubles the gaps between the bits of a 16-bit number.
+SPREAD_STEPS = ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555))
+
 
 def _finite(column: str) -> Column:
     # NaN sorts above infinity in Spark, so one comparison drops both
@@ -20,21 +23,6 @@ def _finite(column: str) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
-def _spread_bits(value: Column) -> Column:
-    """Put a zero between each two of the 16 low bits."""
-    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
-        value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return value
-
-
-def _scaled(column: str, low: Column, high: Column) -> Column:
-    value = _finite(column)
-    position = F.floor((value - low) / (high - low) * AXIS_MAX)
-    # bounds given by the caller may be narrower than the data
-    inside = F.greatest(F.lit(0), F.least(F.lit(AXIS_MAX), position)).cast("bigint")
-    return F.when(value.isNull(), F.lit(None)).when(high == low, F.lit(0)).otherwise(inside).cast("bigint")
-
-
 def axis_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with a struct ``bounds`` of ``<column>_low`` and ``<column>_high``."""
     fields = []
@@ -46,12 +34,11 @@ def axis_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.struct(*fields).alias("bounds"))
 
 
-def zorder_code(
-    x: str, y: str, x_bounds: tuple[Column, Column], y_bounds: tuple[Column, Column]
-) -> Column:
-    even = _spread_bits(_scaled(x, *x_bounds))
-    odd = _spread_bits(_scaled(y, *y_bounds))
-    return even.bitwiseOR(F.shiftleft(odd, 1))
+def _axis(value: Column, low: Column, high: Column) -> Column:
+    position = F.floor((value - low) / (high - low) * AXIS_MAX)
+    # bounds given by the caller may be narrower than the data; least and greatest skip nulls
+    inside = F.greatest(F.lit(0), F.least(F.lit(AXIS_MAX), position))
+    return F.when(value.isNotNull(), F.when(high > low, inside).otherwise(F.lit(0))).cast("bigint")
 
 
 def with_zorder(
@@ -67,10 +54,28 @@ def with_zorder(
     two columns and sends one row per task, and no join. Give ``bounds`` as
     (x_low, x_high, y_low, y_high) to skip that pass and to keep loads of later days on
     the same curve.
+
+    The steps are separate projections on purpose: a column used twice in the next step is
+    then computed once, where one nested expression would double in size with each step.
     """
-    if bounds is not None:
-        x_low, x_high, y_low, y_high = (F.lit(float(b)) for b in bounds)
-        return df.withColumn(into, zorder_code(x, y, (x_low, x_high), (y_low, y_high)))
-    found = axis_bounds(df, [x, y]).scalar()
-    pair = lambda name: (found[f"{name}_low"], found[f"{name}_high"])
-    return df.withColumn(into, zorder_code(x, y, pair(x), pair(y)))
+    if bounds is None:
+        limits = axis_bounds(df, [x, y]).scalar()
+    else:
+        names = [f"{x}_low", f"{x}_high", f"{y}_low", f"{y}_high"]
+        limits = F.struct(*(F.lit(float(b)).alias(n) for b, n in zip(bounds, names)))
+    out = df.withColumns({"_limits": limits, "_x": _finite(x), "_y": _finite(y)})
+    limit = F.col("_limits")
+    out = out.withColumns(
+        {
+            "_x": _axis(F.col("_x"), limit[f"{x}_low"], limit[f"{x}_high"]),
+            "_y": _axis(F.col("_y"), limit[f"{y}_low"], limit[f"{y}_high"]),
+        }
+    ).drop("_limits")
+    for shift, mask in SPREAD_STEPS:
+        out = out.withColumns(
+            {
+                axis: F.col(axis).bitwiseOR(F.shiftleft(axis, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+                for axis in ("_x", "_y")
+            }
+        )
+    return out.withColumn(into, F.col("_x").bitwiseOR(F.shiftleft("_y", 1))).drop("_x", "_y")
