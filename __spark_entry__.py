@@ -1,18 +1,55 @@
-"""Registered queries: what each operator gives on the test tables, with the SQL it must equal."""
+"""Registered queries: what each operator gives on the test tables, with the SQL it must equal.
+
+Stand-ins for the trip columns: passenger count = l_quantity, pickup = l_shipdate or events.ts,
+longitude and latitude = l_extendedprice and l_quantity. ``events`` serves as a snapshot log
+(table = user_id, snapshot = event_id, committed_at = ts) and as an object inventory.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnkit.functions import with_time_parts, with_zorder
+from tarnkit.operators import quality
+from tarnkit.operators.layout import gather_partitions, zorder_layout
+from tarnkit.operators.merge import append_rows, merge
+from tarnkit.operators.profile import profile as profile_columns
 from tarnkit.operators.records import keep_positive, with_bucket
+from tarnkit.operators.retention import (
+    cleanup_history as history_rows,
+    expired_snapshots as find_expired,
+    list_snapshots,
+    snapshot_stats as count_snapshots,
+    without_snapshots,
+)
+from tarnkit.operators.zones import file_zone_map, zone_map as map_zones, zones_matching
+from tarnkit.plans.transform import TripColumns, clean_trips, partition_range
+from tarnkit.plans.transform import transform_trips as write_trips
+from tarnkit.plans.versions import VersionedTable
+from tarnkit.plans.versions import preview as first_rows
+from tarnkit.session import scratch_folder
+from tarnkit.sources.formats import DataFormat, convert_format, read_data, write_data
+from tarnkit.sources.landing import describe_sources, land_datasets, with_tier
+
+AS_OF = datetime(2024, 1, 31)
+LINEITEM_TRIPS = TripColumns("l_quantity", "l_shipdate", "l_extendedprice", "l_quantity")
+LANDED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+FILE_FORMATS = (DataFormat.PARQUET, DataFormat.ORC, DataFormat.CSV, DataFormat.JSON)
+
+
+def _path(sf_dir: str, table: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{table}.parquet"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spark.read.parquet(_path(sf_dir, table))
+
+
+# -- filters, derived columns, layout ---------------------------------------------------------
 
 
 def filter_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,41 +72,525 @@ def zorder_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zorder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Z-order layout moves rows and keeps every one of them."""
+    coded = with_zorder(_read(spark, sf_dir, "lineitem"), "l_extendedprice", "l_quantity")
+    return zorder_layout(coded, row_key=["l_orderkey", "l_partkey", "l_suppkey"])
+
+
+def transform_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_trips(_read(spark, sf_dir, "lineitem"), LINEITEM_TRIPS)
+
+
+def transform_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole transform, written partitioned and read back."""
+    out = scratch_folder(spark, "trips")
+    done = write_trips(
+        spark, _path(sf_dir, "lineitem"), out, partition_by=["year", "month"], columns=LINEITEM_TRIPS
+    )
+    return done.table
+
+
+def partitioned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned write with gathered partitions, and a time range read through partition pruning."""
+    out = scratch_folder(spark, "events")
+    parts = ["year", "month", "day"]
+    stamped = with_time_parts(_read(spark, sf_dir, "events"), "ts").drop("pickup_date")
+    write_data(gather_partitions(stamped, parts), out, partition_by=parts)
+    span = partition_range("ts", datetime(2024, 1, 5), datetime(2024, 1, 20))
+    return spark.read.parquet(out).filter(span).drop("hour")
+
+
+# -- zone maps and statistics -----------------------------------------------------------------
+
+
+def _monthly_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stamped = with_time_parts(_read(spark, sf_dir, "lineitem"), "l_shipdate")
+    return map_zones(stamped, ["l_extendedprice", "l_quantity", "l_shipdate"], ["year", "month"])
+
+
+def zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _monthly_zones(spark, sf_dir)
+
+
+def zone_map_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranges = {"l_extendedprice": (104_000.0, None), "l_quantity": (10.0, 50.0)}
+    return zones_matching(_monthly_zones(spark, sf_dir), ranges)
+
+
+def zone_map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone map of a table's files, reduced to what does not depend on how they were cut."""
+    zones = file_zone_map(spark, _path(sf_dir, "lineitem"), ["l_extendedprice"])
+    return zones.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.min("l_extendedprice_min").alias("l_extendedprice_min"),
+        F.max("l_extendedprice_max").alias("l_extendedprice_max"),
+    )
+
+
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = profile_columns(_read(spark, sf_dir, "orders"), exact=True)
+    return stats.withColumns({c: F.round(c, 6) for c in ("mean", "stddev", "p25", "p50", "p75")})
+
+
+def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics in one pass, quartiles from sketches."""
+    return profile_columns(_read(spark, sf_dir, "lineitem"))
+
+
+# -- quality ----------------------------------------------------------------------------------
+
+
+def _suite() -> quality.Suite:
+    return quality.trip_suite("l_quantity", "l_shipdate", "l_receiptdate")
+
+
+def validate_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_suite(_read(spark, sf_dir, "lineitem"), _suite())
+
+
+def validate_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.overall(quality.run_suite(_read(spark, sf_dir, "lineitem"), _suite()))
+
+
+def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = quality.quarantine(_read(spark, sf_dir, "lineitem"), _suite())
+    return bad.withColumn("reasons", F.array_join("reasons", ";"))
+
+
+def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.accepted(_read(spark, sf_dir, "lineitem"), _suite())
+
+
+# -- formats and landing ----------------------------------------------------------------------
+
+
+def read_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written in every format of this installation and read back with its schema."""
+    orders = _read(spark, sf_dir, "orders")
+    out = scratch_folder(spark, "formats")
+    back = []
+    for format in FILE_FORMATS:
+        write_data(orders, f"{out}/{format.value}", format)
+        rows = read_data(spark, f"{out}/{format.value}", format, orders.schema)
+        back.append(rows.withColumn("format", F.lit(format.value)))
+    union = back[0]
+    for rows in back[1:]:
+        union = union.unionByName(rows)
+    return union
+
+
+def convert_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet to CSV to ORC to JSON and back to Parquet."""
+    schema = _read(spark, sf_dir, "orders").schema
+    out = scratch_folder(spark, "convert")
+    steps = [DataFormat.PARQUET, DataFormat.CSV, DataFormat.ORC, DataFormat.JSON, DataFormat.PARQUET]
+    here = _path(sf_dir, "orders")
+    for i, (before, after) in enumerate(zip(steps, steps[1:])):
+        convert_format(spark, here, f"{out}/{i}", before, after, schema)
+        here = f"{out}/{i}"
+    return read_data(spark, here, DataFormat.PARQUET)
+
+
+def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe_sources({f"raw/{t}.parquet": _read(spark, sf_dir, t) for t in LANDED})
+
+
+def landed_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datasets landed under a prefix, with their manifest."""
+    sources = [_path(sf_dir, t) for t in LANDED]
+    manifest = land_datasets(spark, sources, scratch_folder(spark, "landing"), AS_OF)
+    return manifest.select("object_name", "content_type", "ingestion_time", "n_rows")
+
+
+def landing_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    objects = _read(spark, sf_dir, "events").select(
+        F.concat(F.when(F.col("event_type") == "error", "logs/").otherwise("raw/"), "event_type").alias("path"),
+        "event_id",
+        F.col("ts").alias("stored_at"),
+    )
+    return with_tier(objects, "path", "stored_at", AS_OF)
+
+
+# -- merge ------------------------------------------------------------------------------------
+
+
+def _moved_orders(orders: DataFrame) -> DataFrame:
+    """Changes for orders: every order under a key 5,000 higher, at twice its price."""
+    return orders.select(
+        (F.col("o_orderkey") + 5000).alias("o_orderkey"),
+        "o_custkey",
+        "o_orderdate",
+        (F.col("o_totalprice") * 2).alias("price"),
+    )
+
+
+UPDATE = {"o_totalprice": "source.price", "o_orderstatus": "concat('was ', target.o_orderstatus)"}
+INSERT = {
+    "o_orderkey": "source.o_orderkey",
+    "o_custkey": "source.o_custkey",
+    "o_totalprice": "price",
+    "o_orderdate": "source.o_orderdate",
+}
+
+
+def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders")
+    return merge(orders, _moved_orders(orders), ["o_orderkey"], UPDATE, INSERT)
+
+
+def merge_upsert_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge with a source taken to be too large to broadcast."""
+    orders = _read(spark, sf_dir, "orders")
+    return merge(orders, _moved_orders(orders), ["o_orderkey"], UPDATE, INSERT, broadcast_source=False)
+
+
+def merge_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match is a condition with more than key equality."""
+    orders = _read(spark, sf_dir, "orders")
+    condition = "target.o_orderkey = source.o_orderkey AND source.price > target.o_totalprice"
+    return merge(orders, _moved_orders(orders), condition, UPDATE, INSERT)
+
+
+def merge_update_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order totals replaced by the quantity on their lines; many target rows per source key."""
+    lines = _read(spark, sf_dir, "lineitem")
+    per_part = lines.groupBy("l_partkey").agg(F.sum("l_quantity").alias("sold"))
+    return merge(lines, per_part, ["l_partkey"], when_matched={"l_quantity": "source.sold"})
+
+
+def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers joined by suppliers under keys no customer has yet; shared keys are left alone."""
+    customers = _read(spark, sf_dir, "customer")
+    suppliers = _read(spark, sf_dir, "supplier").withColumn("key", F.col("s_suppkey") * 20)
+    return merge(
+        customers,
+        suppliers,
+        {"c_custkey": "key"},
+        when_not_matched={
+            "c_custkey": "key",
+            "c_name": "s_name",
+            "c_nationkey": "source.s_nationkey",
+            "c_acctbal": "source.s_acctbal",
+        },
+    )
+
+
+def append_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suppliers = _read(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal")
+    )
+    customers = _read(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nationkey"),
+        F.col("c_acctbal").alias("acctbal"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    return append_rows(suppliers, customers)
+
+
+# -- versions and retention -------------------------------------------------------------------
+
+
+def _orders_by_year(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """Snapshot 1 holds the orders up to 1997, snapshot 2 all of them."""
+    orders = _read(spark, sf_dir, "orders")
+    table = VersionedTable(spark, scratch_folder(spark, "orders"))
+    table.commit(orders.filter(F.year("o_orderdate") <= 1997), datetime(2024, 1, 1), snapshot_id=1)
+    table.commit(orders, datetime(2024, 1, 2), snapshot_id=2)
+    return table
+
+
+def read_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_by_year(spark, sf_dir).read()
+
+
+def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_by_year(spark, sf_dir).read(1)
+
+
+def table_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_by_year(spark, sf_dir).log()
+
+
+def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write, audit, publish, then read what was published."""
+    suite = quality.Suite("orders").add(quality.column_exists("o_orderkey")).add(quality.values_not_null("o_orderdate"))
+    table = VersionedTable(spark, scratch_folder(spark, "published"))
+    table.publish(_read(spark, sf_dir, "orders"), suite, AS_OF)
+    return table.read()
+
+
+def upserted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge committed as a new snapshot of a versioned table."""
+    orders = _read(spark, sf_dir, "orders")
+    table = VersionedTable(spark, scratch_folder(spark, "upserted"))
+    table.upsert(orders, ["o_orderkey"], datetime(2024, 1, 1))
+    table.upsert(_moved_orders(orders), ["o_orderkey"], datetime(2024, 1, 2), UPDATE, INSERT)
+    return table.read()
+
+
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_rows(_read(spark, sf_dir, "orders"), ["o_orderkey"], 5)
+
+
+EVENT_LOG = {"table": ["user_id"], "id": "event_id", "at": "ts"}
+
+
+def snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return list_snapshots(_read(spark, sf_dir, "events"), **EVENT_LOG)
+
+
+def expired_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = list_snapshots(_read(spark, sf_dir, "events"), **EVENT_LOG)
+    return find_expired(log, AS_OF, **EVENT_LOG)
+
+
+def snapshot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_snapshots(_read(spark, sf_dir, "events"), AS_OF, **EVENT_LOG)
+
+
+def snapshot_stats_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log taken as that of one table."""
+    return count_snapshots(_read(spark, sf_dir, "events"), AS_OF, id="event_id", at="ts")
+
+
+def retained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _read(spark, sf_dir, "events")
+    gone = find_expired(list_snapshots(events, **EVENT_LOG), AS_OF, **EVENT_LOG)
+    return without_snapshots(events, gone, ["user_id", "event_id"])
+
+
+def cleanup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = find_expired(_read(spark, sf_dir, "events"), AS_OF, **EVENT_LOG)
+    return history_rows(gone, AS_OF, **EVENT_LOG)
+
+
 def entry(spark: SparkSession) -> DataFrame:
-    return zorder_code(spark, "/root/testdata/sf0.001")
+    """The trip transform on the smallest tables."""
+    return transform_trips(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f
-        for f in (filter_positive, time_parts, bucket_column, zorder_code)
+        build.__name__: build
+        for build in (
+            filter_positive,
+            time_parts,
+            bucket_column,
+            zorder_code,
+            zorder_rows,
+            transform_trips,
+            transform_written,
+            partitioned_rows,
+            zone_map,
+            zone_map_prune,
+            zone_map_files,
+            profile,
+            profile_sketch,
+            validate_suite,
+            validate_overall,
+            quarantine_rows,
+            accepted_rows,
+            read_formats,
+            convert_roundtrip,
+            landing_manifest,
+            landed_datasets,
+            landing_tiers,
+            merge_upsert,
+            merge_upsert_large,
+            merge_condition,
+            merge_update_only,
+            merge_insert_only,
+            append_merge_schema,
+            read_latest,
+            time_travel,
+            table_log,
+            published_orders,
+            upserted_orders,
+            preview,
+            snapshot_log,
+            expired_snapshots,
+            snapshot_stats,
+            snapshot_stats_single,
+            retained_rows,
+            cleanup_history,
+        )
     }
 
 
+# -- the same results in SQL ------------------------------------------------------------------
+
+
 def _spread_sql(axis: str) -> str:
     """The 16 bits of a scaled axis moved to every second place, as a sum of powers of four."""
     return " + ".join(f"(({axis} >> {bit}) & 1) * {4**bit}" for bit in range(16))
 
 
-def _zorder_sql(x: str, y: str, table: str, where: str = "true") -> str:
-    """Rows of a table with scaled axes and ``z_order_col``."""
+def _zorder_sql(x: str, y: str, table: str) -> str:
+    """Rows of a table with their ``z_order_col``."""
     scale = "CAST(floor(({0} - {1}0) / ({1}1 - {1}0) * 65535) AS BIGINT)"
     return (
-        f"SELECT *, ({_spread_sql('sx')}) + 2 * ({_spread_sql('sy')}) AS z_order_col FROM ("
-        f"SELECT t.*, {scale.format(x, 'x')} AS sx, {scale.format(y, 'y')} AS sy "
-        f"FROM {table} t, (SELECT min({x}) x0, max({x}) x1, min({y}) y0, max({y}) y1 "
-        f"FROM {table} WHERE {where}) b WHERE {where}) s"
+        f"SELECT * EXCLUDE (sx, sy), CAST(({_spread_sql('sx')}) + 2 * ({_spread_sql('sy')}) AS BIGINT) AS z_order_col "
+        f"FROM (SELECT t.*, {scale.format(x, 'x')} AS sx, {scale.format(y, 'y')} AS sy "
+        f"FROM {table} t, (SELECT min({x}) x0, max({x}) x1, min({y}) y0, max({y}) y1 FROM {table}) b) s"
     )
 
 
+def _profile_sql(table: str, numbers: list[str], texts: list[str]) -> str:
+    parts = [
+        f"""SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS n_null,
+                round(avg({c}::DOUBLE), 6) AS mean, round(stddev_samp({c}::DOUBLE), 6) AS stddev,
+                min({c})::DOUBLE AS "min",
+                round(quantile_cont({c}::DOUBLE, 0.25), 6) AS p25,
+                round(quantile_cont({c}::DOUBLE, 0.5), 6) AS p50,
+                round(quantile_cont({c}::DOUBLE, 0.75), 6) AS p75, max({c})::DOUBLE AS "max",
+                NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM {table}"""
+        for c in numbers
+    ]
+    parts += [
+        f"""SELECT '{c}', count({c}), count(*) - count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+                min({c}), max({c}) FROM {table}"""
+        for c in texts
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
-    price_quantity = _zorder_sql("l_extendedprice", "l_quantity", "lineitem")
+    parts_of = lambda c: (
+        f"year({c})::INT AS year, month({c})::INT AS month, day({c})::INT AS day, hour({c})::INT AS hour"
+    )
+    coded = _zorder_sql("l_extendedprice", "l_quantity", "lineitem")
+    trips = _zorder_sql(
+        "l_extendedprice",
+        "l_quantity",
+        f"(SELECT *, l_shipdate AS pickup_date, {parts_of('l_shipdate')} FROM lineitem WHERE l_quantity > 0)",
+    )
+    zones = f"""
+        SELECT year(l_shipdate)::INT AS year, month(l_shipdate)::INT AS month, count(*) AS n_rows,
+               min(l_extendedprice) AS l_extendedprice_min, max(l_extendedprice) AS l_extendedprice_max,
+               count(*) FILTER (l_extendedprice IS NULL) AS l_extendedprice_nulls,
+               min(l_quantity) AS l_quantity_min, max(l_quantity) AS l_quantity_max,
+               count(*) FILTER (l_quantity IS NULL) AS l_quantity_nulls,
+               min(l_shipdate) AS l_shipdate_min, max(l_shipdate) AS l_shipdate_max,
+               count(*) FILTER (l_shipdate IS NULL) AS l_shipdate_nulls
+        FROM lineitem GROUP BY 1, 2"""
+    suite = f"""
+        WITH c AS (SELECT count(*) AS n, count(*) FILTER (l_quantity IS NULL) AS no_quantity,
+                          count(*) FILTER (l_quantity < 1 OR l_quantity > 8) AS out_of_range,
+                          count(*) FILTER (l_shipdate IS NULL) AS no_date FROM lineitem)
+        SELECT 0::INT AS position, '{quality.COLUMN_EXISTS}' AS expectation, 'l_quantity' AS column_name,
+               NULL::BIGINT AS element_count, NULL::BIGINT AS null_count, NULL::BIGINT AS unexpected_count,
+               true AS success
+        UNION ALL SELECT 1, '{quality.VALUES_BETWEEN}', 'l_quantity', n, no_quantity, out_of_range,
+                         out_of_range = 0 FROM c
+        UNION ALL SELECT 2, '{quality.COLUMN_EXISTS}', 'l_shipdate', NULL, NULL, NULL, true
+        UNION ALL SELECT 3, '{quality.COLUMN_EXISTS}', 'l_receiptdate', NULL, NULL, NULL, false
+        UNION ALL SELECT 4, '{quality.VALUES_NOT_NULL}', 'l_shipdate', n, no_date, no_date, no_date = 0 FROM c"""
+    changes = """(SELECT o_orderkey + 5000 AS o_orderkey, o_custkey, o_orderdate, o_totalprice * 2 AS price
+                  FROM orders)"""
+
+    def upsert(more: str = "") -> str:
+        match = f"t.o_orderkey = s.o_orderkey {more}"
+        return f"""
+            SELECT t.o_orderkey, t.o_custkey,
+                   CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus ELSE 'was ' || t.o_orderstatus END
+                       AS o_orderstatus,
+                   coalesce(s.price, t.o_totalprice) AS o_totalprice, t.o_orderdate, t.o_orderpriority
+            FROM orders t LEFT JOIN {changes} s ON {match}
+            UNION ALL
+            SELECT s.o_orderkey, s.o_custkey, NULL, s.price, s.o_orderdate, NULL
+            FROM {changes} s WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE {match})"""
+
+    ranked = """
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) > 3
+                  AND ts < TIMESTAMP '2024-01-31' - INTERVAL 7 DAY AS expired
+        FROM events"""
+    stats = "count(*) AS total, count(*) FILTER (expired) AS expired, count(*) FILTER (NOT expired) AS active"
     return {
         "filter_positive": "SELECT * FROM customer WHERE c_acctbal > 0",
-        "time_parts": """
-            SELECT event_id, ts AS pickup_date, year(ts)::INT AS year, month(ts)::INT AS month,
-                   day(ts)::INT AS day, hour(ts)::INT AS hour
-            FROM events""",
+        "time_parts": f"SELECT event_id, ts AS pickup_date, {parts_of('ts')} FROM events",
         "bucket_column": "SELECT o_orderkey, (o_custkey % 16)::INT AS bucket FROM orders",
-        "zorder_code": f"SELECT l_extendedprice, l_quantity, z_order_col::BIGINT AS z_order_col FROM ({price_quantity}) q",
+        "zorder_code": f"SELECT l_extendedprice, l_quantity, z_order_col FROM ({coded}) q",
+        "zorder_rows": coded,
+        "transform_trips": trips,
+        "transform_written": trips,
+        "partitioned_rows": f"""
+            SELECT * EXCLUDE (hour) FROM (SELECT *, {parts_of('ts')} FROM events) e
+            WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""",
+        "zone_map": zones,
+        "zone_map_prune": f"""
+            SELECT * FROM ({zones}) z
+            WHERE l_extendedprice_max >= 104000 AND l_quantity_max >= 10 AND l_quantity_min <= 50""",
+        "zone_map_files": """
+            SELECT count(*)::BIGINT AS n_rows, min(l_extendedprice) AS l_extendedprice_min,
+                   max(l_extendedprice) AS l_extendedprice_max FROM lineitem""",
+        "profile": _profile_sql(
+            "orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"]
+        ),
+        "validate_suite": suite,
+        "validate_overall": f"""
+            SELECT count(*) AS evaluated, count(*) FILTER (NOT success) AS failed, bool_and(success) AS success
+            FROM ({suite}) r""",
+        "quarantine_rows": f"""
+            SELECT *, concat_ws(';',
+                CASE WHEN l_quantity < 1 OR l_quantity > 8 THEN '{quality.VALUES_BETWEEN}(l_quantity)' END,
+                CASE WHEN l_shipdate IS NULL THEN '{quality.VALUES_NOT_NULL}(l_shipdate)' END) AS reasons
+            FROM lineitem WHERE l_quantity < 1 OR l_quantity > 8 OR l_shipdate IS NULL""",
+        "accepted_rows": """
+            SELECT * FROM lineitem
+            WHERE (l_quantity BETWEEN 1 AND 8 OR l_quantity IS NULL) AND l_shipdate IS NOT NULL""",
+        "read_formats": """
+            SELECT o.*, f.format FROM orders o,
+                   (VALUES ('parquet'), ('orc'), ('csv'), ('json')) f(format)""",
+        "convert_roundtrip": "SELECT * FROM orders",
+        "landing_manifest": " UNION ALL ".join(
+            f"SELECT 'raw/{t}.parquet' AS object_name, 'application/parquet' AS content_type, count(*) AS n_rows FROM {t}"
+            for t in LANDED
+        ),
+        "landed_datasets": " UNION ALL ".join(
+            f"""SELECT 'raw/{t}.parquet' AS object_name, 'application/parquet' AS content_type,
+                       TIMESTAMP '2024-01-31' AS ingestion_time, count(*) AS n_rows FROM {t}"""
+            for t in LANDED
+        ),
+        "landing_tiers": """
+            SELECT path, event_id, ts AS stored_at,
+                   CASE WHEN starts_with(path, 'raw/') AND date_diff('day', ts::DATE, DATE '2024-01-31') >= 30
+                        THEN 'GLACIER' ELSE 'STANDARD' END AS tier
+            FROM (SELECT *, CASE WHEN event_type = 'error' THEN 'logs/' ELSE 'raw/' END || event_type AS path
+                  FROM events) o""",
+        "merge_upsert": upsert(),
+        "merge_upsert_large": upsert(),
+        "merge_condition": upsert("AND s.price > t.o_totalprice"),
+        "merge_update_only": """
+            SELECT l.* REPLACE (s.sold AS l_quantity)
+            FROM lineitem l JOIN (SELECT l_partkey, sum(l_quantity) AS sold FROM lineitem GROUP BY 1) s USING (l_partkey)""",
+        "merge_insert_only": """
+            SELECT * FROM customer
+            UNION ALL
+            SELECT s_suppkey * 20, s_name, s_nationkey, s_acctbal, NULL FROM supplier
+            WHERE s_suppkey * 20 NOT IN (SELECT c_custkey FROM customer)""",
+        "append_merge_schema": """
+            SELECT s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal, NULL::VARCHAR AS segment FROM supplier
+            UNION ALL SELECT c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+        "read_latest": "SELECT * FROM orders",
+        "time_travel": "SELECT * FROM orders WHERE year(o_orderdate) <= 1997",
+        "table_log": """
+            SELECT 1::BIGINT AS snapshot_id, TIMESTAMP '2024-01-01' AS committed_at, 'overwrite' AS operation,
+                   count(*) FILTER (year(o_orderdate) <= 1997) AS n_rows FROM orders
+            UNION ALL SELECT 2, TIMESTAMP '2024-01-02', 'overwrite', count(*) FROM orders""",
+        "published_orders": "SELECT * FROM orders",
+        "upserted_orders": upsert(),
+        "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+        "snapshot_log": "SELECT user_id, event_id, ts FROM events",
+        "expired_snapshots": f"SELECT user_id, event_id, ts FROM ({ranked}) r WHERE expired",
+        "snapshot_stats": f"SELECT user_id, {stats} FROM ({ranked}) r GROUP BY user_id",
+        "snapshot_stats_single": f"""
+            SELECT {stats} FROM (
+                SELECT row_number() OVER (ORDER BY ts DESC, event_id DESC) > 3
+                       AND ts < TIMESTAMP '2024-01-31' - INTERVAL 7 DAY AS expired FROM events) r""",
+        "retained_rows": f"SELECT * EXCLUDE (expired) FROM ({ranked}) r WHERE NOT expired",
+        "cleanup_history": f"""
+            SELECT TIMESTAMP '2024-01-31' AS run_at, user_id, event_id AS snapshot_id, ts AS created_at
+            FROM ({ranked}) r WHERE expired""",
     }

@@ -10,7 +10,7 @@ import time
 from pathlib import Path
 
 import duckdb
-import pandas as pd
+import pyarrow as pa
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -25,28 +25,32 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def _normal(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame[sorted(frame.columns)].copy()
-    for name in frame.columns:
-        if str(frame[name].dtype).startswith("datetime"):
-            frame[name] = frame[name].astype("datetime64[us]")
-    if len(frame.columns) and len(frame):
-        frame = frame.sort_values(list(frame.columns), kind="stable", na_position="first")
-    return frame.reset_index(drop=True)
+def _kind(kind: pa.DataType) -> str:
+    """A type name that both engines share: zone-less and UTC microseconds count as one."""
+    return "timestamp" if pa.types.is_timestamp(kind) else str(kind).replace("large_", "")
+
+
+def _rows(table: pa.Table) -> tuple[list[str], list[str], list[tuple]]:
+    names = sorted(table.column_names)
+    table = table.select(names)
+    kinds = [_kind(f.type) for f in table.schema]
+    columns = [c.cast(pa.timestamp("us")) if k == "timestamp" else c for c, k in zip(table.columns, kinds)]
+    rows = list(zip(*(c.to_pylist() for c in columns))) if names else []
+    return names, kinds, sorted(rows, key=lambda r: tuple((v is not None, v) for v in r))
 
 
 def difference(spark, connection, build, sql: str, sf_dir: str) -> str | None:
-    """None when both sides agree, else a short text on how they differ."""
-    ours = _normal(build(spark, sf_dir).toPandas())
-    theirs = _normal(connection.sql(sql).df())
-    if list(ours.columns) != list(theirs.columns):
-        return f"columns {list(ours.columns)} / {list(theirs.columns)}"
-    if len(ours) != len(theirs):
-        return f"rows {len(ours)} / {len(theirs)}"
-    try:
-        pd.testing.assert_frame_equal(ours, theirs, check_exact=True)
-    except AssertionError as error:
-        return str(error)
+    """None when both sides agree exactly, else a short text on how they differ."""
+    ours = _rows(build(spark, sf_dir).toArrow())
+    theirs = _rows(connection.sql(sql).to_arrow_table())
+    for what, left, right in zip(("columns", "types"), ours, theirs):
+        if left != right:
+            return f"{what} {left} / {right}"
+    if len(ours[2]) != len(theirs[2]):
+        return f"rows {len(ours[2])} / {len(theirs[2])}"
+    for left, right in zip(ours[2], theirs[2]):
+        if left != right:
+            return f"values {left} / {right}"
     return None
 
 
