@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnkit.operators.layout import row_hash
+from tarnkit.session import local_rows
+
+SPLITS = T.StructType().add("_hash", "bigint").add("_splits", "int")
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -84,7 +87,8 @@ def left_lookup(
     if not hot:
         return left.join(right, keys, "left")
     # fewer than `pieces` rows
-    splits = F.broadcast(left.sparkSession.createDataFrame(hot, "_hash bigint, _splits int"))
+    rows = [{"_hash": key, "_splits": n} for key, n in hot]
+    splits = F.broadcast(local_rows(left.sparkSession, rows, SPLITS))
     parts = F.coalesce(F.col("_splits"), F.lit(1))
     spread = (
         left.withColumns({"_hash": F.xxhash64(*keys), "_row": row_hash(left)})

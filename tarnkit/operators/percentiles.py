@@ -1,125 +1,154 @@
-"""Exact percentiles of any number of rows, without bringing a column together in one task.
-
-Spark's ``percentile`` merges every distinct value of a column in a single task. Here three
-passes narrow the search instead, each reduced inside the map tasks to a bounded number of
-rows: a quantile sketch gives a narrow bracket around each rank, a histogram over the
-brackets finds the bucket that holds it, and only the values of that bucket are ranked.
-The sketch decides how much work is left, never the result: values outside the brackets are
-counted in buckets of their own, so a rank is found wherever it lies.
+"""Percentiles of many columns at once: by sketch, or exact without gathering a column in one task.
+
+Spark's ``percentile`` merges every distinct value of a column in a single task. Here the exact
+values come from passes that each reduce inside the map tasks to a bounded number of rows:
+a quantile sketch gives a narrow bracket around each rank, a histogram over the brackets finds the
+bucket that holds it, and only the values of that bucket are ranked. The sketch decides how
+much work is left, never the result: values outside the brackets are counted in buckets of their
+own, so a rank is found wherever it lies.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tarnkit.session import local_rows
 
-def _bucket(value: Column, region: Column, grid: Column, pieces: int) -> Column:
-    """Bucket number, growing with the value: ``pieces`` equal steps in each grid region."""
-    left, right = F.get(grid, region), F.get(grid, region + 1)
-    width = right - left
-    step = F.floor((value - left) / width * pieces)
-    inside = F.greatest(F.lit(0), F.least(F.lit(pieces - 1), step))
-    divisible = (width > 0) & (width < float("inf"))
-    offset = F.when(F.isnan(value), F.lit(pieces - 1)).when(divisible, inside).otherwise(F.lit(0))
-    return region * pieces + offset.cast("int")
+# Sketch size: ranks come out within about a thousandth of the rows.
+SKETCH_SIZE = 4096
+MARGIN = 0.002
+PIECES = 2048
 
+# Sketches are merged in this many groups of tasks first, so that no single task receives
+# one sketch from every task of a large scan.
+MERGE_GROUPS = 256
 
-def exact_percentiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float] = (0.25, 0.5, 0.75),
-    accuracy: int = 10_000,
-    pieces: int = 2048,
-) -> DataFrame:
-    """One row per column: ``column`` and ``percentiles``, an array in the order asked for.
 
-    Interpolates between neighbours as Spark's ``percentile`` does; nulls do not count. With
-    n rows about ``4 n / (accuracy * pieces)`` values are left to rank per percentile.
-    """
-    margin = 2.0 / accuracy
-    marks = sorted(min(1.0, max(0.0, p + side)) for p in probabilities for side in (-margin, margin))
-    slots = {f"_{i}": name for i, name in enumerate(columns)}
-    values = df.select(*(F.col(name).cast("double").alias(slot) for slot, name in slots.items()))
-
-    def grid(slot: str) -> Column:
-        sketch = F.percentile_approx(slot, F.array(*(F.lit(m) for m in marks)), F.lit(accuracy))
-        return F.concat(F.array(F.min(slot)), sketch, F.array(F.max(slot)))
-
-    grids = values.agg(F.struct(*(grid(slot).alias(slot) for slot in slots)).alias("grids")).scalar()
-    marked = values.withColumn("_grids", grids)
-
-    def region(slot: str) -> Column:
-        edges = F.col("_grids")[slot]
-        above = [F.when(F.col(slot) > F.get(edges, F.lit(i + 1)), 1).otherwise(0) for i in range(len(marks))]
-        return sum(above[1:], above[0])
-
-    marked = marked.withColumns({f"{slot}_region": region(slot) for slot in slots})
-    marked = marked.withColumns(
-        {
-            f"{slot}_bucket": _bucket(F.col(slot), F.col(f"{slot}_region"), F.col("_grids")[slot], pieces)
-            for slot in slots
-        }
+def to_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per cell: ``column`` and ``value`` as a double."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    return df.select(F.inline(F.array(*cells)))
+
+
+def merge_group() -> Column:
+    return F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+
+
+def sketch_of(column: str) -> Column:
+    return F.kll_sketch_agg_double(column, F.lit(SKETCH_SIZE))
+
+
+def merge_sketches(column: str) -> Column:
+    return F.kll_merge_agg_double(column, F.lit(SKETCH_SIZE))
+
+
+def quantiles(sketch: Column, probabilities: Sequence[float]) -> Column:
+    """Estimates from a merged sketch, null where it has seen no value."""
+    wanted = F.array(*(F.lit(float(p)) for p in probabilities))
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, wanted))
+
+
+def marks(probabilities: Sequence[float]) -> list[float]:
+    """The ends of the bracket around each probability."""
+    return sorted(min(1.0, max(0.0, p + side)) for p in probabilities for side in (-MARGIN, MARGIN))
+
+
+GRID = T.StructType().add("column", "string").add("grid", T.ArrayType(T.DoubleType()))
+
+
+def _buckets(long: DataFrame, grids: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Long rows with a bucket number that grows with the value: equal steps in each grid region."""
+    rows = [{"column": c, "grid": list(g)} for c, g in grids.items()]
+    # one row per column
+    known = F.broadcast(local_rows(long.sparkSession, rows, GRID))
+    n_marks = len(rows[0]["grid"]) - 2
+    region = " + ".join(f"int(value > grid[{i + 1}])" for i in range(n_marks))
+    step = f"greatest(0, least({PIECES - 1}, floor((value - left) / width * {PIECES})))"
+    offset = f"CASE WHEN isnan(value) THEN {PIECES - 1} WHEN width > 0 AND width < double('inf') THEN {step} ELSE 0 END"
+    return (
+        long.filter("value IS NOT NULL")
+        .join(known, "column")
+        .selectExpr("column", "value", "grid", f"{region} AS region")
+        .selectExpr("column", "value", "region", "grid[region] AS left", "grid[region + 1] - grid[region] AS width")
+        # never null, so that the joins below push no null check through these projections,
+        # which would unfold them into one very large expression
+        .selectExpr("column", "value", f"coalesce(int(region * {PIECES} + {offset}), -1) AS bucket")
     )
-    cells = [
-        F.struct(F.lit(name).alias("column"), F.col(slot).alias("value"), F.col(f"{slot}_bucket").alias("bucket"))
-        for slot, name in slots.items()
-    ]
-    long = marked.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-
-    # at most (len(marks) + 1) * pieces buckets per column
-    per_column = Window.partitionBy("column")
-    so_far = per_column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    histogram = (
-        long.groupBy("column", "bucket")
+
+
+def rank_exactly(long: DataFrame, grids: Mapping[str, Sequence[float]], probabilities: Sequence[float]) -> DataFrame:
+    """``column`` and ``percentiles`` for long rows, given a grid per column: minimum, sketched
+    marks, maximum. Interpolates between neighbours as Spark's ``percentile`` does.
+
+    Runs the histogram job; the driver gets two rows per column and probability from it.
+    """
+    cells = _buckets(long, grids)
+    # at most (marks + 1) * PIECES rows per column
+    counted = (
+        cells.groupBy("column", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "column",
-            "bucket",
-            "n",
-            (F.sum("n").over(so_far) - F.col("n")).alias("before"),
-            F.sum("n").over(per_column).alias("total"),
+        .selectExpr(
+            "*",
+            "sum(n) OVER (PARTITION BY column ORDER BY bucket ROWS UNBOUNDED PRECEDING) - n AS before",
+            "sum(n) OVER (PARTITION BY column) AS total",
         )
     )
-    ranks = []
-    for i, p in enumerate(probabilities):
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        for end in (F.floor(place), F.ceil(place)):
-            ranks.append(F.struct(F.lit(i).alias("which"), place.alias("place"), end.alias("rank")))
-    # two rows per column and probability
-    wanted = histogram.select("column", "bucket", "n", "before", F.inline(F.array(*ranks))).filter(
-        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))
+    places = [f"named_struct('which', {i}, 'place', double({p}) * (total - 1))" for i, p in enumerate(probabilities)]
+    wanted = (
+        counted.selectExpr("column", "bucket", "before", "n", f"inline(array({', '.join(places)}))")
+        .selectExpr("*", "explode(array(floor(place), ceil(place))) AS rank")
+        .filter("rank >= before AND rank < before + n")
+        .drop("n")
     )
-    in_bucket = (
-        Window.partitionBy("column", "bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    candidates = (
-        long.join(F.broadcast(wanted.select("column", "bucket")), ["column", "bucket"], "left_semi")
+    found = F.broadcast(local_rows(long.sparkSession, [r.asDict() for r in wanted.collect()], wanted.schema))
+    ends = (
+        cells.join(found.select("column", "bucket"), ["column", "bucket"], "left_semi")
         .groupBy("column", "bucket", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("skipped", F.sum("copies").over(in_bucket) - F.col("copies"))
-    )
-    start = F.col("before") + F.col("skipped")
-    ends = (
-        candidates.join(F.broadcast(wanted.drop("n")), ["column", "bucket"])
-        .filter((F.col("rank") >= start) & (F.col("rank") < start + F.col("copies")))
-        .groupBy("column", "which")
-        .agg(
-            F.min_by("value", "rank").alias("low"),
-            F.max_by("value", "rank").alias("high"),
-            F.max("place").alias("place"),
+        .selectExpr(
+            "*",
+            "sum(copies) OVER (PARTITION BY column, bucket ORDER BY value ROWS UNBOUNDED PRECEDING) - copies AS skipped",
         )
+        .join(found, ["column", "bucket"])
+        .filter("rank >= before + skipped AND rank < before + skipped + copies")
+        .groupBy("column", "which")
+        .agg(F.expr("min_by(value, rank) AS low"), F.expr("max_by(value, rank) AS high"), F.expr("max(place) AS place"))
     )
-    share = F.col("place") - F.floor("place")
-    blend = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
-        F.col("low") * (1 - share) + F.col("high") * share
-    )
+    blend = "CASE WHEN low = high THEN low ELSE low * (1 - (place - floor(place))) + high * (place - floor(place)) END"
+    chosen = ", ".join(f"max(percentile) FILTER (WHERE which = {i})" for i in range(len(probabilities)))
     return (
-        ends.withColumn("percentile", blend)
+        ends.selectExpr("column", "which", f"{blend} AS percentile")
         .groupBy("column")
-        .agg(F.array(*(F.max(F.when(F.col("which") == i, F.col("percentile"))) for i in range(len(probabilities)))).alias("percentiles"))
+        .agg(F.expr(f"array({chosen}) AS percentiles"))
+    )
+
+
+def grid(low: Column, high: Column, sketch: Column, probabilities: Sequence[float]) -> Column:
+    """Minimum, sketched marks and maximum; null for a column without values."""
+    return F.concat(F.array(low), quantiles(sketch, marks(probabilities)), F.array(high))
+
+
+def exact_percentiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = (0.25, 0.5, 0.75)
+) -> DataFrame:
+    """One row per column: ``column`` and ``percentiles``, an array in the order asked for.
+
+    Nulls do not count; a column of nulls gives no row. Three passes over the columns, two of which
+    run when this is called.
+    """
+    long = to_long(df, columns)
+    partial = long.groupBy("column", merge_group().alias("part")).agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), sketch_of("value").alias("sketch")
+    )
+    merged = partial.groupBy("column").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), merge_sketches("sketch").alias("sketch")
     )
+    found = merged.select("column", grid(F.col("low"), F.col("high"), F.col("sketch"), probabilities).alias("grid"))
+    grids = {r.column: r.grid for r in found.collect() if r.grid is not None}
+    if not grids:
+        return df.sparkSession.createDataFrame([], "column string, percentiles array<double>")
+    return rank_exactly(long, grids, probabilities)

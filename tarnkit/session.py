@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # What a cluster session should carry. The library never sets these itself: the
 # session belongs to the caller. shuffle.partitions is only the starting point, as
@@ -43,3 +48,9 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tarnkit-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def local_rows(spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a DataFrame. Going through Arrow gives Spark a local relation,
+    whose size it knows, and needs no job."""
+    return spark.createDataFrame(pa.Table.from_pylist(list(rows), schema=to_arrow_schema(schema)))
