@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tarnkit.operators.layout import row_hash
 from tarnkit.session import local_rows
 
-SPLITS = T.StructType().add("_hash", "bigint").add("_splits", "int")
+SPLITS = T.StructType().add("_hash", T.LongType()).add("_splits", T.IntegerType())
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -56,9 +56,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int, min_rows: int) ->
         .agg(F.expr(f"approx_top_k_accumulate(key, {size})").alias("sketch"), F.count(F.lit(1)).alias("n"))
     )
     top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {size}), {pieces})")
-    found = partial.agg(top.alias("top"), F.sum("n").alias("n")).first()
-    piece = max((found.n or 0) / pieces, min_rows)
-    return [(r.item, math.ceil(r["count"] / piece)) for r in found.top or () if r["count"] > piece]
+    # under one constant group, as combining fails on a task that has no sketch at all
+    found = partial.groupBy(F.lit(0).alias("all")).agg(top.alias("top"), F.sum("n").alias("n")).first()
+    if found is None:
+        return []
+    piece = max(found.n / pieces, min_rows)
+    return [(r.item, math.ceil(r["count"] / piece)) for r in found.top if r["count"] > piece]
 
 
 def left_lookup(
