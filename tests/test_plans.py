@@ -1,0 +1,196 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tarnkit.operators.merge import append_rows
+from tarnkit.operators.quality import QualityError, trip_suite
+from tarnkit.plans.transform import TripColumns, partition_range, transform_trips
+from tarnkit.plans.versions import UnknownSnapshot, VersionedTable, list_tables, preview
+from tarnkit.session import RECOMMENDED_SETTINGS, scratch_folder
+from tarnkit.sources import paths
+
+AS_OF = datetime(2024, 1, 31)
+
+
+def _ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def table(spark, folder):
+    return VersionedTable(spark, f"{folder}/table")
+
+
+def test_commits_are_versions(spark, table):
+    first = table.commit(spark.range(3), datetime(2024, 1, 1))
+    second = table.commit(spark.range(5), datetime(2024, 1, 2))
+    assert (first, second) == (1, 2)
+    assert _ids(table.read()) == [0, 1, 2, 3, 4] and _ids(table.read(1)) == [0, 1, 2]
+    assert table.read().columns == ["id"]
+    log = {r.snapshot_id: (r.n_rows, r.operation) for r in table.log().collect()}
+    assert log == {1: (3, "overwrite"), 2: (5, "overwrite")}
+
+
+def test_newest_is_by_time_then_id(spark, table):
+    table.commit(spark.range(1), datetime(2024, 1, 2))
+    table.commit(spark.range(2), datetime(2024, 1, 1))
+    assert table.latest_id() == 1
+    table.commit(spark.range(3), datetime(2024, 1, 2))
+    assert table.latest_id() == 3
+
+
+def test_unknown_snapshots_raise(spark, table):
+    with pytest.raises(UnknownSnapshot):
+        table.read()
+    table.commit(spark.range(1), AS_OF)
+    with pytest.raises(UnknownSnapshot):
+        table.read(99)
+    with pytest.raises(ValueError):
+        table.commit(spark.range(1), AS_OF, snapshot_id=1)
+
+
+def test_a_snapshot_reads_only_its_own_files(spark, table):
+    for n in (1, 2, 3):
+        table.commit(spark.range(n), AS_OF)
+    assert all("snapshot_id=2/" in f for f in table.read(2).inputFiles())
+
+
+def test_upsert_creates_then_merges(spark, table):
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    table.upsert(one, ["id"], datetime(2024, 1, 1))
+    two = spark.createDataFrame([(2, "B"), (3, "C")], "id int, v string")
+    table.upsert(two, ["id"], datetime(2024, 1, 2), {"v": "source.v"}, {"id": "source.id", "v": "source.v"})
+    assert sorted(tuple(r) for r in table.read().collect()) == [(1, "a"), (2, "B"), (3, "C")]
+    assert [r.operation for r in table.log().orderBy("snapshot_id").collect()] == ["create", "merge"]
+    table.commit(append_rows(table.read(), one.withColumn("new", F.lit(1))), datetime(2024, 1, 3))
+    assert table.read().columns == ["id", "v", "new"] and table.read(2).columns == ["id", "v"]
+
+
+TRIPS = "passenger_count int, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz"
+
+
+def test_publishing_needs_a_passing_audit(spark, table):
+    good = spark.createDataFrame([(2, AS_OF, AS_OF)], TRIPS)
+    bad = spark.createDataFrame([(99, AS_OF, AS_OF)], TRIPS)
+    assert table.publish(good, trip_suite(), datetime(2024, 1, 1)) == 1
+    with pytest.raises(QualityError, match="candidate 2 rejected"):
+        table.publish(bad, trip_suite(), datetime(2024, 1, 2))
+    assert table.read().first().passenger_count == 2 and table.log().count() == 1
+    assert table.publish(good.unionByName(good), trip_suite(), datetime(2024, 1, 3)) == 2
+    assert table.read().count() == 2
+    assert table.audits().filter(~F.col("success")).count() == 1
+
+
+def test_expiry_hides_then_removes(spark, table):
+    for age in (40, 30, 20, 2, 1):
+        table.commit(spark.range(age), AS_OF - timedelta(days=age))
+    assert table.stats(AS_OF).first().asDict() == {"total": 5, "expired": 2, "active": 3}
+    assert table.expire(AS_OF) == 2
+    assert sorted(r.snapshot_id for r in table.log().collect()) == [3, 4, 5]
+    assert paths.child_names(spark, f"{table.path}/data") == [f"snapshot_id={i}" for i in (3, 4, 5)]
+    assert sorted(r.snapshot_id for r in table.history().collect()) == [1, 2]
+    with pytest.raises(UnknownSnapshot):
+        table.read(1)
+    assert table.expire(AS_OF) == 0 and table.history().count() == 2
+    assert table.commit(spark.range(1), AS_OF) == 6
+    assert table.stats(AS_OF).first().total == 4
+
+
+def test_interrupted_expiry_is_finished_by_the_next(spark, table, monkeypatch):
+    for age in (40, 30, 20, 2, 1):
+        table.commit(spark.range(age), AS_OF - timedelta(days=age))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(paths, "delete", stop)
+        with pytest.raises(RuntimeError):
+            table.expire(AS_OF)
+    assert table.log().count() == 3
+    assert table.expire(AS_OF) == 0
+    assert len(paths.child_names(spark, f"{table.path}/data")) == 3
+
+
+def test_expiring_nothing_changes_nothing(spark, table):
+    assert table.expire(AS_OF) == 0
+    table.commit(spark.range(1), datetime(2020, 1, 1))
+    assert table.expire(AS_OF) == 0
+    assert not paths.exists(spark, f"{table.path}/expired")
+
+
+@pytest.mark.parametrize("cluster", [True, False])
+def test_transform_end_to_end(spark, folder, cluster):
+    start = datetime(2024, 3, 1)
+    trips = spark.range(0, 4000, 1, 4).select(
+        (F.col("id") % 5).cast("int").alias("passenger_count"),
+        (F.lit(start).cast("timestamp_ntz") + F.make_interval(hours=(F.col("id") % 96).cast("int"))).alias("pickup_datetime"),
+        (F.hash("id") % 180).cast("double").alias("pickup_longitude"),
+        (F.hash(F.col("id") + 1) % 90).cast("double").alias("pickup_latitude"),
+    )
+    trips.write.parquet(f"{folder}/raw")
+    done = transform_trips(spark, f"{folder}/raw", f"{folder}/out", passenger_buckets=2, cluster=cluster)
+    assert done.table.count() == 3200 == done.metrics.get["n_rows"]
+    assert done.metrics.get["pickup_datetime_nulls"] == 0
+    added = {"pickup_date", "year", "month", "day", "hour", "z_order_col", "bucket"}
+    assert set(done.table.columns) == set(trips.columns) | added
+    assert paths.child_names(spark, f"{folder}/out/year=2024/month=3") == [f"day={d}" for d in (1, 2, 3, 4)]
+    assert done.zones.agg(F.sum("n_rows")).first()[0] == 3200
+    assert {r.column for r in done.statistics.collect()} >= {"passenger_count", "pickup_longitude"}
+    span = partition_range("pickup_datetime", datetime(2024, 3, 2, 12), datetime(2024, 3, 3))
+    hit = done.table.filter(span)
+    pruned_by = _plan(hit).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "year" in pruned_by and "month" in pruned_by and "day" in pruned_by
+    expected = trips.filter("passenger_count > 0").filter(
+        F.col("pickup_datetime").between(F.lit("2024-03-02 12:00:00").cast("timestamp_ntz"), F.lit("2024-03-03").cast("timestamp_ntz"))
+    )
+    assert hit.count() == expected.count() > 0
+    assert hit.select("_metadata.file_path").distinct().count() < done.zones.count()
+
+
+def test_transform_can_replace_only_touched_partitions(spark, folder):
+    schema = "passenger_count int, pickup_datetime string, pickup_longitude double, pickup_latitude double"
+    rows = [(1, "2024-01-01 10:00:00", 1.0, 2.0), (1, "2024-01-02 10:00:00", 3.0, 4.0), (0, "2024-01-03 10:00:00", 3.0, 4.0)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/one")
+    spark.createDataFrame([(5, "2024-01-02 11:00:00", 3.0, 4.0)], schema).write.parquet(f"{folder}/two")
+    transform_trips(spark, f"{folder}/one", f"{folder}/out")
+    done = transform_trips(spark, f"{folder}/two", f"{folder}/out", overwrite_partitions_only=True, max_rows_per_file=10)
+    assert sorted((r.day, r.passenger_count) for r in done.table.collect()) == [(1, 1), (2, 5)]
+
+
+def test_transform_filters_in_the_scan(spark):
+    from tarnkit.plans.transform import clean_trips
+
+    columns = TripColumns("l_quantity", "l_shipdate", "l_extendedprice", "l_quantity")
+    cleaned = clean_trips(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet"), columns)
+    plan = _plan(cleaned.select("year", "z_order_col"))
+    assert "GreaterThan(l_quantity,0.0)" in plan
+    assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan
+    assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_tables_of_a_namespace(spark):
+    spark.range(1).createOrReplaceTempView("tarnkit_view")
+    try:
+        row = list_tables(spark).filter("name = 'tarnkit_view'").first()
+        assert row.is_temporary
+    finally:
+        spark.catalog.dropTempView("tarnkit_view")
+
+
+def test_preview_sorts_only_its_first_rows(spark):
+    first = preview(spark.range(100).repartition(4), ["id"])
+    assert [r.id for r in first.collect()] == [0, 1, 2, 3, 4]
+    assert "TakeOrderedAndProject" in _plan(first)
+
+
+def test_scratch_folders_are_fresh_and_shared(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    one, two = scratch_folder(spark, "x"), scratch_folder(spark, "x")
+    assert one != two and (root is None or one.startswith(root))
+    assert RECOMMENDED_SETTINGS["spark.sql.adaptive.enabled"] == "true"
