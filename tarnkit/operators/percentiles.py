@@ -10,7 +10,7 @@ own, so a rank is found wherever it lies.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +34,22 @@ def to_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*cells)))
 
 
-def merge_group() -> Column:
-    return F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+def reduce_columns(df: DataFrame, columns: Sequence[str], measures: Callable[[Column], Mapping[str, Column]]) -> DataFrame:
+    """Aggregates of each column per group of tasks: rows of ``column`` and the named measures.
+
+    The columns are aggregated side by side; only the few reduced rows are turned on their side.
+    """
+    wide, rows = [], []
+    for i, name in enumerate(columns):
+        made = measures(F.col(name).cast("double"))
+        wide += [m.alias(f"{alias}_{i}") for alias, m in made.items()]
+        rows.append(F.struct(F.lit(name).alias("column"), *(F.col(f"{alias}_{i}").alias(alias) for alias in made)))
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    return df.groupBy(group.alias("group")).agg(*wide).select(F.inline(F.array(*rows)))
 
 
-def sketch_of(column: str) -> Column:
-    return F.kll_sketch_agg_double(column, F.lit(SKETCH_SIZE))
+def sketch_of(value: Column) -> Column:
+    return F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE))
 
 
 def merge_sketches(column: str) -> Column:
@@ -140,10 +150,7 @@ def exact_percentiles(
     Nulls do not count; a column of nulls gives no row. Three passes over the columns, two of which
     run when this is called.
     """
-    long = to_long(df, columns)
-    partial = long.groupBy("column", merge_group().alias("part")).agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), sketch_of("value").alias("sketch")
-    )
+    partial = reduce_columns(df, columns, lambda v: {"low": F.min(v), "high": F.max(v), "sketch": sketch_of(v)})
     merged = partial.groupBy("column").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), merge_sketches("sketch").alias("sketch")
     )
@@ -151,4 +158,4 @@ def exact_percentiles(
     grids = {r.column: r.grid for r in found.collect() if r.grid is not None}
     if not grids:
         return df.sparkSession.createDataFrame([], "column string, percentiles array<double>")
-    return rank_exactly(long, grids, probabilities)
+    return rank_exactly(to_long(df, columns), grids, probabilities)

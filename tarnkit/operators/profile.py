@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnkit.operators.percentiles import (
     grid,
-    merge_group,
     merge_sketches,
     quantiles,
     rank_exactly,
+    reduce_columns,
     sketch_of,
     to_long,
 )
@@ -29,22 +29,25 @@ PROFILE_SCHEMA = (
 NUMBERS = ("column", "n", "n_null", "mean", "stddev", "min", "max")
 
 
-def _number_stats(long: DataFrame) -> DataFrame:
+def _measures(value: Column) -> dict[str, Column]:
+    return {
+        "n": F.count(value),
+        "n_null": F.count_if(value.isNull()),
+        "mean": F.avg(value),
+        "spread": F.var_pop(value) * F.count(value),
+        "min": F.min(value),
+        "max": F.max(value),
+        "sketch": sketch_of(value),
+    }
+
+
+def _number_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column, reduced per group of tasks and then over the groups.
 
     Variances of the groups are put together from their means, so large values far from
     zero lose no digits.
     """
-    partial = long.groupBy("column", merge_group().alias("part")).agg(
-        F.count("value").alias("n"),
-        F.count_if(F.col("value").isNull()).alias("n_null"),
-        F.avg("value").alias("mean"),
-        (F.var_pop("value") * F.count("value")).alias("spread"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        sketch_of("value").alias("sketch"),
-    )
-    merged = partial.groupBy("column").agg(
+    merged = reduce_columns(df, columns, _measures).groupBy("column").agg(
         F.sum("n").alias("n"),
         F.sum("n_null").alias("n_null"),
         (F.sum(F.col("mean") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0))).alias("mean"),
@@ -93,10 +96,9 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = F
     texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     parts = []
     if numbers:
-        long = to_long(df, numbers)
-        stats = _number_stats(long)
+        stats = _number_stats(df, numbers)
         if exact:
-            parts.append(_ranked(long, stats))
+            parts.append(_ranked(to_long(df, numbers), stats))
         else:
             parts.append(stats.withColumn("percentiles", quantiles(F.col("sketch"), QUARTILES)))
         at = lambda k: F.get("percentiles", F.lit(k))
