@@ -20,17 +20,18 @@ def gather_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by)
 
 
-def _hashable(kind: T.DataType) -> bool:
+def hashable(kind: T.DataType) -> bool:
+    """Whether values of the type can be hashed and compared."""
     if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind)
+        return all(hashable(f.dataType) for f in kind)
     if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
+        return hashable(kind.elementType)
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def row_hash(df: DataFrame):
     """A 64-bit hash of the row's content, leaving out map columns, which have no hash."""
-    names = [f.name for f in df.schema if _hashable(f.dataType)]
+    names = [f.name for f in df.schema if hashable(f.dataType)]
     return F.xxhash64(*(F.col(f"`{n}`") for n in names)) if names else F.lit(0).cast("bigint")
 
 

@@ -21,9 +21,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure whether a side is small enough to send to every executor.
 
-    Reads at most ``max_rows + 1`` rows; the size counts text and binary values in full.
+    Rows are counted first, which for files means reading footers; only a side with few
+    enough rows is then sized, text, binary and nested values in full.
     """
-    if max_rows <= 0:
+    if max_rows <= 0 or df.count() > max_rows:
         return False
     fixed, sized = 0, []
     for column in df.schema:
@@ -36,8 +37,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     size = F.lit(fixed)
     for length in sized:
         size = size + F.coalesce(length, F.lit(0)) + 8
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("size")).first()
-    return seen.n <= max_rows and (seen["size"] or 0) <= max_bytes
+    return (df.agg(F.sum(size.cast("bigint"))).first()[0] or 0) <= max_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int, min_rows: int) -> list[tuple[int, int]]:

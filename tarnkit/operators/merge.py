@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnkit.operators.layout import hashable
 from tarnkit.operators.lookups import fits_broadcast, left_lookup
 
 AMBIGUOUS = "several source rows match one target row"
@@ -68,12 +69,13 @@ def merge(
     one is first reduced to one row per key, and hot keys on either side are split
     (:func:`~tarnkit.operators.lookups.left_lookup`), so no task gets a whole hot key.
 
-    Condition: Spark plans the two joins from the condition's equalities, with skew left to
-    adaptive execution. A condition without any equality makes it compare every pair of rows.
+    Condition: a small source is broadcast here too. Otherwise Spark plans the joins from the
+    condition's equalities, with skew left to adaptive execution; a condition without any equality
+    makes it compare every pair of rows.
     """
     _check_names(target, when_matched, when_not_matched)
     if isinstance(on, str):
-        return _merge_on_condition(target, source, on, when_matched, when_not_matched)
+        return _merge_on_condition(target, source, on, when_matched, when_not_matched, broadcast_source)
     keys = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     if not keys:
         raise ValueError("no key columns given")
@@ -121,23 +123,29 @@ def _merge_on_condition(
     condition: str,
     when_matched: Assignments | None,
     when_not_matched: Assignments | None,
+    broadcast_source: bool | None,
 ) -> DataFrame:
-    marked = source.withColumn("_matched", F.lit(True)).alias("source")
+    if broadcast_source is None:
+        broadcast_source = fits_broadcast(source)
+    side = F.broadcast if broadcast_source else lambda df: df
+    match = F.expr(condition)
     kept = target
     if when_matched:
+        marked = side(source.withColumn("_matched", F.lit(True)).alias("source"))
         numbered = target.withColumn("_row", F.monotonically_increasing_id()).alias("target")
-        most = (
-            numbered.join(marked, F.expr(condition))
-            .groupBy("_row")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.max("n"))
-            .scalar()
-        )
-        joined = target.alias("target").join(marked, F.expr(condition), "left").filter(_refuse(most > 1))
+        most = numbered.join(marked, match).groupBy("_row").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
+        joined = target.alias("target").join(marked, match, "left").filter(_refuse(most > 1))
         kept = joined.select(*_updated(target, when_matched, F.col("_matched").isNotNull()))
     if not when_not_matched:
         return kept
-    fresh = source.alias("source").join(target.alias("target"), F.expr(condition), "left_anti")
+    if broadcast_source and all(hashable(f.dataType) for f in source.schema):
+        # the source rows that match somewhere, found without moving the target; equal rows match alike
+        pairs = target.alias("target").join(side(source.alias("source")), match)
+        seen = pairs.select(*(F.col(f"source.`{c}`").alias(f"_{i}") for i, c in enumerate(source.columns))).distinct()
+        same = [F.col(f"source.`{c}`").eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(source.columns)]
+        fresh = source.alias("source").join(F.broadcast(seen), same, "left_anti")
+    else:
+        fresh = source.alias("source").join(target.alias("target"), match, "left_anti")
     return kept.unionByName(fresh.select(*_inserted(target, when_not_matched)))
 
 

@@ -32,7 +32,7 @@ class TripColumns:
 
 @dataclass(frozen=True)
 class TransformResult:
-    """What a transform leaves behind. ``zones`` and ``statistics`` are computed when they are read."""
+    """What a transform leaves behind. ``statistics``, and ``zones`` unless written, are computed when read."""
 
     table: DataFrame
     zones: DataFrame
@@ -66,6 +66,7 @@ def transform_trips(
     row_key: Sequence[str] = (),
     max_rows_per_file: int | None = None,
     overwrite_partitions_only: bool = False,
+    zones_path: str | None = None,
 ) -> TransformResult:
     """Clean a trip dataset and write it as a partitioned Parquet table.
 
@@ -73,7 +74,8 @@ def transform_trips(
     sizes the files; it samples its input first. Without it a rebalance gathers each
     partition in a single pass. Either way no task has to write a whole hot partition.
     ``row_key`` and ``files`` are those of :func:`~tarnkit.operators.layout.zorder_layout`; without
-    a key, rows are told apart by the file and position they were read from.
+    a key, rows are told apart by the file and position they were read from. ``zones_path`` keeps
+    the zone map as a dataset of its own.
     """
     trips = read_data(spark, input_path, DataFormat.PARQUET)
     if cluster and not row_key:
@@ -94,7 +96,11 @@ def transform_trips(
     write_data(placed, output_path, DataFormat.PARQUET, partition_by=partition_by, options=options)
     table = spark.read.parquet(output_path)
     indexed = [columns.pickup, columns.longitude, columns.latitude]
-    return TransformResult(table, file_zone_map(spark, output_path, indexed), profile(table), metrics)
+    zones = file_zone_map(spark, output_path, indexed)
+    if zones_path:
+        write_data(zones, zones_path)
+        zones = read_data(spark, zones_path, DataFormat.PARQUET)
+    return TransformResult(table, zones, profile(table), metrics)
 
 
 def partition_range(column: str, first: datetime, last: datetime) -> Column:

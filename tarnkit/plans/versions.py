@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnkit.operators.layout import gather_partitions
 from tarnkit.operators.merge import merge
 from tarnkit.operators.profile import with_run_metrics
 from tarnkit.operators.quality import QualityError, Suite, append_results, gate, run_suite
@@ -92,13 +93,18 @@ class VersionedTable:
 
     # -- writing --------------------------------------------------------------------------
 
-    def _stage(self, df: DataFrame, snapshot_id: int | None, partition_by: Sequence[str]) -> tuple[int, int]:
+    def _stage(
+        self, df: DataFrame, snapshot_id: int | None, partition_by: Sequence[str], laid_out: bool
+    ) -> tuple[int, int]:
         """Write a snapshot that no reader sees yet; returns its id and row count."""
         if snapshot_id is None:
             used = self._commits().agg(F.max("snapshot_id").alias("id")).first().id
             snapshot_id = 1 if used is None else used + 1
         elif not self._commits().filter(F.col("snapshot_id") == snapshot_id).isEmpty():
             raise ValueError(f"snapshot {snapshot_id} was already committed to {self.path}")
+        if partition_by and not laid_out:
+            df = gather_partitions(df, partition_by)
+        # counted in the tasks that write, none of which runs again once it has finished
         counted, seen = with_run_metrics(df, f"snapshot {snapshot_id}")
         writer = counted.write.mode("overwrite")
         if partition_by:
@@ -119,9 +125,13 @@ class VersionedTable:
         operation: str = "overwrite",
         snapshot_id: int | None = None,
         partition_by: Sequence[str] = (),
+        laid_out: bool = False,
     ) -> int:
-        """Make the rows the table's newest snapshot. Earlier ones stay readable."""
-        snapshot_id, n_rows = self._stage(df, snapshot_id, partition_by)
+        """Make the rows the table's newest snapshot. Earlier ones stay readable.
+
+        Rows of a partition are gathered before the write, unless they are ``laid_out`` already.
+        """
+        snapshot_id, n_rows = self._stage(df, snapshot_id, partition_by, laid_out)
         self._record(snapshot_id, committed_at, operation, n_rows)
         return snapshot_id
 
@@ -144,7 +154,12 @@ class VersionedTable:
         return self.commit(merged, committed_at, "merge", partition_by=partition_by)
 
     def publish(
-        self, df: DataFrame, suite: Suite, committed_at: datetime, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        suite: Suite,
+        committed_at: datetime,
+        partition_by: Sequence[str] = (),
+        laid_out: bool = False,
     ) -> int:
         """Write, audit, publish: the rows become a snapshot only when the suite holds on what was written.
 
@@ -152,7 +167,7 @@ class VersionedTable:
         results are kept either way. On failure :class:`QualityError` is raised and the
         table is as before; the rejected files are replaced by the next attempt.
         """
-        snapshot_id, n_rows = self._stage(df, None, partition_by)
+        snapshot_id, n_rows = self._stage(df, None, partition_by, laid_out)
         results = run_suite(self._load(snapshot_id), suite).withColumn("snapshot_id", F.lit(snapshot_id).cast("bigint"))
         append_results(results, self._folder("quality"), suite, committed_at)
         try:

@@ -14,7 +14,8 @@ MODES = [
     {"on": ["id"], "broadcast_source": True},
     {"on": ["id"], "broadcast_source": False},
     {"on": ["id"], "broadcast_source": False, "pieces": 3, "min_rows": 0},
-    {"on": "target.id = source.id"},
+    {"on": "target.id = source.id", "broadcast_source": True},
+    {"on": "target.id = source.id", "broadcast_source": False},
 ]
 
 
@@ -52,7 +53,7 @@ def test_two_source_rows_for_one_target_row_end_the_job(spark, mode):
         merge(target, source, when_matched=UPDATE, **mode).select("w").collect()
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from("abc"), st.integers(0, 3)), max_size=12),
     st.dictionaries(st.integers(0, 9), st.sampled_from("xyz"), max_size=6),

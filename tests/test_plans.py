@@ -60,6 +60,15 @@ def test_a_snapshot_reads_only_its_own_files(spark, table):
     assert all("snapshot_id=2/" in f for f in table.read(2).inputFiles())
 
 
+def test_partitioned_commits_gather_their_rows(spark, table):
+    rows = spark.range(0, 800, 1, 8).select("id", (F.col("id") % 5).alias("p"))
+    table.commit(rows, AS_OF, partition_by=["p"])
+    assert len(table.read().inputFiles()) == 5
+    table.commit(rows, AS_OF, partition_by=["p"], laid_out=True)
+    assert len(table.read().inputFiles()) == 40
+    assert table.log().filter("n_rows = 800").count() == 2
+
+
 def test_upsert_creates_then_merges(spark, table):
     one = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     table.upsert(one, ["id"], datetime(2024, 1, 1))
@@ -134,7 +143,7 @@ def test_transform_end_to_end(spark, folder, cluster):
         (F.hash(F.col("id") + 1) % 90).cast("double").alias("pickup_latitude"),
     )
     trips.write.parquet(f"{folder}/raw")
-    done = transform_trips(spark, f"{folder}/raw", f"{folder}/out", passenger_buckets=2, cluster=cluster)
+    done = transform_trips(spark, f"{folder}/raw", f"{folder}/out", passenger_buckets=2, cluster=cluster, zones_path=f"{folder}/zones")
     assert done.table.count() == 3200 == done.metrics.get["n_rows"]
     assert done.metrics.get["pickup_datetime_nulls"] == 0
     added = {"pickup_date", "year", "month", "day", "hour", "z_order_col", "bucket"}
