@@ -26,21 +26,25 @@ class Expectation:
     max_value: float | None = None
 
     def violated(self) -> Column | None:
-        """True for a row that breaks the expectation; None where only the schema is checked."""
+        """True for a row that breaks the expectation, null or false otherwise; None where only the
+        schema is checked. Kept plain, so that a filter on it reaches the Parquet scan."""
         value = F.col(self.column)
         if self.kind == VALUES_NOT_NULL:
             return value.isNull()
         if self.kind != VALUES_BETWEEN:
             return None
-        sides = []
-        if self.min_value is not None:
-            sides.append(value < F.lit(self.min_value))
-        if self.max_value is not None:
-            sides.append(value > F.lit(self.max_value))
-        if not sides:
+        if self.min_value is None and self.max_value is None:
             return F.lit(False)
-        # null compares to null, and a null value breaks no range
-        return F.coalesce(sides[0] if len(sides) == 1 else sides[0] | sides[1], F.lit(False))
+        if self.min_value is None:
+            return value > F.lit(self.max_value)
+        if self.max_value is None:
+            return value < F.lit(self.min_value)
+        return (value < F.lit(self.min_value)) | (value > F.lit(self.max_value))
+
+    def holds(self) -> Column:
+        """The opposite, for a row: null breaks no range."""
+        value = F.col(self.column)
+        return value.isNotNull() if self.kind == VALUES_NOT_NULL else value.isNull() | ~self.violated()
 
     @property
     def label(self) -> str:
@@ -187,5 +191,5 @@ def accepted(df: DataFrame, suite: Suite) -> DataFrame:
     """Rows that break no value expectation: the complement of :func:`quarantine`."""
     for e in suite.expectations:
         if e.column in df.columns and e.violated() is not None:
-            df = df.filter(~e.violated())
+            df = df.filter(e.holds())
     return df

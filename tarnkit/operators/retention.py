@@ -27,6 +27,40 @@ def list_snapshots(log: DataFrame, table: Sequence[str] = (), id: str = "snapsho
     return log.select(*table, id, at)
 
 
+def _with_boundary(
+    log: DataFrame,
+    as_of: datetime,
+    retention_days: int,
+    keep: int,
+    table: Sequence[str],
+    id: str,
+    at: str,
+) -> tuple[DataFrame, Column]:
+    """The log with each table's oldest protected snapshot, and the test for having expired.
+
+    Each task keeps only ``keep`` rows per table before the shuffle (a window group limit), so a
+    table with very many snapshots is never sorted in one task. A table with fewer
+    snapshots has no boundary, and nothing of it expires.
+    """
+    old = F.col(at) < instant(as_of - timedelta(days=retention_days))
+    if keep <= 0:
+        return log, old
+    if not table:
+        newest = log.select(at, id).orderBy(F.desc(at), F.desc(id)).limit(keep)
+        boundary = newest.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min(F.struct(at, id)).alias("place"))).scalar()
+        found = log.withColumn("_boundary", boundary)
+        last = F.col("_boundary")["place"]
+        return found, old & (F.col("_boundary")["n"] == keep) & (F.struct(at, id) < last)
+    rank = F.row_number().over(Window.partitionBy(*table).orderBy(F.desc(at), F.desc(id)))
+    boundary = (
+        log.select(*table, F.col(at).alias("_at"), F.col(id).alias("_id"), rank.alias("_rank"))
+        .filter(F.col("_rank") == keep)
+        .drop("_rank")
+    )
+    later = (F.col(at) < F.col("_at")) | ((F.col(at) == F.col("_at")) & (F.col(id) < F.col("_id")))
+    return left_lookup(log, boundary, table), old & later
+
+
 def mark_expired(
     log: DataFrame,
     as_of: datetime,
@@ -39,33 +73,27 @@ def mark_expired(
     """Add ``expired``: older than ``as_of - retention_days``, strictly, and not among the table's newest ``keep``.
 
     Equal times rank by the larger id. ``table`` names the columns that tell tables apart; empty
-    means the log of a single table. Each task keeps only ``keep`` rows per table before the
-    shuffle (a window group limit), and the oldest of those is the table's boundary; so a
-    table with very many snapshots is never sorted in one task.
+    means the log of a single table.
     """
-    old = F.col(at) < instant(as_of - timedelta(days=retention_days))
-    if keep <= 0:
-        return log.withColumn("expired", F.coalesce(old, F.lit(False)))
-    place = F.struct(F.col(at), F.col(id))
-    order = [F.desc(at), F.desc(id)]
-    if not table:
-        newest = log.select(at, id).orderBy(*order).limit(keep)
-        boundary = newest.agg(F.min(place)).scalar()
-        return log.withColumn("_oldest_kept", boundary).withColumn(
-            "expired", F.coalesce(old & (place < F.col("_oldest_kept")), F.lit(False))
-        ).drop("_oldest_kept")
-    rank = F.row_number().over(Window.partitionBy(*table).orderBy(*order))
-    kept = log.select(*table, at, id).withColumn("_rank", rank).filter(F.col("_rank") <= keep)
-    boundary = kept.groupBy(*table).agg(F.min(place).alias("_oldest_kept"))
-    marked = left_lookup(log, boundary, table)
-    return marked.withColumn(
-        "expired", F.coalesce(old & (place < F.col("_oldest_kept")), F.lit(False))
-    ).select(*log.columns, "expired")
-
-
-def expired_snapshots(log: DataFrame, as_of: datetime, **rules) -> DataFrame:
-    """Rows of the log whose snapshot has expired; takes the arguments of :func:`mark_expired`."""
-    return mark_expired(log, as_of, **rules).filter("expired").drop("expired")
+    found, test = _with_boundary(log, as_of, retention_days, keep, table, id, at)
+    return found.withColumn("expired", F.coalesce(test, F.lit(False))).select(*log.columns, "expired")
+
+
+def expired_snapshots(
+    log: DataFrame,
+    as_of: datetime,
+    retention_days: int = RETENTION_DAYS,
+    keep: int = MIN_SNAPSHOTS,
+    table: Sequence[str] = (),
+    id: str = "snapshot_id",
+    at: str = "committed_at",
+) -> DataFrame:
+    """Rows of the log whose snapshot has expired, by the rules of :func:`mark_expired`.
+
+    The age test reaches the scan of the log, so only old rows are looked up.
+    """
+    found, test = _with_boundary(log, as_of, retention_days, keep, table, id, at)
+    return found.filter(test).select(*log.columns)
 
 
 def snapshot_stats(log: DataFrame, as_of: datetime, table: Sequence[str] = (), **rules) -> DataFrame:

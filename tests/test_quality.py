@@ -117,3 +117,12 @@ def test_bad_and_good_rows_are_complements(spark):
 
 def test_quarantine_without_value_checks_is_empty(spark):
     assert quarantine(_trips(spark, 0), Suite("s").add(column_exists("passenger_count"))).count() == 0
+
+
+def test_row_filters_reach_the_scan(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    suite = trip_suite("l_quantity", "l_shipdate", "l_shipdate")
+    pushed = _plan(quarantine(lines, suite)).split("PushedFilters: [")[1].split("]")[0]
+    assert "LessThan(l_quantity,1.0)" in pushed and "IsNull(l_shipdate)" in pushed
+    pushed = _plan(accepted(lines, suite)).split("PushedFilters: [")[1].split("]")[0]
+    assert "LessThanOrEqual(l_quantity,8.0)" in pushed

@@ -80,3 +80,9 @@ def test_tasks_keep_few_rows_per_table_before_the_shuffle(spark):
     marked = mark_expired(log, AS_OF, table=["table"])
     plan = marked._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.rindex("Exchange hashpartitioning(table") < plan.rindex("WindowGroupLimit")
+
+
+def test_only_old_rows_are_looked_up(spark):
+    log = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    found = expired_snapshots(log, AS_OF, table=["user_id"], id="event_id", at="ts")
+    assert "LessThan(ts,2024-01-24" in found._jdf.queryExecution().executedPlan().toString()
