@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -16,8 +17,11 @@ from tarnkit.operators.records import keep_positive, with_bucket
 from tarnkit.operators.retention import instant
 from tarnkit.operators.zones import file_zone_map
 from tarnkit.sources.formats import DataFormat, read_data, write_data
+from tarnkit.sources.landing import stored_size
 
+# Default partition columns and target file size.
 PARTITION_BY = ("year", "month", "day")
+TARGET_FILE_BYTES = 536870912
 
 
 @dataclass(frozen=True)
@@ -62,7 +66,7 @@ def transform_trips(
     bounds: tuple[float, float, float, float] | None = None,
     passenger_buckets: int | None = None,
     cluster: bool = True,
-    files: int | None = None,
+    target_file_bytes: int = TARGET_FILE_BYTES,
     row_key: Sequence[str] = (),
     max_rows_per_file: int | None = None,
     overwrite_partitions_only: bool = False,
@@ -70,18 +74,22 @@ def transform_trips(
 ) -> TransformResult:
     """Clean a trip dataset and write it as a partitioned Parquet table.
 
-    ``cluster`` lays each partition out along the Z-order curve with one range shuffle, which also
-    sizes the files; it samples its input first. Without it a rebalance gathers each
-    partition in a single pass. Either way no task has to write a whole hot partition.
-    ``row_key`` and ``files`` are those of :func:`~tarnkit.operators.layout.zorder_layout`; without
-    a key, rows are told apart by the file and position they were read from. ``zones_path`` keeps
-    the zone map as a dataset of its own.
+    ``cluster`` lays each partition out along the Z-order curve with one range shuffle, in as many
+    equal parts as the input holds ``target_file_bytes`` (fewer parts than cores are left to
+    adaptive execution); it samples its input first. Without it a rebalance gathers each
+    partition in a single pass, sized by the session's advisory partition size. Either way no
+    task has to write a whole hot partition. ``row_key`` names columns that tell rows apart;
+    without it they are told apart by the file and position they were read from. ``zones_path``
+    keeps the zone map as a dataset of its own.
     """
     trips = read_data(spark, input_path, DataFormat.PARQUET)
     if cluster and not row_key:
         trips = trips.withColumn("_origin", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     cleaned = clean_trips(trips, columns, bounds, passenger_buckets)
     if cluster:
+        files = math.ceil(stored_size(spark, input_path)[1] / target_file_bytes)
+        if files < spark.sparkContext.defaultParallelism:
+            files = None
         placed = zorder_layout(
             cleaned, files=files, partition_by=partition_by, row_key=row_key or ("_origin",)
         ).drop("_origin")

@@ -18,6 +18,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 RECOMMENDED_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # merge small partitions up to the advisory size, not only down to one per core
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(512 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),

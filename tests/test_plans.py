@@ -162,6 +162,17 @@ def test_transform_end_to_end(spark, folder, cluster):
     assert hit.select("_metadata.file_path").distinct().count() < done.zones.count()
 
 
+def test_transform_sizes_its_files(spark, folder):
+    columns = TripColumns("l_quantity", "l_shipdate", "l_extendedprice", "l_quantity")
+    source = "/root/testdata/sf0.01/lineitem.parquet"
+    done = transform_trips(spark, source, f"{folder}/t", partition_by=["year"], columns=columns, target_file_bytes=100_000)
+    per_year = {r.year: r.n for r in done.zones.groupBy(F.regexp_extract("file", r"year=(\d+)", 1).alias("year")).agg(F.count("*").alias("n")).collect()}
+    # eleven parts of neighbouring rows, and seven years
+    assert 11 <= sum(per_year.values()) <= 17
+    sizes = [r.n_rows for r in done.zones.collect()]
+    assert max(sizes) < 2 * 60_000 / 11
+
+
 def test_transform_can_replace_only_touched_partitions(spark, folder):
     schema = "passenger_count int, pickup_datetime string, pickup_longitude double, pickup_latitude double"
     rows = [(1, "2024-01-01 10:00:00", 1.0, 2.0), (1, "2024-01-02 10:00:00", 3.0, 4.0), (0, "2024-01-03 10:00:00", 3.0, 4.0)]
