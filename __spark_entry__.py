@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -371,8 +372,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return transform_trips(spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators and their pipeline, where these are installed."""
+    if find_spec("tarnkit.llm") is None:
+        return {}, {}
+    from tarnkit.llm import queries as llm
+
+    built, sql = dict(llm.QUERIES), dict(llm.ORACLE_SQL)
+    if find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        built["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return built, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return _training_data()[0] | {
         build.__name__: build
         for build in (
             filter_positive,
@@ -507,7 +524,7 @@ def oracle_sql() -> dict[str, str]:
                   AND ts < TIMESTAMP '2024-01-31' - INTERVAL 7 DAY AS expired
         FROM events"""
     stats = "count(*) AS total, count(*) FILTER (expired) AS expired, count(*) FILTER (NOT expired) AS active"
-    return {
+    return _training_data()[1] | {
         "filter_positive": "SELECT * FROM customer WHERE c_acctbal > 0",
         "time_parts": f"SELECT event_id, ts AS pickup_date, {parts_of('ts')} FROM events",
         "bucket_column": "SELECT o_orderkey, (o_custkey % 16)::INT AS bucket FROM orders",
