@@ -22,13 +22,22 @@ def key_bits(keys: DataFrame, hashed: Column, bits: int = BITS) -> DataFrame:
     )
 
 
-def maybe_in(rows: DataFrame, hashed: Column, key_filter: DataFrame, bits: int = BITS) -> DataFrame:
-    """Rows whose hash may be among the filter's keys: all that are, and a share of the others that grows with the
-    filter's load, up to all of them. It saves moving rows and never loses one; the exact join follows.
+def with_maybe(rows: DataFrame, hashed: Column, key_filter: DataFrame, name: str, bits: int = BITS) -> DataFrame:
+    """Add a flag: whether a row's hash may be among the filter's keys. True for all that are, and for a share of the
+    others that grows with the filter's load, up to all of them; never true for a null hash.
 
     The filter is broadcast: at most 2^(bits - 6) rows of 16 bytes, 1 MB for 22 bits.
     """
-    at = _bit(hashed, bits)
-    held = rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6)).join(F.broadcast(key_filter), "_word")
+    found = (
+        rows.withColumn("_at", _bit(hashed, bits))
+        .withColumn("_word", F.shiftright("_at", 6))
+        .join(F.broadcast(key_filter), "_word", "left")
+    )
     hit = F.expr("shiftright(_mask, cast(_at & 63 as int)) & 1") == 1
-    return held.filter(hit).drop("_at", "_word", "_mask")
+    return found.withColumn(name, F.coalesce(hit, F.lit(False))).drop("_at", "_word", "_mask")
+
+
+def maybe_in(rows: DataFrame, hashed: Column, key_filter: DataFrame, bits: int = BITS) -> DataFrame:
+    """The rows that may have a partner among the filter's keys. It saves moving rows and never loses one; the exact
+    join follows."""
+    return with_maybe(rows, hashed, key_filter, "_maybe", bits).filter("_maybe").drop("_maybe")

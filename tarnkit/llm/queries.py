@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnkit.llm.exact_dedup import exact_dedup
+from tarnkit.llm.line_dedup import dedup_lines
 from tarnkit.llm.packing import pack_documents
 from tarnkit.llm.sharding import shard_rows
 from tarnkit.llm.token_counts import count_tokens
@@ -48,6 +49,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(rows, SHARDS, "doc_id").withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), word_bpe())
 
@@ -59,7 +65,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op8_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op5_line_dedup, op8_packing, op10_token_counts)}
 
 ORACLE_SQL = {
     "op2_exact_dedup": r"""
@@ -71,4 +77,15 @@ ORACLE_SQL = {
                count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) = 1 AS kept, text_sha256
         FROM t""",
+    "op5_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, pos, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS line
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+        k AS (SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        j AS (SELECT l.*, keeper IS NOT NULL AND doc_id <> keeper AS dropped FROM l LEFT JOIN k USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+        FROM j GROUP BY doc_id""",
 }
