@@ -6,14 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnkit.llm.exact_dedup import exact_dedup
+from tarnkit.llm.html_extract import extract_pages
 from tarnkit.llm.line_dedup import dedup_lines
+from tarnkit.llm.near_dedup import near_duplicates
 from tarnkit.llm.packing import pack_documents
 from tarnkit.llm.sharding import shard_rows
 from tarnkit.llm.token_counts import count_tokens
+from tarnkit.llm.url_filter import filter_urls
 from tarnkit.llm.workers import importable
 
 SHARDS = 40
 MAX_TOKENS = 2048
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
 
 
 def _path(sf_dir: str, table: str) -> str:
@@ -32,6 +42,11 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_pages(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, _path(sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
@@ -54,10 +69,20 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), word_bpe())
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    judged = filter_urls(pages, _read(spark, sf_dir, "documents").select("text"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(_read(spark, sf_dir, "documents"), word_bpe(), MAX_TOKENS)
     return counted.select(
@@ -65,7 +90,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op5_line_dedup, op8_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+        op1_html_extraction,
+        op2_exact_dedup,
+        op4_sharding,
+        op5_line_dedup,
+        op6_near_dedup,
+        op8_packing,
+        op9_url_filters,
+        op10_token_counts,
+    )}
 
 ORACLE_SQL = {
     "op2_exact_dedup": r"""
