@@ -7,10 +7,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnkit.llm.components import stored
 from tarnkit.llm.html_pages import Page
-from tarnkit.llm.workers import slices
+from tarnkit.llm.workers import add_columns, slices
 from tarnkit.operators.lookups import fits_broadcast
 
 #: Containers with a smaller share of their page's score don't vote.
@@ -69,20 +70,18 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     found = found.select(*[F.col(f"`{c}`") for c in kept], "host", "path", "__html")
     n = len(kept)
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 256):
-                texts, taken = [], []
-                for path, source in zip(part.column(n + 1).to_pylist(), part.column(n + 2).to_pylist()):
-                    page = Page(source or "", path)
-                    text = page.text()
-                    if not text and page.best() is not None:
-                        path = page.best()
-                        text = Page(source, path).text()
-                    texts.append(text)
-                    taken.append(path if text else None)
-                columns = [*part.columns[: n + 1], pa.array(taken, pa.string()), pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, "host", "path", "text"])
-
-    schema = found.drop("__html").schema.add("text", "string")
-    return found.mapInArrow(extract, schema)
+    def extract(part: pa.RecordBatch) -> list[pa.Array]:
+        texts, taken = [], []
+        for path, source in zip(part.column(n + 1).to_pylist(), part.column(n + 2).to_pylist()):
+            page = Page(source or "", path)
+            text = page.text()
+            if not text and page.best() is not None:
+                path = page.best()
+                text = Page(source, path).text()
+            texts.append(text)
+            taken.append(path if text else None)
+        return [pa.array(taken, pa.string()), pa.array(texts, pa.string())]
+
+    added = T.StructType().add("__path", "string").add("text", "string")
+    read = add_columns(found, added, extract, 256)
+    return read.select(*[F.col(f"`{c}`") for c in kept], "host", F.col("__path").alias("path"), "text")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnkit.llm.workers import chunk_ids, slices
 from tarnkit.session import scratch_folder
@@ -114,7 +115,7 @@ def pack(pieces: DataFrame, length: int, open_bins: int, tokens_per_task: int) -
                 [*batch.schema.names, "sequence_id", "offset"],
             )
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*pieces.schema.fields, *T.StructType().add("sequence_id", "long").add("offset", "long").fields])
     return dealt.mapInArrow(fill, schema)
 
 

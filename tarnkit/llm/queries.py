@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnkit.llm.exact_dedup import exact_dedup
 from tarnkit.llm.html_extract import extract_pages
+from tarnkit.llm.language_id import held_out, identify_languages, train
 from tarnkit.llm.line_dedup import dedup_lines
 from tarnkit.llm.near_dedup import near_duplicates
 from tarnkit.llm.packing import pack_documents
@@ -73,6 +74,12 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = identify_languages(docs.select("doc_id", "text"), train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), word_bpe())
 
@@ -96,6 +103,7 @@ QUERIES = {f.__name__: f for f in (
         op4_sharding,
         op5_line_dedup,
         op6_near_dedup,
+        op7_language_id,
         op8_packing,
         op9_url_filters,
         op10_token_counts,

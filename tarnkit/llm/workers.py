@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tarnkit.llm.chunks import ChunkIds, PrefixCounts
 
@@ -30,3 +32,17 @@ def prefix_counts(path: str) -> PrefixCounts:
 def slices(batch: pa.RecordBatch, rows: int):
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def add_columns(rows: DataFrame, added: T.StructType, compute: Callable[[pa.RecordBatch], list[pa.Array]], size: int) -> DataFrame:
+    """``rows`` with the columns that ``compute`` gives for at most ``size`` rows at a time. Names may hold any character."""
+    names = [f"c{k}" for k in range(len(rows.columns))]
+    types = [T.StructField(n, f.dataType) for n, f in zip(names, rows.schema)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, size):
+                yield pa.RecordBatch.from_arrays([*part.columns, *compute(part)], [*names, *added.names])
+
+    found = rows.toDF(*names).mapInArrow(run, T.StructType([*types, *added.fields]))
+    return found.toDF(*rows.columns, *added.names)
