@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnkit.llm.decontamination import contamination
 from tarnkit.llm.exact_dedup import exact_dedup
 from tarnkit.llm.html_extract import extract_pages
 from tarnkit.llm.language_id import held_out, identify_languages, train
@@ -54,6 +55,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the item and where it stands."""
+    found = contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_matched", "n_words")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = _read(spark, sf_dir, "documents").select(
@@ -100,6 +107,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
         op1_html_extraction,
         op2_exact_dedup,
+        op3_decontamination,
         op4_sharding,
         op5_line_dedup,
         op6_near_dedup,
