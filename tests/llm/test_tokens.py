@@ -1,0 +1,140 @@
+"""Token counts and packing, against the tokenizer library."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tarnkit.llm.chunks import ChunkIds, PrefixCounts
+from tarnkit.llm.packing import OpenBins, pack, pack_documents, packed_sequences, token_pieces
+from tarnkit.llm.token_counts import count_tokens, tokens_at
+
+# fixed values: texts that normalising, contractions, special tokens and unusual symbols make difficult
+HARD = [
+    "don't", "we'll", "!!'re", "it's<|endoftext|>x", "ΑΣ", "İx", "état", "á̧", "日本語テキスト", "🙂🙂👍🏽", "x y", "12345", "...!?",
+    "internationalization", "'t", "''", "'l", "'ve", "<|startoftext", "<|startoftext|><|endoftext|>", "a\tb", "\x85", "ǅ", "ẞ", "ﬀ",
+    "aaaaaaaaaaaa", "!!!!!!!!!!!!!!!!!!!", "CamelCase", "̀x", "Å", "\x1c", "'s's", "the" * 20, "안녕하세요",
+]
+
+
+def mixtures(n, seed):
+    rng = random.Random(seed)
+    seps = ["", " ", "\n", "  ", "-", "'"]
+    return ["".join(rng.choice(HARD) + rng.choice(seps) for _ in range(rng.randint(1, 5))) for _ in range(n)]
+
+
+def test_ids_are_the_librarys(bpe):
+    library, own = Tokenizer.from_file(bpe), ChunkIds(bpe)
+    for text in ["", " ", *HARD, *mixtures(500, 1)]:
+        assert np.frombuffer(own.of_text(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_every_prefix_count_is_the_librarys(bpe):
+    library, own = Tokenizer.from_file(bpe), PrefixCounts(bpe)
+    for text in [*HARD, *mixtures(300, 2)]:
+        counts = own.of_text(text)
+        assert len(counts) == len(text)
+        for i in range(1, len(text) + 1):
+            assert counts[i - 1] == len(library.encode(text[:i], add_special_tokens=False).ids), text[:i]
+
+
+def test_counts_of_rows(docs, bpe):
+    library = Tokenizer.from_file(bpe)
+    texts = [None, "", "one two three", "one two three", "x" * 5000, " ".join(mixtures(50, 3))]
+    rows = {r.doc_id: r for r in count_tokens(docs(texts), bpe, 2, keep_prefixes=True).collect()}
+    for k, text in enumerate(texts):
+        text = text or ""
+        assert rows[k].n_tokens == len(library.encode(text, add_special_tokens=False).ids)
+        assert (rows[k].n_bytes, rows[k].n_chars) == (len(text.encode()), len(text))
+        fits = [i for i in range(len(text) + 1) if i == 0 or len(library.encode(text[:i], add_special_tokens=False).ids) <= 2] if len(text) < 100 else None
+        if fits is not None:
+            assert rows[k].fit_chars == fits[-1]
+    counted = count_tokens(docs(texts), bpe, 2, keep_prefixes=True).filter("doc_id = 2")
+    at = counted.select(*[tokens_at("prefix_counts", F.lit(n)).alias(f"n{n}") for n in (0, 3, 5, 13)]).first()
+    assert list(at) == [len(library.encode("one two three"[:n], add_special_tokens=False).ids) for n in (0, 3, 5, 13)]
+
+
+def test_counts_of_no_rows_and_of_clashing_columns(docs, bpe):
+    assert count_tokens(docs([]), bpe, 5).count() == 0
+    more = docs(["a b"]).withColumn("n_tokens", F.lit("x")).withColumn("a.b", F.lit(1)).withColumn("doc_id", F.lit(None).cast("bigint"))
+    assert count_tokens(more, bpe, 5).collect()[0].n_tokens == 2
+
+
+def check_packing(pieces, length):
+    """Pieces fill their sequences from 0 without gaps and are never longer than a sequence."""
+    by_sequence = {}
+    for p in pieces:
+        by_sequence.setdefault(p.sequence_id, []).append(p)
+    for parts in by_sequence.values():
+        at = 0
+        for p in sorted(parts, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= length
+    return by_sequence
+
+
+def test_documents_are_cut_and_packed(docs, bpe):
+    library = Tokenizer.from_file(bpe)
+    texts = [None, "", "same words", "same words", "word " * 50, *mixtures(40, 4)]
+    source = docs(texts)
+    pieces = pack_documents(source, bpe, length=16, end_id=1, open_bins=8, tokens_per_task=1 << 20).collect()
+    check_packing(pieces, 16)
+    for k, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        own = sorted((p for p in pieces if p.doc_id == k), key=lambda p: p.piece)
+        assert [p.start for p in own] == list(range(0, len(ids), 16))
+        assert sum(p.length for p in own) == len(ids)
+        for p in own:
+            import zlib
+
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start : p.start + p.length], "<u4").tobytes())
+    cut = token_pieces(source, bpe, 16, 1)
+    placed = source.sparkSession.createDataFrame(pieces)
+    whole = packed_sequences(cut, placed).collect()
+    assert sum(r.n_tokens for r in whole) == sum(p.length for p in pieces)
+    assert all(len(r.ids) == 4 * r.n_tokens for r in whole)
+
+
+def test_packing_no_rows(docs, bpe):
+    assert pack_documents(docs([]), bpe).count() == 0
+
+
+def test_packing_over_several_tasks(spark):
+    rng = random.Random(5)
+    sizes = [rng.randint(1, 100) for _ in range(3000)]
+    pieces = spark.createDataFrame([(k, n) for k, n in enumerate(sizes)], "doc_id bigint, length bigint")
+    out = pack(pieces, 100, open_bins=64, tokens_per_task=40_000).collect()
+    sequences = check_packing(out, 100)
+    assert len(out) == 3000
+    assert len(sequences) <= 1.1 * sum(sizes) / 100
+
+
+@pytest.mark.parametrize("most", [1, 4, 64])
+def test_open_bins_against_a_plain_best_fit(most):
+    """The bitset finds what a search through all open bins does; the fullest closes first."""
+    rng = random.Random(most)
+    bins, plain = OpenBins(50, most), []
+    n_bins = 0
+    for _ in range(2000):
+        size = rng.randint(1, 50)
+        bin_, offset = bins.place(size)
+        fitting = [b for b in plain if b[0] >= size]
+        if fitting:
+            free = min(b[0] for b in fitting)
+            assert 50 - offset == free and any(b[1] == bin_ for b in fitting if b[0] == free)
+            plain = [b for b in plain if b[1] != bin_]
+        else:
+            assert (bin_, offset) == (n_bins, 0)
+            n_bins += 1
+        if 50 - offset - size:
+            plain.append((50 - offset - size, bin_))
+        assert bins.n_open <= most
+        if len(plain) > most:
+            least = min(b[0] for b in plain)
+            open_now = {b for spaces in bins.by_space for b in spaces}
+            closed = [b for b in plain if b[1] not in open_now]
+            assert len(closed) == 1 and closed[0][0] == least
+            plain.remove(closed[0])
