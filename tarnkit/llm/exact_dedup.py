@@ -20,6 +20,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # or every state partition would set aside several MB of disk before it holds anything
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
