@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from tarnkit.llm.keyfilter import key_bits, maybe_in
+from tarnkit.llm.keyfilter import key_bits, with_maybe
 from tarnkit.session import scratch_folder
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -31,7 +31,8 @@ def normalised(text: Column) -> Column:
 
 
 def digest(text: Column) -> Column:
-    return F.sha2(normalised(text), 256)
+    # never null, so that no join has it computed once more to filter nulls out
+    return F.coalesce(F.sha2(normalised(text), 256), F.lit(""))
 
 
 def _candidate(text: Column, doc_id: Column) -> Column:
@@ -131,6 +132,7 @@ def exact_dedup(
     """
     state = digest_state(spark, path, text, doc_id, digest_of, **stream_options)
     content = F.col(f"`{text}`").cast("string")
+    key = F.xxhash64("digest")
     rows = spark.read.parquet(path).select(
         F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
         digest_of(content).alias("digest"),
@@ -138,8 +140,15 @@ def exact_dedup(
         F.coalesce(F.length(content), F.lit(0)).alias("n_chars"),
         _locator().alias("row"),
     )
-    shared = _shared_digests(spark, rows, state)
-    found = rows.select("doc_id", "digest", "row").join(state, "digest")
+    # digests are computed once more here and kept, with the content of the rows that may share one: a bounded filter
+    # of the digests with several rows leaves out most of the others
+    flagged = with_maybe(rows, key, key_bits(state.filter("n > 1"), key), "hit")
+    held = flagged.select("doc_id", "digest", "n_chars", "row", F.when(F.col("hit"), F.col("content")).alias("content"))
+    folder = scratch_folder(spark, "digests")
+    held.write.parquet(folder)
+    held = spark.read.schema(held.schema).parquet(folder)
+    shared = _shared_digests(spark, held.filter("content IS NOT NULL"), state)
+    found = held.select("doc_id", "digest", "row").join(state, "digest")
     if shared is not None:
         found = found.join(shared, "digest", "left_anti")
     result = found.select("doc_id", "digest", "keep_id", F.col("n").alias("group_size"), F.expr("row <=> locator").alias("kept"))
@@ -147,7 +156,7 @@ def exact_dedup(
         return result
     same = W.partitionBy("digest", "content")
     order = same.orderBy(F.desc("n_chars"), F.asc_nulls_last("doc_id"), "row")
-    anew = rows.join(shared, "digest", "left_semi").select(
+    anew = held.join(shared, "digest", "left_semi").select(
         "doc_id",
         "digest",
         F.first("doc_id").over(order).alias("keep_id"),
@@ -160,18 +169,16 @@ def exact_dedup(
 def _shared_digests(spark: SparkSession, rows: DataFrame, state: DataFrame) -> DataFrame | None:
     """Digests under which there are different texts, or None: every hit's bytes are compared.
 
-    Texts of digests with one row do not move: a bounded filter of the other digests keeps most of them
-    back at the scan. A digest with more than a thousandth of all rows is spread over salts; there are fewer than a
-    thousand such digests, so their list can be broadcast.
+    A digest with more than a thousandth of all rows is spread over salts; there are fewer than a thousand such
+    digests, so their list can be broadcast.
     """
     hits = state.filter("n > 1")
     total = state.agg(F.sum("n")).first()[0] or 0
-    key = F.xxhash64("digest")
     parts = F.expr(f"cast(n * 1000 div {max(total, 1)} as int)")
     salted = hits.withColumn("parts", parts)
     hot = F.broadcast(salted.filter("parts > 0").select("digest", "parts"))
     members = (
-        maybe_in(rows.select("doc_id", "digest", "content", "row"), key, key_bits(hits, key))
+        rows.select("digest", "content", "row")
         .join(hot, "digest", "left")
         .withColumn("salt", F.coalesce(F.expr("cast(pmod(xxhash64(row), parts + 1) as int)"), F.lit(0)))
         .drop("parts")
