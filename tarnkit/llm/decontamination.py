@@ -31,8 +31,9 @@ def _word_hashes(text: Column) -> Column:
     return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, words: str, lengths: Sequence[int]) -> DataFrame:
-    """``rows`` without ``words``, a row for each seed: seed, at (its first word)."""
+def _seeds(rows: DataFrame, words: str, lengths: Sequence[int], of_kind: Column | None = None) -> DataFrame:
+    """``rows`` without ``words``, a row for each seed: seed, at (its first word). There are kinds of seeds: 0 for the
+    masks, and each of ``lengths`` for so many words in a row; all of them, or the one ``of_kind`` names."""
     span = len(MASKS[0])
     shortest = min([span, *lengths])
     last = F.size(words) - shortest
@@ -40,14 +41,16 @@ def _seeds(rows: DataFrame, words: str, lengths: Sequence[int]) -> DataFrame:
     kept = [c for c in rows.columns if c != words]
     placed = rows.select(*kept, words, F.explode(starts).alias("at"))
     at, size = F.col("at"), F.size(words)
-    # past the end a word is null, and so is the seed
     word = lambda k: F.get(words, at + k)
-    seeds = [
-        F.when(at + span <= size, F.xxhash64(F.lit(m), *[word(k) for k in range(span) if mask[k] == "1"]))
-        for m, mask in enumerate(MASKS)
-    ]
-    seeds += [F.when(at + n <= size, F.xxhash64(F.lit(-n), *[word(k) for k in range(n)])) for n in lengths]
-    return placed.select(*kept, "at", F.explode(F.array(*seeds)).alias("seed")).filter("seed IS NOT NULL")
+    seeds = {0: [F.xxhash64(F.lit(m), *[word(k) for k in range(span) if mask[k] == "1"]) for m, mask in enumerate(MASKS)]}
+    seeds |= {n: [F.xxhash64(F.lit(-n), *[word(k) for k in range(n)])] for n in lengths}
+    inside = lambda n: at + (n or span) <= size
+    if of_kind is not None:
+        # each row has seeds of one kind
+        which = F.coalesce(*[F.when((of_kind == n) & inside(n), F.array(*found)) for n, found in seeds.items()])
+    else:
+        which = F.array(*[F.when(inside(n), seed) for n, found in seeds.items() for seed in found])
+    return placed.select(*kept, "at", F.explode(which).alias("seed")).filter("seed IS NOT NULL")
 
 
 def contamination(
@@ -75,10 +78,10 @@ def contamination(
     items = stored(items.filter(F.size("item") >= LEAST_WORDS).distinct(), "items")
     span = len(MASKS[0])
     lengths = [r.n for r in items.select(F.size("item").alias("n")).filter(F.col("n") < span).distinct().orderBy("n").collect()]
-    item_seeds = _seeds(items.withColumn("n_words", F.size("item")), "item", lengths)
-    # an item as short as that has but the seed of all its words
-    whole = F.col("n_words").isin(lengths) if lengths else F.lit(False)
-    item_seeds = stored(item_seeds.filter(~whole | (F.col("at") == 0)).drop("n_words").withColumnRenamed("at", "item_at"), "item-seeds")
+    # items shorter than a mask are found by all their words in a row
+    n_words = F.col("n_words")
+    item_seeds = _seeds(items.withColumn("n_words", F.size("item")), "item", lengths, F.when(n_words < span, n_words).otherwise(0))
+    item_seeds = stored(item_seeds.select("item_id", "seed", F.col("at").alias("item_at")), "item-seeds")
     content = F.col(f"`{text}`")
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.coalesce(content.cast("string"), F.lit(""))).alias("tag"), content.alias("content")

@@ -18,6 +18,8 @@ from tarnkit.operators.lookups import fits_broadcast
 LONGEST_WORD = 24
 #: Words of hosts that no corpus of prose need hold: they count as often as this share of all words.
 LEXICON_SHARE = 1e-5
+#: A smaller corpus counts as one of so many words, or single letters would pass for words.
+LEAST_TOTAL = 1_000_000
 
 #: Hosts with one of these words are the classifier's examples of what to block (a parameter, not a verdict).
 BLOCK_SEEDS = tuple(
@@ -88,7 +90,7 @@ def segment(names: DataFrame, texts: DataFrame, lexicon: Sequence[str]) -> DataF
     )
     pieces = stored(pieces.select("name", F.substring("name", F.col("at"), F.col("n")).alias("word")).distinct(), "pieces")
     counts, total = corpus_counts(texts, pieces.select("word").distinct())
-    total = max(total, 1)
+    total = max(total, LEAST_TOTAL)
     listed = F.array(*map(F.lit, sorted(set(lexicon)))) if lexicon else F.array().cast("array<string>")
     known = pieces.join(counts, "word", "left").withColumn(
         "n", F.when(F.array_contains(listed, F.col("word")), F.greatest(F.coalesce("n", F.lit(0)), F.lit(LEXICON_SHARE * total))).otherwise(F.col("n"))
