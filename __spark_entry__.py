@@ -8,7 +8,7 @@ longitude and latitude = l_extendedprice and l_quantity. ``events`` serves as a
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +27,14 @@ from tarnkit.operators.retention import (
     snapshot_stats as count_snapshots,
     without_snapshots,
 )
-from tarnkit.operators.zones import file_zone_map, zone_map as map_zones, zones_matching
+from tarnkit.operators.zones import file_zone_map, read_matching, zone_map as map_zones, zones_matching
 from tarnkit.plans.transform import TripColumns, clean_trips, partition_range
 from tarnkit.plans.transform import transform_trips as write_trips
-from tarnkit.plans.versions import VersionedTable
+from tarnkit.plans.versions import VersionedTable, list_tables
 from tarnkit.plans.versions import preview as first_rows
 from tarnkit.session import scratch_folder
 from tarnkit.sources.formats import DataFormat, convert_format, read_data, write_data
-from tarnkit.sources.landing import describe_sources, land_datasets, with_tier
+from tarnkit.sources.landing import describe_sources, land_datasets, stored_size, with_tier
 
 AS_OF = datetime(2024, 1, 31)
 LINEITEM_TRIPS = TripColumns("l_quantity", "l_shipdate", "l_extendedprice", "l_quantity")
@@ -102,6 +102,51 @@ def partitioned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).filter(span).drop("hour")
 
 
+def partitioned_rows_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time range given in another zone; folders are those of UTC days."""
+    out = scratch_folder(spark, "events-zoned")
+    parts = ["year", "month", "day"]
+    write_data(with_time_parts(_read(spark, sf_dir, "events"), "ts").drop("pickup_date"), out, partition_by=parts)
+    tokyo = timezone(timedelta(hours=9))
+    span = partition_range("ts", datetime(2024, 1, 5, 4, tzinfo=tokyo), datetime(2024, 1, 20, 4, tzinfo=tokyo))
+    return spark.read.parquet(out).filter(span).drop("hour")
+
+
+def transform_nothing_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transform whose every row is filtered out leaves an empty table of the right types."""
+    source = scratch_folder(spark, "no-trips")
+    write_data(_read(spark, sf_dir, "lineitem").withColumn("l_quantity", F.lit(-1.0)), source)
+    out = scratch_folder(spark, "trips-empty")
+    return write_trips(spark, source, out, partition_by=["year", "month"], columns=LINEITEM_TRIPS).table
+
+
+def transform_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second transform of one year's lines, at half the quantity, replaces that year's partitions alone."""
+    lines = _read(spark, sf_dir, "lineitem")
+    again = scratch_folder(spark, "lines-again")
+    in_year = lines.filter(F.year("l_shipdate") == 1995)
+    write_data(in_year.withColumn("l_quantity", F.col("l_quantity") / 2), again)
+    out = scratch_folder(spark, "trips-again")
+    common = {"partition_by": ["year", "month"], "columns": LINEITEM_TRIPS, "bounds": (0.0, 110_000.0, 0.0, 60.0)}
+    write_trips(spark, _path(sf_dir, "lineitem"), out, **common)
+    done = write_trips(spark, again, out, overwrite_partitions_only=True, **common)
+    return done.table.drop("z_order_col")
+
+
+def transform_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a transform observes of the rows it writes, and how many range parts a target file size gives."""
+    size = stored_size(spark, _path(sf_dir, "lineitem"))[1]
+    out = scratch_folder(spark, "trips-metrics")
+    done = write_trips(
+        spark, _path(sf_dir, "lineitem"), out, partition_by=[], columns=LINEITEM_TRIPS, target_file_bytes=-(-size // 5)
+    )
+    seen = done.metrics.get
+    files = done.table.select(F.col("_metadata.file_path").alias("file")).distinct()
+    return files.agg(F.count(F.lit(1)).alias("n_files")).select(
+        F.lit(seen["n_rows"]).cast("bigint").alias("n_rows"), F.lit(seen["l_shipdate_nulls"]).cast("bigint").alias("no_date"), "n_files"
+    )
+
+
 # -- zone maps and statistics -----------------------------------------------------------------
 
 
@@ -129,6 +174,19 @@ def zone_map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def read_matching_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that came after the zone map was made are read too."""
+    orders = _read(spark, sf_dir, "orders")
+    out = scratch_folder(spark, "orders-zones")
+    early = F.col("o_orderkey") % 3 == 0
+    orders.filter(early).repartitionByRange(4, "o_totalprice").write.parquet(out)
+    zones = file_zone_map(spark, out, ["o_totalprice"])
+    kept = scratch_folder(spark, "zones")
+    write_data(zones, kept)
+    orders.filter(~early).write.mode("append").parquet(out)
+    return read_matching(spark, out, read_data(spark, kept, DataFormat.PARQUET), {"o_totalprice": (100_000.0, 150_000.0)})
+
+
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = profile_columns(_read(spark, sf_dir, "orders"), exact=True)
     return stats.withColumns({c: F.round(c, 6) for c in ("mean", "stddev", "p25", "p50", "p75")})
@@ -159,6 +217,16 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.withColumn("reasons", F.array_join("reasons", ";"))
 
 
+def gate_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate says of lines that break the suite."""
+    try:
+        quality.gate(quality.run_suite(_read(spark, sf_dir, "lineitem"), _suite()))
+        passed = True
+    except quality.QualityError:
+        passed = False
+    return _read(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("passed", F.lit(passed))
+
+
 def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.accepted(_read(spark, sf_dir, "lineitem"), _suite())
 
@@ -260,6 +328,35 @@ def merge_update_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(lines, per_part, ["l_partkey"], when_matched={"l_quantity": "source.sold"})
 
 
+def _hot_lines(lines: DataFrame) -> DataFrame:
+    """Lines under an INT key, of which one holds two fifths of all rows."""
+    key = F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_partkey")).cast("int")
+    return lines.select("l_orderkey", "l_linenumber", key.alias("key"), "l_extendedprice")
+
+
+HOT = {"broadcast_source": False, "pieces": 10, "min_rows": 10}
+
+
+def merge_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hot target key of another type than the source's (INT and BIGINT), split over tasks."""
+    parts = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), "p_retailprice")
+    return merge(
+        _hot_lines(_read(spark, sf_dir, "lineitem")),
+        parts,
+        ["key"],
+        when_matched={"l_extendedprice": "source.p_retailprice"},
+        when_not_matched={"key": "source.key", "l_extendedprice": "source.p_retailprice"},
+        **HOT,
+    )
+
+
+def merge_hot_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hot source key of another type than the target's: nothing it matches is inserted."""
+    parts = _read(spark, sf_dir, "part").filter(F.col("p_size") <= 25).select(F.col("p_partkey").alias("key"), "p_size")
+    lines = _hot_lines(_read(spark, sf_dir, "lineitem"))
+    return merge(parts, lines, ["key"], when_not_matched={"key": "source.key", "p_size": "source.l_linenumber"}, **HOT)
+
+
 def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers joined by suppliers under keys no customer has yet; shared keys are left alone."""
     customers = _read(spark, sf_dir, "customer")
@@ -322,6 +419,49 @@ def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def published_after_rejection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that fail the audit, then good ones at the same time: these are published."""
+    suite = quality.Suite("orders").add(quality.values_not_null("o_custkey"))
+    table = VersionedTable(spark, scratch_folder(spark, "republished"))
+    orders = _read(spark, sf_dir, "orders")
+    try:
+        table.publish(orders.withColumn("o_custkey", F.lit(None).cast("bigint")), suite, AS_OF)
+    except quality.QualityError:
+        table.publish(orders, suite, AS_OF)
+    return table.read()
+
+
+def time_travel_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition columns come back as written: text with leading zeros, BIGINT."""
+    orders = _read(spark, sf_dir, "orders").select(
+        F.lpad((F.col("o_custkey") % 7).cast("string"), 3, "0").alias("code"),
+        (F.col("o_orderkey") % 3).alias("third"),
+        "o_orderkey",
+        "o_totalprice",
+    )
+    table = VersionedTable(spark, scratch_folder(spark, "by-code"))
+    table.commit(orders, datetime(2024, 1, 1), snapshot_id=1, partition_by=["code", "third"])
+    table.commit(orders.limit(0), datetime(2024, 1, 2), snapshot_id=2, partition_by=["code", "third"])
+    return table.read(1).unionAll(table.read())
+
+
+def expired_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of a table of whose six snapshots the oldest have expired."""
+    table = VersionedTable(spark, scratch_folder(spark, "expiring"))
+    nation = _read(spark, sf_dir, "nation")
+    for day in range(1, 7):
+        table.commit(nation, datetime(2024, 1, day))
+    removed = table.expire(AS_OF)
+    return table.history().withColumn("removed", F.lit(removed))
+
+
+def listed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views of the session's catalog."""
+    for name in ("nation", "region"):
+        _read(spark, sf_dir, name).createOrReplaceTempView(f"listed_{name}")
+    return list_tables(spark).filter(F.col("name").startswith("listed_")).select("name", "table_type", "is_temporary")
+
+
 def upserted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge committed as a new snapshot of a versioned table."""
     orders = _read(spark, sf_dir, "orders")
@@ -347,6 +487,12 @@ def expired_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_expired(log, AS_OF, **EVENT_LOG)
 
 
+def expired_null_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null table name is a table like any other."""
+    log = _read(spark, sf_dir, "events").withColumn("user_id", F.nullif(F.col("user_id") % 5, F.lit(0)))
+    return find_expired(list_snapshots(log, **EVENT_LOG), AS_OF, **EVENT_LOG)
+
+
 def snapshot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_snapshots(_read(spark, sf_dir, "events"), AS_OF, **EVENT_LOG)
 
@@ -400,15 +546,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             transform_trips,
             transform_written,
             partitioned_rows,
+            partitioned_rows_zoned,
+            transform_nothing_left,
+            transform_overwrite_partitions,
+            transform_metrics,
             zone_map,
             zone_map_prune,
             zone_map_files,
+            read_matching_appended,
             profile,
             profile_sketch,
             validate_suite,
             validate_overall,
             quarantine_rows,
             accepted_rows,
+            gate_result,
             read_formats,
             convert_roundtrip,
             landing_manifest,
@@ -417,6 +569,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             merge_upsert,
             merge_upsert_large,
             merge_condition,
+            merge_hot_key,
+            merge_hot_source,
             merge_update_only,
             merge_insert_only,
             append_merge_schema,
@@ -425,9 +579,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             table_log,
             published_orders,
             upserted_orders,
+            published_after_rejection,
+            time_travel_partitioned,
+            expired_table,
+            listed_tables,
             preview,
             snapshot_log,
             expired_snapshots,
+            expired_null_table,
             snapshot_stats,
             snapshot_stats_single,
             retained_rows,
@@ -467,7 +626,7 @@ def _profile_sql(table: str, numbers: list[str], texts: list[str]) -> str:
     ]
     parts += [
         f"""SELECT '{c}', count({c}), count(*) - count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-                min({c}), max({c}) FROM {table}"""
+                min({c})::VARCHAR, max({c})::VARCHAR FROM {table}"""
         for c in texts
     ]
     return " UNION ALL ".join(parts)
@@ -535,6 +694,45 @@ def oracle_sql() -> dict[str, str]:
         "partitioned_rows": f"""
             SELECT * EXCLUDE (hour) FROM (SELECT *, {parts_of('ts')} FROM events) e
             WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""",
+        "partitioned_rows_zoned": f"""
+            SELECT * EXCLUDE (hour) FROM (SELECT *, {parts_of('ts')} FROM events) e
+            WHERE ts BETWEEN TIMESTAMP '2024-01-04 19:00:00' AND TIMESTAMP '2024-01-19 19:00:00'""",
+        "transform_nothing_left": f"SELECT * FROM ({trips}) t WHERE false",
+        "transform_overwrite_partitions": f"""
+            SELECT * EXCLUDE (l_quantity), CASE WHEN year = 1995 THEN l_quantity / 2 ELSE l_quantity END AS l_quantity
+            FROM (SELECT *, l_shipdate AS pickup_date, {parts_of('l_shipdate')} FROM lineitem WHERE l_quantity > 0) t""",
+        "transform_metrics": """
+            SELECT count(*) AS n_rows, count(*) FILTER (l_shipdate IS NULL) AS no_date, 5::BIGINT AS n_files
+            FROM lineitem WHERE l_quantity > 0""",
+        "read_matching_appended": "SELECT * FROM orders WHERE o_totalprice BETWEEN 100000 AND 150000",
+        "gate_result": f"SELECT count(*) AS n_rows, (SELECT bool_and(success) FROM ({suite}) s) AS passed FROM lineitem",
+        "merge_hot_key": """
+            WITH t AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_partkey END::INT AS key,
+                              l_extendedprice FROM lineitem)
+            SELECT l_orderkey, l_linenumber, key, coalesce(p_retailprice, l_extendedprice) AS l_extendedprice
+            FROM t LEFT JOIN part ON key = p_partkey
+            UNION ALL SELECT NULL, NULL, p_partkey::INT, p_retailprice FROM part
+            WHERE p_partkey NOT IN (SELECT key FROM t WHERE key IS NOT NULL)""",
+        "merge_hot_source": """
+            WITH s AS (SELECT l_linenumber, CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_partkey END AS key FROM lineitem),
+                 t AS (SELECT p_partkey AS key, p_size FROM part WHERE p_size <= 25)
+            SELECT * FROM t
+            UNION ALL SELECT key::BIGINT, l_linenumber FROM s WHERE key NOT IN (SELECT key FROM t)""",
+        "published_after_rejection": "SELECT * FROM orders",
+        "time_travel_partitioned": """
+            SELECT lpad((o_custkey % 7)::VARCHAR, 3, '0') AS code, o_orderkey % 3 AS third, o_orderkey, o_totalprice FROM orders""",
+        "expired_table": """
+            SELECT TIMESTAMP '2024-01-31' AS run_at, d::BIGINT AS snapshot_id,
+                   TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (d - 1) AS created_at, 3::INT AS removed
+            FROM range(1, 4) r(d)""",
+        "listed_tables": """
+            SELECT name, 'TEMPORARY' AS table_type, true AS is_temporary
+            FROM (VALUES ('listed_nation'), ('listed_region')) v(name)""",
+        "expired_null_table": """
+            SELECT user_id, event_id, ts FROM (
+                SELECT nullif(user_id % 5, 0) AS user_id, event_id, ts,
+                       row_number() OVER (PARTITION BY user_id % 5 ORDER BY ts DESC, event_id DESC) > 3
+                       AND ts < TIMESTAMP '2024-01-31' - INTERVAL 7 DAY AS expired FROM events) e WHERE expired""",
         "zone_map": zones,
         "zone_map_prune": f"""
             SELECT * FROM ({zones}) z
@@ -543,7 +741,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*)::BIGINT AS n_rows, min(l_extendedprice) AS l_extendedprice_min,
                    max(l_extendedprice) AS l_extendedprice_max FROM lineitem""",
         "profile": _profile_sql(
-            "orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"]
+            "orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderdate", "o_orderpriority"]
         ),
         "validate_suite": suite,
         "validate_overall": f"""

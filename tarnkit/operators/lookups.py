@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,26 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return (df.agg(F.sum(size.cast("bigint"))).first()[0] or 0) <= max_bytes
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int, min_rows: int) -> list[tuple[int, int]]:
+def common_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column] | None:
+    """The keys as expressions that have the same value, and so the same hash, on both sides wherever the
+    join takes them for equal: cast to the type in which Spark compares them. None where text is compared with
+    another type, for which there is no such cast."""
+    out = []
+    for key in keys:
+        kinds = [df.schema[key].dataType for df in (left, right)]
+        value = F.col(f"`{key}`")
+        if kinds[0] != kinds[1]:
+            if any(isinstance(k, (T.StringType, T.BinaryType)) for k in kinds):
+                return None
+            nulls = [F.lit(None).cast(k) for k in kinds]
+            value = value.cast(left.sparkSession.range(0).select(F.coalesce(*nulls).alias("c")).schema["c"].dataType)
+        if any(isinstance(k, (T.FloatType, T.DoubleType)) for k in kinds):
+            value = value + F.lit(0.0)  # -0.0 equals 0.0
+        out.append(value)
+    return out
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str | Column], pieces: int, min_rows: int) -> list[tuple[int, int]]:
     """Hashes of the key values that hold more than one ``pieces``-th of the rows (and more than
     ``min_rows``), each with its number of such pieces.
 
@@ -86,7 +105,9 @@ def left_lookup(
         broadcast_right = fits_broadcast(right)
     if broadcast_right:
         return left.join(F.broadcast(right), keys, "left")
-    hot = hot_keys(left, keys, pieces, min_rows)
+    # types may differ from side to side, and with them the hashes of equal keys
+    same = common_keys(left, right, keys)
+    hot = hot_keys(left, same, pieces, min_rows) if same else []
     if not hot:
         return left.join(right, keys, "left")
     # fewer than `pieces` rows
@@ -94,13 +115,13 @@ def left_lookup(
     splits = F.broadcast(local_rows(left.sparkSession, rows, SPLITS))
     parts = F.coalesce(F.col("_splits"), F.lit(1))
     spread = (
-        left.withColumns({"_hash": F.xxhash64(*keys), "_row": row_hash(left)})
+        left.withColumns({"_hash": F.xxhash64(*same), "_row": row_hash(left)})
         .join(splits, "_hash", "left")
         .withColumn("_split", F.pmod(F.col("_row"), parts).cast("int"))
         .drop("_hash", "_row", "_splits")
     )
     repeated = (
-        right.withColumn("_hash", F.xxhash64(*keys))
+        right.withColumn("_hash", F.xxhash64(*same))
         .join(splits, "_hash", "left")
         .withColumn("_split", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_hash", "_splits")

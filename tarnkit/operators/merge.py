@@ -71,7 +71,8 @@ def merge(
 
     Condition: a small source is broadcast here too. Otherwise Spark plans the joins from the
     condition's equalities, with skew left to adaptive execution; a condition without any equality
-    makes it compare every pair of rows.
+    is refused then, as every pair of rows would be compared. ``broadcast_source=True`` is a wish: a
+    source that doesn't measure small is never broadcast.
     """
     _check_names(target, when_matched, when_not_matched)
     if isinstance(on, str):
@@ -83,7 +84,7 @@ def merge(
     keyed_target = target.select("*", *_slots(target, keys.keys(), slots)).alias("target")
     keyed_source = source.select("*", *_slots(source, keys.values(), slots)).alias("source")
     source_keys = keyed_source.select(*slots).dropna()
-    if broadcast_source is None:
+    if broadcast_source is not False:
         broadcast_source = fits_broadcast(source)
     skew = {"broadcast_right": broadcast_source, "pieces": pieces, "min_rows": min_rows}
 
@@ -93,7 +94,7 @@ def merge(
         per_key = (
             keyed_source.dropna(subset=slots)
             .groupBy(*slots)
-            .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*source.columns)).alias("_s"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*(F.col(f"`{c}`") for c in source.columns))).alias("_s"))
             .select(*slots, "_n", "_s.*")
             .alias("source")
         )
@@ -125,16 +126,19 @@ def _merge_on_condition(
     when_not_matched: Assignments | None,
     broadcast_source: bool | None,
 ) -> DataFrame:
-    if broadcast_source is None:
+    if broadcast_source is not False:
         broadcast_source = fits_broadcast(source)
     side = F.broadcast if broadcast_source else lambda df: df
     match = F.expr(condition)
+    if not broadcast_source and _compares_all(target.alias("target").join(source.alias("source"), match)):
+        raise ValueError(f"the source is too large for a condition without an equality: {condition}")
     kept = target
     if when_matched:
         marked = side(source.withColumn("_matched", F.lit(True)).alias("source"))
-        numbered = target.withColumn("_row", F.monotonically_increasing_id()).alias("target")
-        most = numbered.join(marked, match).groupBy("_row").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
-        joined = target.alias("target").join(marked, match, "left").filter(_refuse(most > 1))
+        joined = target.alias("target").join(marked, match, "left")
+        # a target row that matches once or never gives one row, and more rows otherwise
+        rows = target.agg(F.count(F.lit(1))).scalar()
+        joined = joined.filter(_refuse(joined.agg(F.count(F.lit(1))).scalar() > rows))
         kept = joined.select(*_updated(target, when_matched, F.col("_matched").isNotNull()))
     if not when_not_matched:
         return kept
@@ -149,6 +153,12 @@ def _merge_on_condition(
     return kept.unionByName(fresh.select(*_inserted(target, when_not_matched)))
 
 
+def _compares_all(joined: DataFrame) -> bool:
+    """Whether Spark has no equality to join by: then every pair of rows is compared."""
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    return "NestedLoopJoin" in plan or "CartesianProduct" in plan
+
+
 def append_rows(target: DataFrame, extra: DataFrame) -> DataFrame:
     """Both sets of rows under the union of their columns; a column one side lacks is null there."""
     return target.unionByName(extra, allowMissingColumns=True)

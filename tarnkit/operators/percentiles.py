@@ -30,7 +30,7 @@ MERGE_GROUPS = 256
 
 def to_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per cell: ``column`` and ``value`` as a double."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns]
     return df.select(F.inline(F.array(*cells)))
 
 
@@ -41,7 +41,7 @@ def reduce_columns(df: DataFrame, columns: Sequence[str], measures: Callable[[Co
     """
     wide, rows = [], []
     for i, name in enumerate(columns):
-        made = measures(F.col(name).cast("double"))
+        made = measures(F.col(f"`{name}`").cast("double"))
         wide += [m.alias(f"{alias}_{i}") for alias, m in made.items()]
         rows.append(F.struct(F.lit(name).alias("column"), *(F.col(f"{alias}_{i}").alias(alias) for alias in made)))
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))

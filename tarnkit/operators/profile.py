@@ -26,6 +26,8 @@ PROFILE_SCHEMA = (
     "column string, n bigint, n_null bigint, mean double, stddev double, min double, "
     "p25 double, p50 double, p75 double, max double, min_text string, max_text string"
 )
+# Types with an order but no mean: counts, first and last value.
+ORDERED = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 NUMBERS = ("column", "n", "n_null", "mean", "stddev", "min", "max")
 
 
@@ -66,10 +68,10 @@ def _number_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _text_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per text column: counts, first and last value."""
+    """One row per column of text, dates, times or booleans: counts, first and last value as text."""
     measures, rows = [], []
     for i, name in enumerate(columns):
-        value = F.col(name)
+        value = F.col(f"`{name}`")
         measures += [
             F.count(value).alias(f"n{i}"),
             F.count_if(value.isNull()).alias(f"z{i}"),
@@ -77,23 +79,26 @@ def _text_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max(value).alias(f"hi{i}"),
         ]
         cells = {"column": F.lit(name), "n": F.col(f"n{i}"), "n_null": F.col(f"z{i}")}
-        cells |= {"min_text": F.col(f"lo{i}"), "max_text": F.col(f"hi{i}")}
+        cells |= {"min_text": F.col(f"lo{i}").cast("string"), "max_text": F.col(f"hi{i}").cast("string")}
         rows.append(F.struct(*(c.alias(n) for n, c in cells.items())))
     return df.agg(*measures).select(F.inline(F.array(*rows)))
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
-    """One row per number or text column: counts, mean, stddev, min, quartiles and max.
+    """One row per number, text, date, time or boolean column: counts, mean, stddev, min, quartiles and max.
 
     A single pass, with quartiles from mergeable sketches, within about a thousandth of the rows
     in rank. ``exact`` ranks them exactly with two more passes over the number columns, and runs
-    the first two of the three when called. Text columns have only counts and their first and last
-    value.
+    the first two of the three when called. Columns of text, dates, times and booleans have only counts and
+    their first and last value, as text. Nested and binary columns are left out, and refused if named.
     """
     if columns is None:
-        columns = [f.name for f in df.schema if isinstance(f.dataType, (T.NumericType, T.StringType))]
+        columns = [f.name for f in df.schema if isinstance(f.dataType, (T.NumericType, *ORDERED))]
     numbers = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, ORDERED)]
+    left = [c for c in columns if c not in numbers and c not in texts]
+    if left or not columns:
+        raise ValueError(f"no statistics for these columns: {', '.join(left) or 'none given'}")
     parts = []
     if numbers:
         stats = _number_stats(df, numbers)

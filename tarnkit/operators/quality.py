@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The names of the expectation types.
@@ -28,7 +29,7 @@ class Expectation:
     def violated(self) -> Column | None:
         """True for a row that breaks the expectation, null or false otherwise; None where only the
         schema is checked. Kept plain, so that a filter on it reaches the Parquet scan."""
-        value = F.col(self.column)
+        value = F.col(f"`{self.column}`")
         if self.kind == VALUES_NOT_NULL:
             return value.isNull()
         if self.kind != VALUES_BETWEEN:
@@ -43,7 +44,7 @@ class Expectation:
 
     def holds(self) -> Column:
         """The opposite, for a row: null breaks no range."""
-        value = F.col(self.column)
+        value = F.col(f"`{self.column}`")
         return value.isNotNull() if self.kind == VALUES_NOT_NULL else value.isNull() | ~self.violated()
 
     @property
@@ -112,9 +113,9 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
         success = F.lit(known)
         if broken is not None:
             measures["n"] = F.count(F.lit(1))
-            measures[f"nulls_{expectation.column}"] = F.count_if(F.col(expectation.column).isNull())
+            measures[f"nulls_{position}"] = F.count_if(F.col(f"`{expectation.column}`").isNull())
             measures[f"bad_{position}"] = F.count_if(broken)
-            counts = (F.col("n"), F.col(f"nulls_{expectation.column}"), F.col(f"bad_{position}"))
+            counts = (F.col("n"), F.col(f"nulls_{position}"), F.col(f"bad_{position}"))
             success = F.col(f"bad_{position}") == 0
         results.append(
             F.struct(
@@ -145,11 +146,24 @@ def overall(results: DataFrame) -> DataFrame:
     )
 
 
-def append_results(results: DataFrame, path: str, suite: Suite, run_at: datetime) -> None:
-    """Add a run to the results table, one row per expectation."""
+def append_results(results: DataFrame, path: str, suite: Suite, run_at: datetime) -> str:
+    """Add a run to the results table, one row per expectation; returns the id under which the run is found.
+
+    Runs may share a suite and a time, so each has an id of its own (column ``run_id``)."""
+    run_id = uuid.uuid4().hex
     results.select(
-        F.lit(suite.name).alias("suite"), F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("run_at"), "*"
+        F.lit(suite.name).alias("suite"),
+        F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("run_at"),
+        "*",
+        F.lit(run_id).alias("run_id"),
     ).coalesce(1).write.mode("append").parquet(path)
+    return run_id
+
+
+def run_results(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """What one run added to the results table."""
+    # runs recorded before there were ids have no such column
+    return spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("run_id") == run_id)
 
 
 def is_valid(df: DataFrame, suite: Suite, results_path: str | None = None, run_at: datetime | None = None) -> bool:
@@ -159,10 +173,8 @@ def is_valid(df: DataFrame, suite: Suite, results_path: str | None = None, run_a
         return overall(results).first().success
     if run_at is None:
         raise ValueError("run_at is required to record results")
-    append_results(results, results_path, suite, run_at)
-    stamp = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    recorded = df.sparkSession.read.parquet(results_path)
-    return overall(recorded.filter((F.col("suite") == suite.name) & (F.col("run_at") == stamp))).first().success
+    run_id = append_results(results, results_path, suite, run_at)
+    return overall(run_results(df.sparkSession, results_path, run_id)).first().success
 
 
 def gate(results: DataFrame) -> None:

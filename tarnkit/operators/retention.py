@@ -8,7 +8,6 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnkit.operators.lookups import left_lookup
 
 # Default retention in days, and newest snapshots kept whatever their age.
 RETENTION_DAYS = 7
@@ -58,7 +57,11 @@ def _with_boundary(
         .drop("_rank")
     )
     later = (F.col(at) < F.col("_at")) | ((F.col(at) == F.col("_at")) & (F.col(id) < F.col("_id")))
-    return left_lookup(log, boundary, table), old & later
+    # null is a table's name like any other. Left to Spark: adaptive execution broadcasts a short boundary and splits a long table
+    names = [f"_table{i}" for i in range(len(table))]
+    boundary = boundary.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(table, names)), "_at", "_id")
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(n)) for c, n in zip(table, names)]
+    return log.join(boundary, same, "left").drop(*names), old & later
 
 
 def mark_expired(
@@ -108,8 +111,8 @@ def snapshot_stats(log: DataFrame, as_of: datetime, table: Sequence[str] = (), *
 
 def without_snapshots(data: DataFrame, expired: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose snapshot is not in ``expired``, which lists each once. Rows without an id stay."""
-    gone = expired.select(*keys).withColumn("_gone", F.lit(True))
-    return left_lookup(data, gone, keys).filter(F.col("_gone").isNull()).select(*data.columns)
+    gone = expired.select(*(F.col(f"`{k}`").alias(f"_gone{i}") for i, k in enumerate(keys)))
+    return data.join(gone, [F.col(f"`{k}`") == F.col(f"_gone{i}") for i, k in enumerate(keys)], "left_anti")
 
 
 def cleanup_history(expired: DataFrame, run_at: datetime, id: str = "snapshot_id", at: str = "committed_at", table: Sequence[str] = ()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 from urllib.parse import unquote
@@ -19,9 +20,9 @@ def zone_map(df: DataFrame, columns: Sequence[str], by: Sequence[str | Column])
     measures = [F.count(F.lit(1)).alias("n_rows")]
     for name in columns:
         measures += [
-            F.min(name).alias(f"{name}_min"),
-            F.max(name).alias(f"{name}_max"),
-            F.count_if(F.col(name).isNull()).alias(f"{name}_nulls"),
+            F.min(F.col(f"`{name}`")).alias(f"{name}_min"),
+            F.max(F.col(f"`{name}`")).alias(f"{name}_max"),
+            F.count_if(F.col(f"`{name}`").isNull()).alias(f"{name}_nulls"),
         ]
     return df.groupBy(*by).agg(*measures)
 
@@ -40,18 +41,18 @@ def zones_matching(zones: DataFrame, ranges: Mapping[str, tuple[Any, Any]]) -> D
     out = zones
     for name, (low, high) in ranges.items():
         if low is not None:
-            out = out.filter(F.col(f"{name}_max") >= _bound(low))
+            out = out.filter(F.col(f"`{name}_max`") >= _bound(low))
         if high is not None:
-            out = out.filter(F.col(f"{name}_min") <= _bound(high))
+            out = out.filter(F.col(f"`{name}_min`") <= _bound(high))
     return out
 
 
 def rows_in_ranges(df: DataFrame, ranges: Mapping[str, tuple[Any, Any]]) -> DataFrame:
     for name, (low, high) in ranges.items():
         if low is not None:
-            df = df.filter(F.col(name) >= _bound(low))
+            df = df.filter(F.col(f"`{name}`") >= _bound(low))
         if high is not None:
-            df = df.filter(F.col(name) <= _bound(high))
+            df = df.filter(F.col(f"`{name}`") <= _bound(high))
     return df
 
 
@@ -60,18 +61,25 @@ def read_matching(
     path: str,
     zones: DataFrame,
     ranges: Mapping[str, tuple[Any, Any]],
-    max_files: int = 50_000,
 ) -> DataFrame:
-    """Rows of a Parquet dataset within the ranges, opening only files that can hold some.
+    """Rows of a Parquet dataset within the ranges, leaving out files that can hold none.
 
-    ``zones`` comes from :func:`file_zone_map`. File names go through the driver, as they do
-    when Spark lists a folder; past ``max_files`` matches the whole folder is read with the
-    same filter, which gives the same rows.
+    ``zones`` comes from :func:`file_zone_map`, and may be older than the dataset: files it does not list
+    are read, and files it lists that are gone are not asked for. (A file rewritten under its old name would go unnoticed;
+    Spark's writers never do that.) File names go through the driver, as they do whenever Spark lists a folder, those to leave
+    out in a stream.
     """
-    names = [r.file for r in zones_matching(zones, ranges).select("file").limit(max_files + 1).collect()]
-    if not names:
-        return spark.read.parquet(path).filter(F.lit(False))
-    if len(names) > max_files:
-        return rows_in_ranges(spark.read.parquet(path), ranges)
-    files = [unquote(n) for n in names]
-    return rows_in_ranges(spark.read.option("basePath", path).parquet(*files), ranges)
+    whole = spark.read.parquet(path)
+    here = {_plain(name): name for name in whole.inputFiles()}
+    matching = zones_matching(zones, ranges).select("file")
+    for row in zones.select("file").join(matching, "file", "left_anti").toLocalIterator():
+        here.pop(_plain(row.file), None)
+    if not here:
+        return rows_in_ranges(whole.filter(F.lit(False)), ranges)
+    files = [unquote(name) for name in here.values()]
+    return rows_in_ranges(spark.read.schema(whole.schema).option("basePath", path).parquet(*files), ranges)
+
+
+def _plain(name: str) -> str:
+    """A file's name without the ways to write it: slashes after the scheme, escaped characters."""
+    return re.sub(r"^(\w+):/+", r"\1:/", unquote(name))

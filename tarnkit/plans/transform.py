@@ -5,17 +5,19 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnkit.functions import with_time_parts, with_zorder
 from tarnkit.operators.layout import gather_partitions, zorder_layout
 from tarnkit.operators.profile import profile, with_run_metrics
 from tarnkit.operators.records import keep_positive, with_bucket
 from tarnkit.operators.retention import instant
-from tarnkit.operators.zones import file_zone_map
+from tarnkit.operators.zones import zone_map
+from tarnkit.sources import paths
 from tarnkit.sources.formats import DataFormat, read_data, write_data
 from tarnkit.sources.landing import stored_size
 
@@ -75,21 +77,20 @@ def transform_trips(
     """Clean a trip dataset and write it as a partitioned Parquet table.
 
     ``cluster`` lays each partition out along the Z-order curve with one range shuffle, in as many
-    equal parts as the input holds ``target_file_bytes`` (fewer parts than cores are left to
-    adaptive execution); it samples its input first. Without it a rebalance gathers each
+    equal parts as the input holds ``target_file_bytes``, whatever the cluster; it samples its input first. Without it a rebalance gathers each
     partition in a single pass, sized by the session's advisory partition size. Either way no
     task has to write a whole hot partition. ``row_key`` names columns that tell rows apart;
     without it they are told apart by the file and position they were read from. ``zones_path``
     keeps the zone map as a dataset of its own.
     """
+    if paths.overlap(spark, input_path, output_path):
+        raise ValueError(f"the output {output_path} would replace the input {input_path}")
     trips = read_data(spark, input_path, DataFormat.PARQUET)
     if cluster and not row_key:
         trips = trips.withColumn("_origin", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     cleaned = clean_trips(trips, columns, bounds, passenger_buckets)
     if cluster:
-        files = math.ceil(stored_size(spark, input_path)[1] / target_file_bytes)
-        if files < spark.sparkContext.defaultParallelism:
-            files = None
+        files = max(1, math.ceil(stored_size(spark, input_path)[1] / target_file_bytes))
         placed = zorder_layout(
             cleaned, files=files, partition_by=partition_by, row_key=row_key or ("_origin",)
         ).drop("_origin")
@@ -102,9 +103,11 @@ def transform_trips(
     if overwrite_partitions_only:
         options["partitionOverwriteMode"] = "dynamic"
     write_data(placed, output_path, DataFormat.PARQUET, partition_by=partition_by, options=options)
-    table = spark.read.parquet(output_path)
+    # read as written: no type is guessed from a folder's name, and no rows are no error
+    fields = sorted(placed.schema, key=lambda f: f.name in partition_by)
+    table = spark.read.schema(T.StructType(fields)).parquet(output_path)
     indexed = [columns.pickup, columns.longitude, columns.latitude]
-    zones = file_zone_map(spark, output_path, indexed)
+    zones = zone_map(table, indexed, [F.col("_metadata.file_path").alias("file")])
     if zones_path:
         write_data(zones, zones_path)
         zones = read_data(spark, zones_path, DataFormat.PARQUET)
@@ -117,6 +120,8 @@ def partition_range(column: str, first: datetime, last: datetime) -> Column:
     Spark does not derive partition filters from a filter on the timestamp itself, so this states
     both: the range of days over the partition columns, and the exact range on the column.
     """
+    # folders are named in UTC, as the instants below are
+    first, last = (d.astimezone(timezone.utc).replace(tzinfo=None) if d.tzinfo else d for d in (first, last))
     day_number = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
     as_number = lambda d: d.year * 10000 + d.month * 100 + d.day
     days = day_number.between(as_number(first), as_number(last))

@@ -8,16 +8,18 @@ that dies half-way leaves nothing visible. One writer per table at a time is ass
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnkit.operators.layout import gather_partitions
 from tarnkit.operators.merge import merge
 from tarnkit.operators.profile import with_run_metrics
-from tarnkit.operators.quality import QualityError, Suite, append_results, gate, run_suite
+from tarnkit.operators.quality import QualityError, Suite, append_results, gate, run_results, run_suite
 from tarnkit.operators.retention import (
     MIN_SNAPSHOTS,
     RETENTION_DAYS,
@@ -26,9 +28,12 @@ from tarnkit.operators.retention import (
     instant,
     snapshot_stats,
 )
+from tarnkit.session import local_rows
 from tarnkit.sources import paths
 
 LOG_SCHEMA = "snapshot_id bigint, committed_at timestamp_ntz, operation string, n_rows bigint"
+#: The log also holds the schema a snapshot was written with, as JSON.
+STORED_LOG_SCHEMA = f"{LOG_SCHEMA}, row_schema string"
 EXPIRED_SCHEMA = "run_at timestamp_ntz, snapshot_id bigint, created_at timestamp_ntz"
 
 
@@ -56,7 +61,7 @@ class VersionedTable:
     # -- log ------------------------------------------------------------------------------
 
     def _commits(self) -> DataFrame:
-        return self._read_or_empty("log", LOG_SCHEMA)
+        return self._read_or_empty("log", STORED_LOG_SCHEMA)
 
     def history(self) -> DataFrame:
         """Audit rows of snapshots removed: run time, id and creation time."""
@@ -65,7 +70,7 @@ class VersionedTable:
     def log(self) -> DataFrame:
         """Snapshots that can be read: those committed and not expired."""
         gone = self.history().select("snapshot_id")
-        return self._commits().join(gone, "snapshot_id", "left_anti")
+        return self._commits().drop("row_schema").join(gone, "snapshot_id", "left_anti")
 
     def exists(self) -> bool:
         return not self.log().isEmpty()
@@ -79,9 +84,17 @@ class VersionedTable:
 
     # -- reading --------------------------------------------------------------------------
 
-    def _load(self, snapshot_id: int) -> DataFrame:
+    def _load(self, snapshot_id: int, schema: T.StructType | None = None) -> DataFrame:
+        """The rows as they were committed: types, column order and partition values are those of the log, none is guessed
+        from a folder's name."""
+        if schema is None:
+            found = self._commits().filter(F.col("snapshot_id") == snapshot_id).first()
+            if found is None or found.row_schema is None:
+                return self.spark.read.parquet(self._snapshot_folder(snapshot_id))
+            schema = T.StructType.fromJson(json.loads(found.row_schema))
         # only this snapshot's folder is listed; without basePath the id is not a column
-        return self.spark.read.parquet(self._snapshot_folder(snapshot_id))
+        rows = self.spark.read.schema(schema).parquet(self._snapshot_folder(snapshot_id))
+        return rows.select(*(F.col(f"`{name}`") for name in schema.names))
 
     def read(self, snapshot_id: int | None = None) -> DataFrame:
         """Rows of the latest snapshot, or of the one asked for."""
@@ -112,11 +125,13 @@ class VersionedTable:
         writer.parquet(self._snapshot_folder(snapshot_id))
         return snapshot_id, seen.get["n_rows"]
 
-    def _record(self, snapshot_id: int, committed_at: datetime, operation: str, n_rows: int) -> None:
-        row = self.spark.createDataFrame([(snapshot_id, operation, n_rows)], "snapshot_id bigint, operation string, n_rows bigint")
-        row.select("snapshot_id", instant(committed_at).alias("committed_at"), "operation", "n_rows").coalesce(
-            1
-        ).write.mode("append").parquet(self._folder("log"))
+    def _record(self, snapshot_id: int, committed_at: datetime, operation: str, n_rows: int, schema: T.StructType) -> None:
+        row = self.spark.createDataFrame(
+            [(snapshot_id, operation, n_rows, schema.json())],
+            "snapshot_id bigint, operation string, n_rows bigint, row_schema string",
+        )
+        row = row.select("snapshot_id", instant(committed_at).alias("committed_at"), "operation", "n_rows", "row_schema")
+        row.coalesce(1).write.mode("append").parquet(self._folder("log"))
 
     def commit(
         self,
@@ -132,7 +147,7 @@ class VersionedTable:
         Rows of a partition are gathered before the write, unless they are ``laid_out`` already.
         """
         snapshot_id, n_rows = self._stage(df, snapshot_id, partition_by, laid_out)
-        self._record(snapshot_id, committed_at, operation, n_rows)
+        self._record(snapshot_id, committed_at, operation, n_rows, df.schema)
         return snapshot_id
 
     def upsert(
@@ -168,18 +183,19 @@ class VersionedTable:
         table is as before; the rejected files are replaced by the next attempt.
         """
         snapshot_id, n_rows = self._stage(df, None, partition_by, laid_out)
-        results = run_suite(self._load(snapshot_id), suite).withColumn("snapshot_id", F.lit(snapshot_id).cast("bigint"))
-        append_results(results, self._folder("quality"), suite, committed_at)
+        written = self._load(snapshot_id, df.schema)
+        results = run_suite(written, suite).withColumn("snapshot_id", F.lit(snapshot_id).cast("bigint"))
+        run_id = append_results(results, self._folder("quality"), suite, committed_at)
         try:
-            gate(self.audits().filter((F.col("snapshot_id") == snapshot_id) & (F.col("run_at") == instant(committed_at))))
+            gate(run_results(self.spark, self._folder("quality"), run_id))
         except QualityError as error:
             raise QualityError(f"{self.path}: candidate {snapshot_id} rejected. {error}") from None
-        self._record(snapshot_id, committed_at, "publish", n_rows)
+        self._record(snapshot_id, committed_at, "publish", n_rows, df.schema)
         return snapshot_id
 
     def audits(self) -> DataFrame:
         """Results of every audit so far."""
-        return self.spark.read.parquet(self._folder("quality"))
+        return self.spark.read.option("mergeSchema", "true").parquet(self._folder("quality"))
 
     # -- retention ------------------------------------------------------------------------
 
@@ -204,10 +220,11 @@ class VersionedTable:
             rows.coalesce(1).write.mode("append").parquet(self._folder("expired"))
             removed = seen.get["n_rows"]
         stored = set(paths.child_names(self.spark, self._folder("data")))
-        for row in self.history().select("snapshot_id").toLocalIterator():
-            name = f"snapshot_id={row.snapshot_id}"
-            if name in stored:
-                paths.delete(self.spark, f"{self._folder('data')}/{name}")
+        # of all ids that ever expired only those whose folder is still there
+        left = local_rows(self.spark, [{"name": n} for n in stored], T.StructType().add("name", "string"))
+        ids = self.history().select(F.concat(F.lit("snapshot_id="), F.col("snapshot_id").cast("string")).alias("name"))
+        for row in ids.join(left, "name").distinct().toLocalIterator():
+            paths.delete(self.spark, f"{self._folder('data')}/{row.name}")
         return removed
 
 

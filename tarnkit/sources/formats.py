@@ -8,6 +8,8 @@ from enum import Enum
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tarnkit.sources.paths import overlap
+
 
 class DataFormat(Enum):
     # The supported format names. Delta and Avro need their jars on the session.
@@ -91,8 +93,8 @@ def convert_format(
     ``options`` holds ``read_options`` and ``write_options``. One pass, no shuffle: each task writes
     what it read. The output must not be the input, which would be deleted before it is read.
     """
-    if input_path.rstrip("/") == output_path.rstrip("/"):
-        raise ValueError("input and output are the same path")
+    if overlap(spark, input_path, output_path):
+        raise ValueError("input and output are the same path, or one lies in the other")
     options = options or {}
     df = read_data(spark, input_path, input_format, schema, options.get("read_options"))
     write_data(df, output_path, output_format, partition_by=partition_by, options=options.get("write_options"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,19 +55,27 @@ def land_datasets(
     object_prefix: str = "raw",
     format: DataFormat = DataFormat.PARQUET,
     options: Mapping[str, str] | None = None,
+    in_flight: int = 4,
 ) -> DataFrame:
     """Read each source and write it to ``destination/prefix/name``; returns the manifest.
 
     Sources are paths Spark can read. Each is one distributed job that moves rows from scan to file
-    without a shuffle and counts them on the way. A failing source stops the run; manifest
-    rows are appended to ``destination/manifest`` only when all have landed.
+    without a shuffle and counts them on the way; ``in_flight`` of them are submitted at a time, so small sources share the
+    cluster. A failing source stops the run; manifest rows are appended to ``destination/manifest`` only when all have landed.
     """
-    rows = []
-    for source, name in object_names(sources, object_prefix).items():
-        target = f"{destination}/{name}"
+
+    def land(source: str, name: str) -> int:
         df, seen = with_run_metrics(read_data(spark, source, format, options=options), f"land {name}")
-        write_data(df, target, format)
-        rows.append((source, name, CONTENT_TYPES[format], seen.get["n_rows"], *stored_size(spark, target)))
+        write_data(df, f"{destination}/{name}", format)
+        return seen.get["n_rows"]
+
+    names = object_names(sources, object_prefix)
+    with ThreadPoolExecutor(max_workers=max(1, in_flight)) as pool:
+        counts = list(pool.map(inheritable_thread_target(spark)(land), names.keys(), names.values()))
+    sizes = [stored_size(spark, f"{destination}/{name}") for name in names.values()]
+    rows = [
+        (source, name, CONTENT_TYPES[format], n, *size) for (source, name), n, size in zip(names.items(), counts, sizes)
+    ]
     manifest = spark.createDataFrame(
         rows, "source_url string, object_name string, content_type string, n_rows bigint, n_files bigint, n_bytes bigint"
     ).withColumn("ingestion_time", instant(ingestion_time)).select(*(c.split()[0] for c in MANIFEST_SCHEMA.split(", ")))

@@ -26,3 +26,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     files, where = _locate(spark, path)
     return files.delete(where, True)
+
+
+def overlap(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether two paths are the same or one lies in the other, however they are written."""
+    full = []
+    for path in (one, other):
+        files, where = _locate(spark, path)
+        full.append(files.makeQualified(where).toString().rstrip("/") + "/")
+    return full[0].startswith(full[1]) or full[1].startswith(full[0])
