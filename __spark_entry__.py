@@ -18,6 +18,7 @@ from tarnkit.functions import with_time_parts, with_zorder
 from tarnkit.operators import quality
 from tarnkit.operators.layout import gather_partitions, zorder_layout
 from tarnkit.operators.merge import append_rows, merge
+from tarnkit.operators.percentiles import to_long
 from tarnkit.operators.profile import profile as profile_columns
 from tarnkit.operators.records import keep_positive, with_bucket
 from tarnkit.operators.retention import (
@@ -197,6 +198,19 @@ def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_columns(_read(spark, sf_dir, "lineitem"))
 
 
+def profile_sketch_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the sketched quartiles of each column stand at their rank, give or take two thousandths of the rows."""
+    lines = _read(spark, sf_dir, "lineitem")
+    stats = profile_columns(lines).filter("p50 IS NOT NULL").select("column", "p25", "p50", "p75")
+    cells = to_long(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_orderkey"]).filter("value IS NOT NULL")
+    ranked = cells.join(F.broadcast(stats), "column").groupBy("column").agg(
+        *[F.avg((F.col("value") < F.col(p)).cast("double")).alias(f"{p}_below") for p in ("p25", "p50", "p75")],
+        *[F.avg((F.col("value") <= F.col(p)).cast("double")).alias(f"{p}_upto") for p in ("p25", "p50", "p75")],
+    )
+    near = lambda p, share: (F.col(f"{p}_below") <= share + 0.002) & (F.col(f"{p}_upto") >= share - 0.002)
+    return ranked.select("column", (near("p25", 0.25) & near("p50", 0.5) & near("p75", 0.75)).alias("within"))
+
+
 # -- quality ----------------------------------------------------------------------------------
 
 
@@ -556,6 +570,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             read_matching_appended,
             profile,
             profile_sketch,
+            profile_sketch_error,
             validate_suite,
             validate_overall,
             quarantine_rows,
@@ -743,6 +758,9 @@ def oracle_sql() -> dict[str, str]:
         "profile": _profile_sql(
             "orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderdate", "o_orderpriority"]
         ),
+        "profile_sketch_error": """
+            SELECT "column", count(*) > 0 AS within
+            FROM lineitem, (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_orderkey')) v("column") GROUP BY 1""",
         "validate_suite": suite,
         "validate_overall": f"""
             SELECT count(*) AS evaluated, count(*) FILTER (NOT success) AS failed, bool_and(success) AS success

@@ -31,40 +31,27 @@ ORDERED = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.Bool
 NUMBERS = ("column", "n", "n_null", "mean", "stddev", "min", "max")
 
 
-def _measures(value: Column) -> dict[str, Column]:
-    return {
-        "n": F.count(value),
-        "n_null": F.count_if(value.isNull()),
-        "mean": F.avg(value),
-        "spread": F.var_pop(value) * F.count(value),
-        "min": F.min(value),
-        "max": F.max(value),
-        "sketch": sketch_of(value),
-    }
-
-
 def _number_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column, reduced per group of tasks and then over the groups.
-
-    Variances of the groups are put together from their means, so large values far from
-    zero lose no digits.
-    """
-    merged = reduce_columns(df, columns, _measures).groupBy("column").agg(
-        F.sum("n").alias("n"),
-        F.sum("n_null").alias("n_null"),
-        (F.sum(F.col("mean") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0))).alias("mean"),
-        F.sum("spread").alias("within"),
-        # as many entries as there are merge groups
-        F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean"))).alias("groups"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        merge_sketches("sketch").alias("sketch"),
-    )
-    between = F.aggregate(
-        "groups", F.lit(0.0), lambda total, g: total + g["n"] * F.pow(g["mean"] - F.col("mean"), F.lit(2.0))
-    )
-    stddev = F.when(F.col("n") > 1, F.sqrt((F.col("within") + between) / (F.col("n") - 1)))
-    return merged.withColumn("stddev", stddev)
+    """One row per column. Counts, mean and deviation come from a plain aggregate, which Spark compiles; sketches, which it
+    can't, from another over the same columns, reduced per group of tasks and then over the groups."""
+    measures, rows = [], []
+    for i, name in enumerate(columns):
+        value = F.col(f"`{name}`").cast("double")
+        made = {
+            "n": F.count(value),
+            "n_null": F.count_if(value.isNull()),
+            "mean": F.avg(value),
+            "stddev": F.stddev_samp(value),
+            "min": F.min(value),
+            "max": F.max(value),
+        }
+        measures += [m.alias(f"{alias}_{i}") for alias, m in made.items()]
+        rows.append(F.struct(F.lit(name).alias("column"), *(F.col(f"{alias}_{i}").alias(alias) for alias in made)))
+    plain = df.agg(*measures).select(F.inline(F.array(*rows)))
+    partial = reduce_columns(df, columns, lambda value: {"sketch": sketch_of(value)})
+    sketches = partial.groupBy("column").agg(merge_sketches("sketch").alias("sketch"))
+    # one row per column on both sides; a table without rows has no sketch
+    return plain.join(F.broadcast(sketches), "column", "left")
 
 
 def _text_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -87,8 +74,8 @@ def _text_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """One row per number, text, date, time or boolean column: counts, mean, stddev, min, quartiles and max.
 
-    A single pass, with quartiles from mergeable sketches, within about a thousandth of the rows
-    in rank. ``exact`` ranks them exactly with two more passes over the number columns, and runs
+    One pass for counts and moments and one over the number columns for quartiles from mergeable sketches, within
+    about a thousandth of the rows in rank. ``exact`` ranks them exactly with two more passes over the number columns, and runs
     the first two of the three when called. Columns of text, dates, times and booleans have only counts and
     their first and last value, as text. Nested and binary columns are left out, and refused if named.
     """
