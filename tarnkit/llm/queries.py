@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnkit.llm.decontamination import contamination
+from tarnkit.llm.decontamination import LEAST_WORDS, MASKS, SHIFT, SIMILARITY, contamination
 from tarnkit.llm.exact_dedup import exact_dedup
 from tarnkit.llm.html_extract import extract_pages
 from tarnkit.llm.language_id import held_out, identify_languages, train
@@ -117,7 +117,46 @@ QUERIES = {f.__name__: f for f in (
         op10_token_counts,
     )}
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _decontamination_sql() -> str:
+    """Every seed of every document against every seed of every item, and the layers that follow."""
+    span = len(MASKS[0])
+
+    def seeds(table: str, id_: str, whole: bool) -> str:
+        parts = [
+            f"SELECT {id_}, i, {m} AS kind, [{', '.join(f'w[i + {k}]' for k in range(span) if mask[k] == '1')}] AS seed "
+            f"FROM (SELECT {id_}, w, unnest(range(1, len(w) - {span - 2})) AS i FROM {table} WHERE len(w) >= {span})"
+            for m, mask in enumerate(MASKS)
+        ]
+        for n in range(LEAST_WORDS, span):
+            where = f"len(w) = {n}" if whole else f"len(w) >= {n}"
+            parts.append(
+                f"SELECT {id_}, i, -{n} AS kind, w[i : i + {n - 1}] AS seed "
+                f"FROM (SELECT {id_}, w, unnest(range(1, len(w) - {n - 2})) AS i FROM {table} WHERE {where})"
+            )
+        return " UNION ALL ".join(parts)
+
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w"
+    return f"""
+        WITH d AS (SELECT doc_id, {words} FROM documents), b AS (SELECT item_id, {words} FROM benchmark),
+        ds AS ({seeds("d", "doc_id", False)}),
+        bs AS ({seeds("b", "item_id", True)}),
+        layers AS (SELECT DISTINCT doc_id, item_id, (ds.i - bs.i)::INT AS layer FROM ds JOIN bs USING (kind, seed)),
+        places AS (SELECT item_id, len(w) AS n_words, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM b),
+        judged AS (
+            SELECT l.doc_id, l.item_id, l.layer, n_words::INT AS n_words, count(DISTINCT p)::INT AS n_matched
+            FROM layers l JOIN layers m ON m.doc_id = l.doc_id AND m.item_id = l.item_id AND abs(m.layer - l.layer) <= {SHIFT}
+            JOIN places ON places.item_id = l.item_id JOIN d ON d.doc_id = l.doc_id
+            WHERE m.layer + p >= 1 AND d.w[m.layer + p] = word
+            GROUP BY ALL)
+        SELECT doc_id, item_id, layer AS start, n_matched, n_words FROM judged WHERE 100 * n_matched >= {SIMILARITY} * n_words
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, layer) = 1"""
+
+
 ORACLE_SQL = {
+    "op3_decontamination": _decontamination_sql(),
     "op2_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -138,4 +177,18 @@ ORACLE_SQL = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM j GROUP BY doc_id""",
+    "op6_near_dedup": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(ws) >= 5 THEN ws[i : i + 4] ELSE ws END AS shingle
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        reach AS (
+            SELECT doc_id AS d, doc_id AS r FROM documents
+            UNION SELECT reach.d, l.b FROM reach JOIN l ON l.a = reach.r)
+        SELECT d AS doc_id, coalesce(n, 0) AS n_shingles, min(r) AS component_id, d = min(r) AS kept
+        FROM reach LEFT JOIN n ON n.doc_id = d GROUP BY d, n""",
 }
