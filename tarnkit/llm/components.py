@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tarnkit.session import scratch_folder
 
 
+#: Narrow rows that one task joins and groups in a moment.
+SHORT = 100_000
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts its lineage in a place that outlives executors."""
     folder = scratch_folder(df.sparkSession, label)
@@ -15,17 +19,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def gathered(table: DataFrame) -> DataFrame:
+    """A stored table as one partition if it counts at most SHORT rows, else as it is: joins and groups among such partitions
+    need no shuffle. Only the plan differs, never the rows."""
+    return table.coalesce(1) if table.count() <= SHORT else table
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (the smallest node reachable) for every node of ``edges`` (a, b: bigint, a != b).
 
     Alternates two steps on the edge list until it no longer changes: each node ties its larger neighbours to its smallest
     neighbour, then its smaller neighbours to it. Both keep components as they are and turn them into stars;
     the rounds grow with the logarithm of the longest path. The list never grows and stays distributed; a node with very many neighbours
-    is only ever aggregated to its minimum, which is combined before the shuffle.
+    is only ever aggregated to its minimum, which is combined before the shuffle. A list of at most SHORT edges is one
+    partition (:func:`gathered`), where Spark needs no shuffle for the same steps.
     """
     links = stored(edges.select("a", "b").filter("a != b").distinct(), "edges")
     before = None
     while True:
+        links = gathered(links)
         links = stored(_tie(_tie(links, larger=True), larger=False), "edges")
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if now == before:

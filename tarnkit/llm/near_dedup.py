@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tarnkit.llm.components import components, stored
+from tarnkit.llm.components import SHORT, components, gathered, stored
 from tarnkit.llm.keyfilter import key_bits, maybe_in
 from tarnkit.llm.workers import slices
 
@@ -23,7 +23,11 @@ SIMILARITY = 75
 #: threshold shares 24 on average; fewer than 12 happens once in ten million such pairs.
 COORDINATES, MATCHES = 32, 12
 #: Posting lists up to this length are joined at once; from longer ones pivots are taken, first PIVOTS from each.
-SHORT_LIST, PIVOTS = 24, 4
+SHORT_LIST, PIVOTS = 48, 8
+#: Shingles of the pivots that tasks compare with members at a time.
+BLOCK_SHINGLES = 1 << 20
+#: Shingles of sets that are sent to every executor at most: 32 MB.
+BROADCAST_SHINGLES = 1 << 22
 NO_ID = -(1 << 63)  # stands for a null id
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -118,49 +122,130 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Data
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """Classes posted under coordinate-value pairs: key, cls, popularity, n_list, node, n_shingles, signature.
+    """Classes posted under coordinate-value pairs: key, cls, place, popularity, places, n_list, node, n_shingles, signature.
 
     A pair of classes that shares MATCHES of its coordinates shares one of the first COORDINATES - MATCHES + 1 in any common
     order. The order is from rare to frequent, so a passage that very many documents hold does not bring them together;
-    values that no other class has come first and are not posted at all.
+    values that no other class has come first and are not posted at all. ``place`` is a list's place in that order, ``places`` those of
+    all the class's coordinates: the first one that two classes share is posted by both.
     """
     elements = classes.select("cls", F.posexplode("signature").alias("at", "value")).select(
-        F.xxhash64("at", "value").alias("key"), "cls"
+        F.xxhash64("at", "value").alias("key"), "cls", "at"
     )
     shared = elements.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    listed = elements.join(shared, "key").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("keys"))
-    prefix = listed.filter(F.size("keys") >= MATCHES).select(
+    # 20 bits of the frequency before 43 of the hash
+    place = F.call_function("shiftleft", F.least(F.col("n"), F.lit((1 << 20) - 1)), F.lit(43)) + F.shiftrightunsigned("key", 21)
+    placed = elements.join(shared, "key").select("cls", F.struct(place.alias("place"), "key", "at", "n").alias("e"))
+    listed = placed.groupBy("cls").agg(F.array_sort(F.collect_list("e")).alias("keys")).filter(F.size("keys") >= MATCHES)
+    by_coordinate = F.map_from_entries(F.transform("keys", lambda e: F.struct(e["at"], e["place"])))
+    posted = listed.select(
         "cls",
         F.aggregate("keys", F.lit(0).cast("bigint"), lambda total, e: total + e["n"]).alias("popularity"),
+        by_coordinate.alias("by_coordinate"),
         F.explode(F.slice("keys", F.lit(1), F.size("keys") - (MATCHES - 1))).alias("e"),
-    )
-    posted = prefix.select("cls", "popularity", "e.key")
+    ).select("cls", "popularity", "e.key", "e.place", F.array(*[F.try_element_at("by_coordinate", F.lit(k)) for k in range(COORDINATES)]).alias("places"))
     lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n_list")).filter("n_list > 1")
     return posted.join(lists, "key").join(classes.select("cls", "node", "n_shingles", "signature"), "cls")
 
 
 def _alike(a: str, b: str) -> Column:
-    """Whether sizes and shared coordinates of two rows allow a link."""
+    """Whether sizes and shared coordinates of two rows of one list allow a link, and the list is the first they share: so
+    a pair meets once, however many lists it shares."""
     na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     sizes = 100 * F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)
-    equal = [(F.col(f"{a}.signature")[k] == F.col(f"{b}.signature")[k]).cast("int") for k in range(COORDINATES)]
-    return sizes & (sum(equal[1:], equal[0]) >= MATCHES)
+    equal = [F.col(f"{a}.signature")[k] == F.col(f"{b}.signature")[k] for k in range(COORDINATES)]
+    shared = [e.cast("int") for e in equal]
+    first = F.least(*[F.when(e, F.col(f"{a}.places")[k]) for k, e in enumerate(equal)])
+    return sizes & (sum(shared[1:], shared[0]) >= MATCHES) & (first == F.col(f"{a}.place"))
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (cls1, cls2, a, b) whose whole sets are similar enough, as edges a, b."""
-    both = pairs.join(sets.select(F.col("cls").alias("cls1"), F.col("shingles").alias("set1")), "cls1").join(
-        sets.select(F.col("cls").alias("cls2"), F.col("shingles").alias("set2")), "cls2"
+    """The pairs (cls1, cls2, a, b) whose whole sets are similar enough, as edges a, b.
+
+    A set is shuffled once to meet all pairs it is second in. The first ones are broadcast if they are few (pivots are),
+    up to BROADCAST_SHINGLES in all; beyond that a second join brings them."""
+    pairs = stored(pairs, "pairs")
+    few = F.broadcast if pairs.count() <= SHORT else lambda names: names
+    firsts = sets.join(few(pairs.select("cls1").distinct()), F.col("cls") == F.col("cls1"), "left_semi")
+    firsts = firsts.select(F.col("cls").alias("cls1"), F.col("shingles").alias("set1"))
+    small = (firsts.agg(F.sum(F.size("set1"))).first()[0] or 0) <= BROADCAST_SHINGLES
+    both = few(pairs).join(sets.select(F.col("cls").alias("cls2"), F.col("shingles").alias("set2")), "cls2").join(
+        F.broadcast(firsts) if small else firsts, "cls1"
     )
     inter = F.size(F.array_intersect("set1", "set2"))
     union = F.size("set1") + F.size("set2") - inter
     return both.filter(100 * inter >= SIMILARITY * union).select("a", "b")
 
 
-def _pairs(left: DataFrame, right: DataFrame, more: Column | None = None) -> DataFrame:
-    on = (F.col("l.key") == F.col("r.key")) & _alike("l", "r")
-    joined = left.alias("l").join(right.alias("r"), on if more is None else on & more)
-    return joined.select(F.col("l.cls").alias("cls1"), F.col("r.cls").alias("cls2"), F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+class _Index:
+    """The sets of some pivots, turned over: which of them hold a shingle."""
+
+    def __init__(self, rows: list):
+        self.nodes = np.array([r.node for r in rows], np.int64)
+        sets = [np.array(r.shingles, np.int64) for r in rows]
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        order = np.argsort(flat, kind="stable")
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.shingles, self.starts = np.unique(flat[order], return_index=True)
+        self.ends = np.r_[self.starts[1:], len(flat)].astype(np.int64)
+
+    def linked(self, node: int, shingles: np.ndarray) -> np.ndarray:
+        """Numbers of the other pivots that are similar enough to a set."""
+        at = np.searchsorted(self.shingles, shingles)
+        at = at[(at < len(self.shingles)) & (self.shingles[np.minimum(at, len(self.shingles) - 1)] == shingles)]
+        lengths = self.ends[at] - self.starts[at]
+        before = np.cumsum(lengths) - lengths
+        places = np.repeat(self.starts[at] - before, lengths) + np.arange(lengths.sum())
+        shared = np.bincount(self.owners[places], minlength=len(self.nodes))
+        union = self.sizes + len(shingles) - shared
+        return np.flatnonzero((100 * shared >= SIMILARITY * union) & (self.nodes != node))
+
+
+def _pivot_links(lists: DataFrame, chosen: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges that connect what links between pivots and members of lists do, by full sets.
+
+    Pivots are taken in blocks of about BLOCK_SHINGLES; a task counts the shingles a member shares with all pivots of a
+    block at once, and passes on a link only if it connects what its links so far don't: no more rows than members and pivots."""
+    spark = lists.sparkSession
+    # the names of so few members are broadcast rather than all sets shuffled
+    few = F.broadcast if lists.count() <= SHORT else lambda names: names
+    members = sets.join(few(lists.select("cls", "node").distinct()), "cls").select("node", "shingles")
+    firsts = stored(sets.join(few(chosen.select("cls", "node").distinct()), "cls").select("node", "shingles"), "pivot-sets")
+    total = firsts.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_SHINGLES))
+    found = None
+    for block in range(blocks):
+        rows = firsts.filter(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block).collect()
+        edges = members.mapInArrow(_connect(spark.sparkContext.broadcast(_Index(rows))), "a bigint, b bigint")
+        found = edges if found is None else found.unionByName(edges)
+    return found
+
+
+def _connect(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        component = np.arange(len(index.nodes))
+        for batch in batches:
+            ends, out = [], []
+            values, offsets = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+            for node, start, end in zip(batch.column(0).to_pylist(), offsets, offsets[1:]):
+                linked = index.linked(node, values[start:end]) if len(index.nodes) else []
+                if not len(linked):
+                    continue
+                roots, first = np.unique(component[linked], return_index=True)
+                out += index.nodes[linked[first]].tolist()
+                ends += [node] * len(roots)
+                if len(roots) > 1:
+                    component[np.isin(component, roots)] = roots[0]
+            yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), pa.array(out, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _pairs(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
+    joined = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & _alike("l", "r") & more)
+    return joined.select(F.col("l.cls").alias("cls1"), F.col("r.cls").alias("cls2"), F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -173,9 +258,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     Equal sets are one class, so copies never meet each other. Classes are posted under the coordinate-value pairs
     of their signatures (:func:`postings`), and those that share enough are compared on full sets. Short lists are joined
-    at once. From a long list a few pivots at a time are compared with the members of other components and
+    at once. From a long list a few pivots at a time are compared with its members (:func:`_pivot_links`) and
     then leave it; once all members are in one component no pair is left that could change anything, so a list of near copies is done in a
-    round or two. Pivots double each round, until no list has two components: nothing is capped or dropped.
+    round or two. Each round takes eight times as many pivots, until no list has two components: nothing is capped or dropped.
     """
     rows = stored(signatures(docs, text, doc_id), "signatures")
     classes = stored(
@@ -190,16 +275,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     lists = posted.filter(F.col("n_list") > SHORT_LIST)
     pivots = PIVOTS
     while True:
-        lists = stored(_undecided(lists, labels), "lists")
+        lists = gathered(stored(_undecided(lists, gathered(labels)), "lists"))
         if lists.isEmpty():
             break
-        chosen = stored(_pivots(lists, pivots), "pivots")
-        other = F.col("l.label") != F.col("r.label")
-        found = _links(_pairs(chosen, lists, other), sets)
-        edges = stored(edges.unionByName(found), "links")
-        labels = stored(components(edges), "labels")
+        chosen = gathered(stored(_pivots(lists, pivots), "pivots"))
+        found = stored(_pivot_links(lists, chosen, sets), "links")
+        if not found.isEmpty():
+            stars = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = stored(components(stars.unionByName(found)), "labels")
         lists = lists.join(chosen.select("key", "cls"), ["key", "cls"], "left_anti").drop("label", "n_label")
-        pivots *= 2
+        pivots *= 8
     return _answer(rows, classes, labels)
 
 
