@@ -22,6 +22,7 @@ TEXTS_PER_LANGUAGE = 300
 TEXTS = 6000
 LANDMARKS_PER_LANGUAGE = 16
 RIDGE = 1e-3
+OVERSAMPLED = 8
 UNDETERMINED = "und"
 SEGMENT = 1 << 18
 
@@ -129,8 +130,13 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str
     id_ = F.col(f"`{doc_id}`")
     usable = docs.filter(F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull() & id_.isNotNull() & ~held_out(id_))
     keyed = usable.select(F.col(f"`{lang}`").cast("string").alias("lang"), id_.cast("string").alias("id"), F.xxhash64(id_.cast("string")).alias("hash"))
+    # hashes are even, so those below a threshold hold the smallest ones: about OVERSAMPLED times the texts wanted are ranked,
+    # not the whole of a language (a rarer one than that is ranked whole)
+    sizes = docs.groupBy(F.col(f"`{lang}`").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    share = F.least(F.lit(1.0), F.lit(float(OVERSAMPLED * TEXTS_PER_LANGUAGE)) / F.col("n"))
+    low = keyed.join(sizes, "lang").filter(F.col("hash") / F.lit(2.0**64) + 0.5 <= share)
     turn = F.row_number().over(W.partitionBy("lang").orderBy("hash", "id"))
-    chosen = keyed.withColumn("turn", turn).filter(F.col("turn") <= TEXTS_PER_LANGUAGE).orderBy("turn", "lang").limit(TEXTS)
+    chosen = low.withColumn("turn", turn).filter(F.col("turn") <= TEXTS_PER_LANGUAGE).orderBy("turn", "lang").limit(TEXTS)
     texts = usable.select(id_.cast("string").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").select("text", "lang", "turn", "hash")  # at most TEXTS rows
 
