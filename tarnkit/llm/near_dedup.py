@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from tarnkit.llm.components import SHORT, components, gathered, stored
@@ -73,8 +74,8 @@ def _class_id(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Per row: doc, cls (128-bit hash of its set of shingles), n_shingles, signature (null without shingles)."""
+def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", more: tuple[Column, ...] = ()) -> DataFrame:
+    """Per row: doc, cls (128-bit hash of its set of shingles), n_shingles, signature (null without shingles), and ``more``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = np.random.default_rng(7).integers(1, 1 << 63, (2, COORDINATES), np.uint64)
@@ -92,12 +93,17 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
                 offsets[1:] = np.cumsum((sizes > 0) * COORDINATES)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signature.ravel()), mask=pa.array(sizes == 0))
                 classes = [_class_id(flat[a:b]) for a, b in zip(starts, starts[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(classes, pa.binary()), pa.array(sizes), lists], ["doc", "cls", "n_shingles", "signature"]
-                )
+                columns = [part.column(0), pa.array(classes, pa.binary()), pa.array(sizes), lists, *part.columns[2:]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "cls", "n_shingles", "signature", *part.schema.names[2:]])
+
+    rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"), *more)
+    schema = T.StructType([*T._parse_datatype_string("doc bigint, cls binary, n_shingles bigint, signature array<int>"), *rows.schema[2:]])
+    return rows.mapInArrow(sign, schema)
 
-    rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"))
-    return rows.mapInArrow(sign, "doc bigint, cls binary, n_shingles bigint, signature array<int>")
+
+def text_tag(text: str = "text") -> Column:
+    """128 bits that tell texts apart; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))).alias("tag")
 
 
 def _doc(doc_id: str) -> Column:
@@ -105,7 +111,7 @@ def _doc(doc_id: str) -> Column:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """cls, shingles for the classes ``wanted`` (cls, node): the texts of the documents they are named after, shingled again."""
+    """cls, shingles for the classes ``wanted`` (cls, doc): the texts of the documents they are named after, shingled again."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,7 +122,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), lists], ["cls", "shingles"])
 
     rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"))
-    held = maybe_in(rows, F.xxhash64("doc"), key_bits(wanted, F.xxhash64("node")))
+    held = maybe_in(rows, F.xxhash64("doc"), key_bits(wanted, F.xxhash64("doc")))
     shingled = held.mapInArrow(shingle, "cls binary, shingles array<bigint>")
     return shingled.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
@@ -266,11 +272,37 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     classes = stored(
         rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min("doc").alias("node")), "classes"
     )
+    return _answer(rows, classes, _labels(docs, classes, text, doc_id, _one_id(rows, classes)))
+
+
+def near_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc, tag (:func:`text_tag`), n_rows, kept: a row for each id and text, where every such pair is a document of its own.
+
+    Links are those of :func:`near_duplicates`, but an id ties nothing together: neither the texts of a repeated id nor those without one.
+    Of each component the document with the smallest id (null is the smallest) and tag is kept, and all without shingles are."""
+    rows = stored(signatures(docs, text, doc_id, (text_tag(text),)), "signatures")
+    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min(F.struct("doc", "tag")).alias("first"))
+    # an id may name several classes, so they are numbered; once written, the numbers stay
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    labels = _labels(docs, classes, text, doc_id)
+    reached = classes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
+    firsts = reached.select("first.doc", "first.tag", F.lit(True).alias("is_first"))
+    each = rows.groupBy("doc", "tag").agg(F.count(F.lit(1)).alias("n_rows"), F.max("n_shingles").alias("n_shingles"))
+    kept = (F.col("n_shingles") == 0) | F.col("is_first").isNotNull()
+    return each.join(firsts, ["doc", "tag"], "left").select("doc", "tag", "n_rows", kept.alias("kept"))
+
+
+def _labels(docs: DataFrame, classes: DataFrame, text: str, doc_id: str, known: DataFrame | None = None) -> DataFrame:
+    """node, label for the nodes of ``classes`` that links, or the ``known`` edges, connect with others."""
     posted = stored(postings(classes), "postings")
-    sets = stored(_sets_of(docs, posted.select("cls", "node").distinct(), text, doc_id), "sets")
+    named = posted.select("cls", F.col("node").alias("doc")).distinct()
+    if "first" in classes.columns:
+        named = classes.select("cls", "first.doc").join(named.select("cls"), "cls", "left_semi")
+    sets = stored(_sets_of(docs, named, text, doc_id), "sets")
     short = posted.filter(F.col("n_list") <= SHORT_LIST)
     ordered = F.col("l.cls") < F.col("r.cls")
-    edges = stored(_links(_pairs(short, short, ordered), sets).unionByName(_one_id(rows, classes)), "links")
+    edges = _links(_pairs(short, short, ordered), sets)
+    edges = stored(edges.unionByName(known) if known is not None else edges, "links")
     labels = stored(components(edges), "labels")
     lists = posted.filter(F.col("n_list") > SHORT_LIST)
     pivots = PIVOTS
@@ -285,7 +317,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             labels = stored(components(stars.unionByName(found)), "labels")
         lists = lists.join(chosen.select("key", "cls"), ["key", "cls"], "left_anti").drop("label", "n_label")
         pivots *= 8
-    return _answer(rows, classes, labels)
+    return labels
 
 
 def _one_id(rows: DataFrame, classes: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from tarnkit.llm.decontamination import decontaminate
 from tarnkit.llm.keyfilter import key_bits, with_maybe
 from tarnkit.llm.language_id import UNDETERMINED, identify_languages, train
 from tarnkit.llm.line_dedup import dedup_lines
-from tarnkit.llm.near_dedup import near_duplicates
+from tarnkit.llm.near_dedup import NO_ID, near_texts, text_tag
 
 
 def keep_languages(docs: DataFrame) -> DataFrame:
@@ -26,19 +26,20 @@ def keep_first_lines(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_near(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id, and of rows with one id one.
-
-    Only ids that lose a row, and the few others that a bounded filter of them lets pass, move to their join."""
-    judged = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n"))
-    # null ids are one document, kept unless linked with another one: kept is null then
-    lost = stored(judged.filter("NOT coalesce(__kept, true) OR __n > 1").withColumnRenamed("doc_id", "__id"), "near-lost")
-    key = F.xxhash64(F.col("doc_id").cast("bigint"))
-    flagged = with_maybe(docs, key, key_bits(lost, F.xxhash64("__id")), "__maybe")
+    """One document of each group of near duplicates: that with the smallest id. Rows of one id with other texts are documents of
+    their own, as are those without an id; of rows with one id and text one is kept.
+
+    Only ids and texts that lose a row, and the few others that a bounded filter of them lets pass, move to their join."""
+    lost = near_texts(docs).filter("NOT kept OR n_rows > 1")
+    lost = stored(lost.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("kept").alias("__kept"), F.col("n_rows").alias("__n")), "near-lost")
+    id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+    named = docs.withColumns({"__doc": id_, "__tag": text_tag()})
+    key = F.xxhash64("__doc", "__tag")
+    flagged = with_maybe(named, key, key_bits(lost, key), "__maybe")
     stay = flagged.filter("NOT __maybe").select(*_columns(docs))
-    asked = flagged.filter("__maybe").join(lost, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")), "left")
-    asked = asked.filter("coalesce(__kept, true)")
+    asked = flagged.filter("__maybe").join(lost, ["__doc", "__tag"], "left").filter("coalesce(__kept, true)")
     once = asked.filter("coalesce(__n, 1) = 1").select(*_columns(docs))
-    several = asked.filter("__n > 1").select(*_columns(docs)).dropDuplicates(["doc_id"])
+    several = asked.filter("__n > 1").dropDuplicates(["__doc", "__tag"]).select(*_columns(docs))
     return stay.unionByName(once).unionByName(several)
 
 

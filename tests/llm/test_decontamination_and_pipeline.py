@@ -74,6 +74,15 @@ def test_near_stage_keeps_one_row_of_each_group(docs):
     assert keep_one_of_near(docs([])).count() == 0
 
 
+def test_near_stage_tells_texts_of_one_id_apart(docs):
+    """An id that is null or repeats ties no unlike texts together; of near texts one stays, whatever their ids."""
+    text = {c: " ".join(f"{c}{k}" for k in range(40)) for c in "abcde"}
+    rows = [(None, text["a"]), (None, text["b"]), (None, text["c"] + " end"), (7, text["a"] + " end"), (8, text["d"]), (8, text["e"])]
+    rows += [(8, text["e"]), (9, text["c"]), (10, text["e"] + " end"), (11, text["d"] + " end"), (None, ""), (None, None), (12, text["b"])]
+    out = sorted((r.doc_id or 0, r.text or "") for r in keep_one_of_near(docs(rows)).collect())
+    assert out == sorted([(0, text["a"]), (0, text["b"]), (0, text["c"] + " end"), (8, text["d"]), (8, text["e"]), (0, "")])
+
+
 def test_stages_keep_columns(spark, docs):
     source = docs([(k, f"the house number {k} of the street and more words\nanother line {k}") for k in range(40)] + [(90, "123 !"), (91, None)])
     kept = keep_languages(source)
