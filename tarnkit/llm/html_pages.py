@@ -38,6 +38,11 @@ DROPPED_WORDS = frozenset(
     "replies reply widget toolbar pagination pager hidden".split()
 )
 KEPT = frozenset("html body main article".split())
+# a name with one of these tells of a neighbour or child (has-sidebar), one that begins or ends with LAYOUT of how a box is laid out
+LINKING = frozenset("has with no without".split())
+LAYOUT = frozenset("overflow layout wrap wrapper border outline backface".split())
+#: An article or main counts from this share of the page's prose on.
+LEAST_PROSE = 0.1
 
 #: A path keeps its innermost steps.
 PATH_STEPS = 16
@@ -49,28 +54,47 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def _names_part(words: list[str]) -> bool:
+    """Whether a class or id of these words says that its element is not part of the article: by its first word or its last."""
+    if LINKING.intersection(words) or words[0] in LAYOUT or words[-1] in LAYOUT or words[:2] == ["share", "price"]:
+        return False
+    return words[0] in DROPPED_WORDS or words[-1] in DROPPED_WORDS
+
+
 @lru_cache(maxsize=20_000)
-def _traits(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether an element is not part of the article, and its step in a generalised path."""
+def _traits(tag: str, attributes: str) -> tuple[bool, int, str]:
+    """Whether an element is not part of the article for sure, or (1) by a name of its, or (2) by one of such words only;
+    and its step in a generalised path."""
     found = {}
     for name, value in ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), html.unescape(value.strip("\"'")))
     classes = found.get("class", "").split()
     step = ".".join([tag, *sorted({re.sub(r"\d+", "#", c.lower()) for c in classes})])
     if tag in DROPPED:
-        return True, step
+        return True, 0, step
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
     hidden = hidden or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
     if hidden or found.get("role", "").lower() in DROPPED_ROLES:
-        return True, step
+        return True, 0, step
     if tag in KEPT:
-        return False, step
+        return False, 0, step
+    named = 0
     for name in [*classes, found.get("id", "")]:
         words = [w.lower() for w in WORD.findall(name)]
-        # a class such as has-sidebar tells of a neighbour
-        if words and words[0] not in ("has", "with", "no", "without") and DROPPED_WORDS.intersection(words):
-            return True, step
-    return False, step
+        # sm:hidden and the like hold for some screens only
+        if words and ":" not in name and _names_part(words):
+            named = max(named, 2 if DROPPED_WORDS.issuperset(words) else 1)
+    return False, named, step
+
+
+class _Part:
+    """An article or main, or an element that a name speaks against: where it lies and how much prose is in it."""
+
+    def __init__(self, tag: str, named: int, start: int, prose: int):
+        self.tag, self.named, self.start, self.end, self.prose = tag, named, start, None, -prose
+
+    def holds(self, other: _Part) -> bool:
+        return self is not other and self.start < other.start and other.end <= self.end
 
 
 class Page:
@@ -78,12 +102,15 @@ class Page:
 
     Text inside a block runs on; blocks and line breaks part it. Markup, comments and the parts that
     :data:`DROPPED` and the like name are left out. Unclosed and stray tags are taken as browsers mostly do.
+
+    A class or id drops no element that encloses the page's article or main, or most of its prose: such a page is read once more.
     """
 
     def __init__(self, source: str, target: str | None = None):
-        self.scores: dict[str, float] = {}
-        self.inside: list[str] = []
-        self._read(source, target)
+        self._read(source, target, frozenset())
+        spared = self._spared()
+        if spared:
+            self._read(source, target, spared)
 
     def text(self) -> str:
         return " ".join("".join(self.inside).split())
@@ -92,9 +119,34 @@ class Page:
         """The path of the container with the highest score, of equal ones the first by name."""
         return min(self.scores, key=lambda p: (-self.scores[p], p)) if self.scores else None
 
-    def _read(self, source: str, target: str | None) -> None:
-        # of each open element: tag, dropped, path of its container, path of the container above, in a link, in the target
-        stack: list[tuple[str, bool, str, str, bool, bool]] = [("", False, "", "", False, target == "")]
+    def _spared(self) -> frozenset[int]:
+        """Where the elements begin that names speak against, but that must be the article or enclose it."""
+        against = [p for p in self.parts if p.named and p.prose]
+        chosen = [p for p in self.parts if not p.named and p.prose >= max(LEAST_PROSE * self.prose, 1)]
+        if not against:
+            return frozenset()
+        mains = [max((p for p in chosen if p.tag == tag), key=lambda p: p.prose, default=None) for tag in ("article", "main")]
+
+        def spare(part: _Part) -> bool:
+            if any(m and part.holds(m) for m in mains):
+                return True
+            beside = max((c.prose - part.prose * c.holds(part) for c in chosen), default=0)
+            most = 0.5 if part.named == 1 else 1 - LEAST_PROSE
+            return part.prose > most * self.prose and beside < 2 * LEAST_PROSE * self.prose
+
+        return frozenset(p.start for p in against if spare(p))
+
+    def _read(self, source: str, target: str | None, spared: frozenset[int]) -> None:
+        self.scores: dict[str, float] = {}
+        self.inside: list[str] = []
+        # prose right in a container, and each container's one above, in order of appearance
+        self.direct: dict[str, int] = {}
+        self.parents: dict[str, str] = {}
+        self.parts: list[_Part] = []
+        self.prose = 0
+        # of each open element: tag, dropped, path of its container, path of the container above, in a link, in the target, dropped for
+        # sure, part
+        stack: list[tuple] = [("", False, "", "", False, target == "", False, None)]
         opened = Counter()
         at = 0
         while at < len(source):
@@ -104,7 +156,7 @@ class Page:
                 self._text(source[at:end], stack[-1])
             if not match:
                 break
-            at = match.end()
+            start, at = match.start(), match.end()
             closing, name, attributes = match.groups()
             if name is None:
                 continue
@@ -112,16 +164,19 @@ class Page:
             if tag in BLOCK and stack[-1][5]:
                 self.inside.append(" ")
             if closing:
-                self._close(stack, opened, tag)
+                self._close(stack, opened, tag, start)
                 continue
-            self._imply(stack, opened, tag)
-            _, dropped, path, above, linked, wanted = stack[-1]
+            self._imply(stack, opened, tag, start)
+            _, dropped, path, above, linked, wanted, surely, _ = stack[-1]
             plain = not attributes.strip(" /\t\n\r")
-            lost, step = _traits(tag, "" if plain else attributes)
+            sure, named, step = _traits(tag, "" if plain else attributes)
+            lost = sure or named > 0 and start not in spared
             if not dropped and tag in CONTAINER:
                 above, path = path, f"{path}>{step}" if path else step
                 if path.count(">") >= PATH_STEPS:
                     path = path.split(">", 1)[1]
+                if path != above:
+                    self.parents.setdefault(path, above)
                 wanted = wanted or path == target
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(source, at)
@@ -129,42 +184,57 @@ class Page:
             if tag in VOID or attributes.endswith("/") and tag in ("path", "circle", "rect", "use"):
                 continue
             opened[tag] += 1
-            stack.append((tag, dropped or lost, path, above, linked or tag == "a", wanted and not (dropped or lost)))
-
-    def _text(self, raw: str, element: tuple[str, bool, str, str, bool, bool]) -> None:
-        tag, dropped, path, above, linked, wanted = element
-        if dropped or tag in RAW:
+            part = None
+            if not (surely or sure) and (named or tag in ("article", "main")):
+                part = _Part(tag, named, start, self.prose)
+                self.parts.append(part)
+            gone = dropped or lost
+            stack.append((tag, gone, path, above, linked or tag == "a", wanted and not gone, surely or sure, part))
+        self._cut(stack, opened, 1, len(source))
+
+    def _text(self, raw: str, element: tuple) -> None:
+        tag, dropped, path, above, linked, wanted, surely, _ = element
+        if surely or tag in RAW:
             return
         text = html.unescape(raw) if "&" in raw else raw
+        size = 0 if linked else len(text.strip())
+        self.prose += size
+        if dropped:
+            return
         if wanted:
             self.inside.append(text)
-        size = len(text.strip())
-        if size and not linked:
+        if size:
+            self.direct[path] = self.direct.get(path, 0) + size
             self.scores[path] = self.scores.get(path, 0) + size
             if path != above:
                 self.scores[above] = self.scores.get(above, 0) + size / 2
 
-    @staticmethod
-    def _cut(stack: list, opened: Counter, depth: int) -> None:
+    def _cut(self, stack: list, opened: Counter, depth: int, at: int) -> None:
         for element in stack[depth:]:
             opened[element[0]] -= 1
+            self._end(element[-1], at)
         del stack[depth:]
 
-    def _close(self, stack: list, opened: Counter, tag: str) -> None:
+    def _end(self, part: _Part | None, at: int) -> None:
+        if part is not None:
+            part.end = at
+            part.prose += self.prose
+
+    def _close(self, stack: list, opened: Counter, tag: str, at: int) -> None:
         if opened[tag] <= 0:
             return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth][0] == tag:
-                self._cut(stack, opened, depth)
+                self._cut(stack, opened, depth, at)
                 return
             if stack[depth][0] in BARRIERS and tag not in BLOCK:
                 return  # a stray inline end tag closes nothing outside its block
 
-    def _imply(self, stack: list, opened: Counter, tag: str) -> None:
+    def _imply(self, stack: list, opened: Counter, tag: str, at: int) -> None:
         if tag in ENDS_PARAGRAPH and opened["p"] > 0:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == "p":
-                    self._cut(stack, opened, depth)
+                    self._cut(stack, opened, depth, at)
                     break
                 if stack[depth][0] in STOPS:
                     break
@@ -177,4 +247,4 @@ class Page:
                 elif stack[depth][0] in STOPS and stack[depth][0] not in closes:
                     break
             if found:
-                self._cut(stack, opened, found)
+                self._cut(stack, opened, found, at)

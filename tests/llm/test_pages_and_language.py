@@ -46,6 +46,23 @@ def test_text_of_a_page(source, text):
     assert text_of(source) == text
 
 
+@pytest.mark.parametrize(
+    "name", ["class='overflow-hidden'", "id='content-sidebar-wrap'", "class='layout-with-sidebar'", "class='sidebar-right'", "class='header-fixed'",
+             "class='share-price'", "class='page-with-comments'", "class='sm:hidden'"],
+)
+def test_names_of_wrappers_drop_no_article(name):
+    prose = "words of the article " * 20
+    for body in (f"<article><p>{prose}</p></article>", f"<div><p>{prose}</p></div>", f"<p>{prose}</p>"):
+        source = f"<body><div {name}>{body}<div class='sidebar'>not this</div></div><div class='cookie-notice'>ok?</div></body>"
+        assert text_of(source) == prose.strip()
+
+
+def test_names_of_parts_drop_them():
+    for name in ("comments", "user-comments", "sidebar-left", "ad"):
+        for inner in ("they said " * 30, "<article>they said</article>"):
+            assert text_of(f"<article>{'own words ' * 20}</article><div class='{name}'>{inner}</div>") == ("own words " * 20).strip()
+
+
 def test_difficult_pages_end():
     for source in ["<b" * 5000, "<div>" * 5000 + "x", "<p><b>" * 5000 + "y", "</p>" * 5000, "<a href='" * 500, "<!--" * 1000, "&" * 5000]:
         text_of(source)
