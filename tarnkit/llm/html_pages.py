@@ -119,6 +119,31 @@ class Page:
         """The path of the container with the highest score, of equal ones the first by name."""
         return min(self.scores, key=lambda p: (-self.scores[p], p)) if self.scores else None
 
+    def held(self) -> dict[str, int]:
+        """Path -> prose in its elements and in those within; that of the whole page under the empty path."""
+        held = {path: self.direct.get(path, 0) for path in ["", *self.parents]}
+        # a path is met after that of the container above
+        for path in reversed(self.parents):
+            held[self.parents[path]] += held[path]
+        return held
+
+    def widened(self, path: str, inside_only: bool = False) -> str:
+        """The container above ``path`` that holds the article's other parts too.
+
+        An article, or main around no article, is taken whole. Beyond it (unless ``inside_only``) a container above is
+        taken where at least LEAST_PROSE of its prose is beside what is held so far."""
+        held = self.held()
+        if path not in held:
+            return path
+        at = path
+        while at:
+            at = self.parents[at]
+            kinds = {step.split(".")[0] for step in at.split(">")}
+            within = "article" in kinds or "main" in kinds and not re.search(r"(^|>)article(\.|>|$)", path)
+            if held[at] > held[path] and (within or not inside_only and held[at] - held[path] >= LEAST_PROSE * held[at]):
+                path = at
+        return path
+
     def _spared(self) -> frozenset[int]:
         """Where the elements begin that names speak against, but that must be the article or enclose it."""
         against = [p for p in self.parts if p.named and p.prose]

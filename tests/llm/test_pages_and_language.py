@@ -96,6 +96,40 @@ def test_hosts_vote(spark):
     assert paths["a.example.com"] == "html>body>div.entry.post-#"
 
 
+def words(n, name):
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+PARTED = [
+    f"<article><div class='intro'>{words(50, 'i')}</div><div class='body'>{words(100, 'b')}</div><div class='end'>{words(20, 'e')}</div></article>",
+    f"<article><h1>title</h1><p>{words(60, 'p')}</p><blockquote>{words(150, 'q')}</blockquote></article>",
+    f"<main><h1>title</h1><section>{words(60, 'p')}</section><section class='x'>{words(150, 'q')}</section></main>",
+    f"<div class='post'><div class='intro'>{words(50, 'i')}</div><div class='body'>{words(100, 'b')}</div><div class='end'>{words(20, 'e')}</div></div>",
+    f"<div class='post'><p>{words(60, 'p')}</p><div><figure>{words(150, 'q')}</figure></div></div>",
+]
+
+
+@pytest.mark.parametrize("body", PARTED)
+def test_parted_articles_are_whole(spark, body):
+    import re
+
+    importable(spark)
+    rows = [(k, url, page(body), "x", k) for k, url in enumerate(["http://a.org/1", "http://a.org/2", None, "no address"])]
+    want = " ".join(re.sub("<[^>]*>", " ", body).split())
+    assert {r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()} == {want}
+
+
+def test_two_layouts_of_a_host(spark):
+    """Pages laid out in another way, with a few words where the others have their article."""
+    importable(spark)
+    usual = [page(f"<div class='entry'><p>{words(90, 'a')}</p></div><div class='box'>beside</div>") for _ in range(9)]
+    other = page(f"<div class='entry'>teaser</div><section><h1>title</h1><p>{words(200, 'o')}</p></section>")
+    for url in ("http://a.org/1", None):
+        rows = [(k, url, h, "x", k) for k, h in enumerate([*usual, other])]
+        out = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
+        assert out[0] == words(90, "a") and out[9] == "title " + words(200, "o")
+
+
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 
 
