@@ -25,8 +25,8 @@ SIMILARITY = 75
 COORDINATES, MATCHES = 32, 12
 #: Posting lists up to this length are joined at once; from longer ones pivots are taken, first PIVOTS from each.
 SHORT_LIST, PIVOTS = 48, 8
-#: Shingles of the pivots that tasks compare with members at a time.
-BLOCK_SHINGLES = 1 << 20
+#: Shingles of the pivots, and about those of the members, that a task compares with each other.
+BLOCK_SHINGLES, MEMBER_SHINGLES = 1 << 20, 1 << 22
 #: Shingles of sets that are sent to every executor at most: 32 MB.
 BROADCAST_SHINGLES = 1 << 22
 NO_ID = -(1 << 63)  # stands for a null id
@@ -186,13 +186,10 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 class _Index:
     """The sets of some pivots, turned over: which of them hold a shingle."""
 
-    def __init__(self, rows: list):
-        self.nodes = np.array([r.node for r in rows], np.int64)
-        sets = [np.array(r.shingles, np.int64) for r in rows]
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+    def __init__(self, nodes: np.ndarray, flat: np.ndarray, starts: np.ndarray):
+        self.nodes, self.sizes = nodes, np.diff(starts)
         order = np.argsort(flat, kind="stable")
-        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.owners = np.repeat(np.arange(len(nodes)), self.sizes)[order]
         self.shingles, self.starts = np.unique(flat[order], return_index=True)
         self.ends = np.r_[self.starts[1:], len(flat)].astype(np.int64)
 
@@ -211,42 +208,53 @@ class _Index:
 def _pivot_links(lists: DataFrame, chosen: DataFrame, sets: DataFrame) -> DataFrame:
     """Edges that connect what links between pivots and members of lists do, by full sets.
 
-    Pivots are taken in blocks of about BLOCK_SHINGLES; a task counts the shingles a member shares with all pivots of a
-    block at once, and passes on a link only if it connects what its links so far don't: no more rows than members and pivots."""
-    spark = lists.sparkSession
+    Pivots are dealt to blocks of about BLOCK_SHINGLES, and a member meets the blocks that hold pivots of its lists. A task turns over the
+    pivots of one block and counts the shingles each of its members shares with all of them at once; members are dealt on to as many tasks as
+    leave MEMBER_SHINGLES to each. A link is passed on only if it connects what the task's links so far don't: no more rows than
+    members and pivots. Sets stay on executors."""
     # the names of so few members are broadcast rather than all sets shuffled
     few = F.broadcast if lists.count() <= SHORT else lambda names: names
-    members = sets.join(few(lists.select("cls", "node").distinct()), "cls").select("node", "shingles")
-    firsts = stored(sets.join(few(chosen.select("cls", "node").distinct()), "cls").select("node", "shingles"), "pivot-sets")
-    total = firsts.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    pivots = stored(sets.join(few(chosen.select("cls", "node").distinct()), "cls").select("node", "shingles"), "pivot-sets")
+    total = pivots.agg(F.sum(F.size("shingles"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_SHINGLES))
-    found = None
-    for block in range(blocks):
-        rows = firsts.filter(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block).collect()
-        edges = members.mapInArrow(_connect(spark.sparkContext.broadcast(_Index(rows))), "a bigint, b bigint")
-        found = edges if found is None else found.unionByName(edges)
-    return found
-
-
-def _connect(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        component = np.arange(len(index.nodes))
-        for batch in batches:
-            ends, out = [], []
-            values, offsets = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
-            for node, start, end in zip(batch.column(0).to_pylist(), offsets, offsets[1:]):
-                linked = index.linked(node, values[start:end]) if len(index.nodes) else []
-                if not len(linked):
-                    continue
-                roots, first = np.unique(component[linked], return_index=True)
-                out += index.nodes[linked[first]].tolist()
-                ends += [node] * len(roots)
-                if len(roots) > 1:
-                    component[np.isin(component, roots)] = roots[0]
-            yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), pa.array(out, pa.int64())], ["a", "b"])
-
-    return run
+    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block")
+    members = lists.select("key", "cls", "node", "n_shingles")
+    if blocks > 1:
+        members = members.join(chosen.select("key", block).distinct(), "key")
+    else:
+        members = members.withColumn("block", F.lit(0).cast("bigint"))
+    members = stored(members.select("cls", "node", "n_shingles", "block").distinct(), "members")
+    most = members.groupBy("block").agg(F.sum("n_shingles").alias("n")).agg(F.max("n")).first()[0] or 0
+    salts = max(-(-most // MEMBER_SHINGLES), -(-lists.sparkSession.sparkContext.defaultParallelism // blocks))
+    salt = F.pmod(F.xxhash64("cls"), F.lit(salts)).cast("int").alias("salt")
+    full = sets.join(few(members.select("cls", "node", "block", salt)), "cls").select("block", "salt", "node", "shingles")
+    dealt = pivots.select(block, F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))).alias("salt"), "node", "shingles")
+    both = full.groupBy("block", "salt").cogroup(dealt.groupBy("block", "salt"))
+    return both.applyInArrow(_connect, "a bigint, b bigint")
+
+
+def _connect(members: pa.Table, pivots: pa.Table) -> pa.Table:
+    index = _Index(*_flat(pivots))
+    component = np.arange(len(index.nodes))
+    ends, out = [], []
+    nodes, flat, starts = _flat(members)
+    for node, start, end in zip(nodes.tolist(), starts, starts[1:]):
+        linked = index.linked(node, flat[start:end]) if len(index.nodes) else []
+        if not len(linked):
+            continue
+        roots, first = np.unique(component[linked], return_index=True)
+        out += index.nodes[linked[first]].tolist()
+        ends += [node] * len(roots)
+        if len(roots) > 1:
+            component[np.isin(component, roots)] = roots[0]
+    return pa.table({"a": pa.array(ends, pa.int64()), "b": pa.array(out, pa.int64())})
+
+
+def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, all their shingles in a row, and where each node's begin (one entry more than nodes)."""
+    shingles = table.column("shingles")
+    sizes = pc.list_value_length(shingles).to_numpy()
+    return table.column("node").to_numpy(), pc.list_flatten(shingles).to_numpy(), np.r_[0, np.cumsum(sizes)].astype(np.int64)
 
 
 def _pairs(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:

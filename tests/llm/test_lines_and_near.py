@@ -130,6 +130,21 @@ def test_near_duplicates_of_long_lists(docs, monkeypatch):
     compare_near(near_duplicates(docs(rows)).collect(), rows)
 
 
+def test_pivots_stay_on_executors(docs, monkeypatch):
+    """Small blocks, and lists that never become one component: no set or index passes the driver."""
+    for name, value in {"SHORT_LIST": 2, "PIVOTS": 1, "BLOCK_SHINGLES": 150, "MEMBER_SHINGLES": 400}.items():
+        monkeypatch.setattr(near_dedup, name, value)
+    collected = []
+    frame = type(docs([]))
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: collected.extend(self.columns) or collect(self))
+    shared = [f"s{k}" for k in range(90)]
+    rows = [(k, " ".join([*shared, *(f"o{k // 2}-{j}" for j in range(60)), f"end{k}"])) for k in range(24)]
+    out = near_duplicates(docs(rows))
+    assert "shingles" not in collected
+    compare_near(out.collect(), rows)
+
+
 def test_near_duplicates_of_null_and_repeated_ids(docs):
     one, other = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
     rows = [(3, one), (3, other), (3, other), (7, one), (9, other), (11, "alone here with five words")]
