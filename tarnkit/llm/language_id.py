@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from tarnkit.llm.components import stored
 from tarnkit.llm.workers import add_columns, slices
+from tarnkit.operators.lookups import fits_broadcast
 
 #: n-grams of 1 to LONGEST letters and gaps, hashed to BUCKETS.
 LONGEST = 4
@@ -118,6 +120,10 @@ class Model:
         return names, [round(float(s), 6) if ok else 0.0 for s, ok in zip(scores, lettered)]
 
 
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.cast("string").rlike(r"\p{L}"), F.lit(False))
+
+
 def held_out(doc_id: Column) -> Column:
     """A quarter of the ids, from which nothing is learnt."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
@@ -128,11 +134,13 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str
     smallest hashes, at most TEXTS_PER_LANGUAGE, TEXTS in all. Texts become rows of n-gram bits in the tasks; only those
     are collected, 4 KB each. The first LANDMARKS_PER_LANGUAGE of each language are the landmarks."""
     id_ = F.col(f"`{doc_id}`")
-    usable = docs.filter(F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull() & id_.isNotNull() & ~held_out(id_))
+    usable = docs.filter(has_letter(F.col(f"`{text}`")) & F.col(f"`{lang}`").isNotNull() & id_.isNotNull() & ~held_out(id_))
     keyed = usable.select(F.col(f"`{lang}`").cast("string").alias("lang"), id_.cast("string").alias("id"), F.xxhash64(id_.cast("string")).alias("hash"))
     # hashes are even, so those below a threshold hold the smallest ones: about OVERSAMPLED times the texts wanted are ranked,
     # not the whole of a language (a rarer one than that is ranked whole)
-    sizes = docs.groupBy(F.col(f"`{lang}`").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    # sent to the rows, so that these are cut before they are dealt by language
+    sizes = F.broadcast(sizes) if fits_broadcast(sizes) else sizes
     share = F.least(F.lit(1.0), F.lit(float(OVERSAMPLED * TEXTS_PER_LANGUAGE)) / F.col("n"))
     low = keyed.join(sizes, "lang").filter(F.col("hash") / F.lit(2.0**64) + 0.5 <= share)
     turn = F.row_number().over(W.partitionBy("lang").orderBy("hash", "id"))

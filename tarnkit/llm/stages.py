@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from tarnkit.llm.components import stored
 from tarnkit.llm.decontamination import decontaminate
 from tarnkit.llm.keyfilter import key_bits, with_maybe
-from tarnkit.llm.language_id import UNDETERMINED, identify_languages, train
+from tarnkit.llm.language_id import UNDETERMINED, has_letter, identify_languages, train
 from tarnkit.llm.line_dedup import dedup_lines
 from tarnkit.llm.near_dedup import NO_ID, near_texts, text_tag
 
 
 def keep_languages(docs: DataFrame) -> DataFrame:
     """Documents with a language; those without a letter go. Columns stay as they are."""
-    found = identify_languages(docs, train(docs))
+    model = train(docs)
+    if not model.languages:
+        # nothing was learnt, so nothing speaks against a text with a letter
+        return docs.filter(has_letter(F.col("text")))
+    found = identify_languages(docs, model)
     return found.filter(F.col("lang_pred") != UNDETERMINED).select(*_columns(docs))
 
 

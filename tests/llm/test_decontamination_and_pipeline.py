@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tarnkit.llm.decontamination import LEAST_WORDS, MASKS, SHIFT, SIMILARITY, contamination, decontaminate
+from tarnkit.llm.language_id import train
 from tarnkit.llm.stages import keep_clean, keep_first_lines, keep_languages, keep_one_of_near
 from tests.llm.brute import contaminated, keep_lines, near_components
 
@@ -83,6 +84,17 @@ def test_near_stage_tells_texts_of_one_id_apart(docs):
     assert out == sorted([(0, text["a"]), (0, text["b"]), (0, text["c"] + " end"), (8, text["d"]), (8, text["e"]), (0, "")])
 
 
+def test_language_stage_without_labels(docs):
+    source = docs([(1, "words"), (2, "Ünï"), (3, "123 !"), (4, None), (5, "語")]).withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in keep_languages(source).collect()) == [1, 2, 5]
+
+
+def test_language_sizes_count_usable_rows(docs):
+    """Few of a language's very many rows have a text; they are learnt from all the same."""
+    rows = [(k, "the words of a text" if k < 20 else ("" if k % 2 else None)) for k in range(60_000)]
+    assert train(docs(rows)).languages == ["en"]
+
+
 def test_stages_keep_columns(spark, docs):
     source = docs([(k, f"the house number {k} of the street and more words\nanother line {k}") for k in range(40)] + [(90, "123 !"), (91, None)])
     kept = keep_languages(source)
