@@ -21,7 +21,7 @@ WORDS = 5
 #: Percent of shared shingles that links two documents.
 SIMILARITY = 75
 #: Coordinates of a signature, and how many two documents must share to be compared. A pair at the similarity
-#: threshold shares 24 on average; fewer than 12 happens once in ten million such pairs.
+#: threshold shares 24 on average; fewer than 12 happens once in about 680,000 such pairs.
 COORDINATES, MATCHES = 32, 12
 #: Posting lists up to this length are joined at once; from longer ones pivots are taken, first PIVOTS from each.
 SHORT_LIST, PIVOTS = 48, 8
