@@ -10,6 +10,7 @@ from tarnkit.llm.exact_dedup import exact_dedup
 from tarnkit.llm.html_extract import extract_pages
 from tarnkit.llm.language_id import held_out, identify_languages, train
 from tarnkit.llm.line_dedup import dedup_lines
+from tarnkit.llm.merkle import fold, leaf_hash, merkle_manifest
 from tarnkit.llm.near_dedup import near_duplicates
 from tarnkit.llm.packing import pack_documents
 from tarnkit.llm.sharding import shard_rows
@@ -104,6 +105,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's leaf, roots and proof, and whether a leaf that was tampered with still gives the root."""
+    docs = _read(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = F.when(
+        F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.unhex(leaf_hash([changed if c == "n_chars" else c for c in columns]))
+    )
+    manifest = merkle_manifest(docs, leaf_hash(columns), "lang", "doc_id", [tampered.alias("tampered")])
+    claimed = F.coalesce(F.lower(F.hex("tampered")), F.col("leaf"))
+    folded = manifest.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), fold(claimed).alias("folded_root")
+    )
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
         op1_html_extraction,
         op2_exact_dedup,
@@ -115,6 +132,7 @@ QUERIES = {f.__name__: f for f in (
         op8_packing,
         op9_url_filters,
         op10_token_counts,
+        op11_merkle_manifest,
     )}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -155,7 +173,60 @@ def _decontamination_sql() -> str:
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, layer) = 1"""
 
 
+def _merkle_sql() -> str:
+    """Both trees level by level, and the tampered leaves folded along their siblings."""
+
+    def levels(name: str, of: str) -> str:
+        return f"""{name} AS (
+            SELECT g, 0 AS level, pos, n, h FROM {of}
+            UNION ALL
+            SELECT g, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY g, level, pos // 2, n)"""
+
+    def proof(of: str, tree: str, key: str) -> str:
+        return f"""SELECT o.{key}, string_agg(t.h, '' ORDER BY t.level) AS proof FROM {of} o JOIN {tree} t
+                   ON t.g = o.g AND t.pos = xor(o.pos >> t.level, 1) GROUP BY o.{key}"""
+
+    def folded(name: str, of: str, tree: str) -> str:
+        return f"""{name} AS (
+            SELECT doc_id, g, 0 AS level, pos, n, h FROM {of}
+            UNION ALL
+            SELECT f.doc_id, f.g, f.level + 1, f.pos // 2, (f.n + 1) // 2,
+                   sha256(CASE WHEN f.pos % 2 = 1 THEN t.h || f.h ELSE f.h || coalesce(t.h, '') END)
+            FROM {name} f LEFT JOIN {tree} t ON t.g = f.g AND t.level = f.level AND t.pos = xor(f.pos, 1) WHERE f.n > 1)"""
+
+    def leaf(n_chars: str) -> str:
+        fields = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("d.doc_id", "source", "lang", n_chars, "text")]
+        return f"sha256({' || '.join(fields)})"
+
+    # the unsigned CRC-32 of a doc_id's digits, from its definition
+    crc = f"""crc AS (
+            SELECT doc_id, doc_id::VARCHAR AS s, 0 AS k, 4294967295::BIGINT AS c FROM documents
+            UNION ALL
+            SELECT doc_id, s, k + 1, list_reduce([xor(c, ascii(s[k + 1])::BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) FROM crc WHERE k < length(s))"""
+    return f"""
+        WITH RECURSIVE {crc},
+        picked AS (SELECT DISTINCT doc_id FROM crc WHERE k = length(s) AND xor(c, 4294967295) % 7 = 0),
+        l AS (
+            SELECT d.doc_id, coalesce('=' || lang, '') AS g, {leaf("n_chars")} AS h,
+                   CASE WHEN p.doc_id IS NOT NULL THEN {leaf("(n_chars + 1)")} END AS tampered
+            FROM documents d LEFT JOIN picked p ON p.doc_id = d.doc_id),
+        a AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM l),
+        {levels("t1", "a")},
+        s AS (SELECT g AS lang, '' AS g, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t1 WHERE n = 1),
+        {levels("t2", "s")},
+        p1 AS ({proof("a", "t1", "doc_id")}), p2 AS ({proof("s", "t2", "lang")}),
+        {folded("f1", "(SELECT doc_id, g, pos, n, coalesce(tampered, h) AS h FROM a)", "t1")},
+        {folded("f2", "(SELECT f.doc_id, '' AS g, s.pos, s.n, f.h FROM f1 f JOIN s ON s.lang = f.g WHERE f.n = 1)", "t2")}
+        SELECT a.doc_id, a.h AS leaf, s.h AS subroot, r.h AS root,
+               sha256(coalesce(p1.proof, '') || coalesce(p2.proof, '')) AS proof_sha256, f2.h AS folded_root, f2.h = r.h AS verified
+        FROM a JOIN s ON s.lang = a.g JOIN (SELECT h FROM t2 WHERE n = 1) r ON true
+        LEFT JOIN p1 ON p1.doc_id = a.doc_id LEFT JOIN p2 ON p2.lang = a.g
+        JOIN f2 ON f2.doc_id = a.doc_id AND f2.n = 1"""
+
+
 ORACLE_SQL = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op3_decontamination": _decontamination_sql(),
     "op2_exact_dedup": r"""
         WITH t AS (
