@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnkit.llm.collocations import collocations
 from tarnkit.llm.decontamination import LEAST_WORDS, MASKS, SHIFT, SIMILARITY, contamination
 from tarnkit.llm.exact_dedup import exact_dedup
 from tarnkit.llm.html_extract import extract_pages
 from tarnkit.llm.language_id import held_out, identify_languages, train
+from tarnkit.llm.language_model import score_texts
 from tarnkit.llm.line_dedup import dedup_lines
 from tarnkit.llm.merkle import fold, leaf_hash, merkle_manifest
 from tarnkit.llm.near_dedup import near_duplicates
@@ -121,6 +123,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_read(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 7
+    scored = score_texts(_read(spark, sf_dir, "documents"), remainder != 2)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", (remainder == 2).alias("held_out"), *columns)
+
+
 QUERIES = {f.__name__: f for f in (
         op1_html_extraction,
         op2_exact_dedup,
@@ -133,6 +146,8 @@ QUERIES = {f.__name__: f for f in (
         op9_url_filters,
         op10_token_counts,
         op11_merkle_manifest,
+        op12_collocations,
+        op13_lm_scoring,
     )}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -227,6 +242,27 @@ def _merkle_sql() -> str:
 
 ORACLE_SQL = {
     "op11_merkle_manifest": _merkle_sql(),
+    "op12_collocations": rf"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+            FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+        g AS (
+            {" UNION ALL ".join(f"SELECT lang, w[i : i + {k - 1}] AS ws, {k} AS size FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM p WHERE len(w) >= {k})" for k in (1, 2, 3))}),
+        f AS (SELECT lang, ws, size, count(*) AS n FROM g GROUP BY ALL HAVING count(*) >= 10),
+        c AS (SELECT lang, ws, size, n AS a, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+        s AS (
+            SELECT c.lang, c.ws, c.size, a, k, x.n AS l, y.n AS r,
+                   ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+            FROM c JOIN f x ON x.lang = c.lang AND x.ws = c.ws[:k] JOIN f y ON y.lang = c.lang AND y.ws = c.ws[k + 1 :]),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+        e AS (
+            SELECT lang, ws[:2] AS ws, n FROM f WHERE size = 3 UNION ALL SELECT lang, ws[2:], n FROM f WHERE size = 3),
+        o AS (SELECT lang, ws, max(n) AS longer FROM e GROUP BY ALL)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.ws, ' ')) AS rank,
+               array_to_string(b.ws, ' ') AS phrase, a, l, r, t.n, score
+        FROM b JOIN t ON t.lang = b.lang LEFT JOIN o ON o.lang = b.lang AND o.ws = b.ws
+        WHERE 100 * coalesce(longer, 0) < 50 * a QUALIFY rank <= 2000""",
     "op3_decontamination": _decontamination_sql(),
     "op2_exact_dedup": r"""
         WITH t AS (
