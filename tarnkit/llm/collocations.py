@@ -153,7 +153,7 @@ def _suffixes(seed: int, length: int, buckets: int, hot: np.ndarray, frequent: n
 
 def _distinct_suffixes(words: np.ndarray, pieces: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of words (numbers below ``size``; 0 ends one) that have at least two words, each once, and how often they occur."""
-    suffixes = np.zeros((len(words), length), np.int64)
+    suffixes = np.zeros((len(words), length), np.int32)
     suffixes[:, 0] = words
     for k in range(1, length):
         goes_on = (pieces[k:] == pieces[:-k]) & (suffixes[:-k, k - 1] > 0)

@@ -296,7 +296,7 @@ def _counts(block: _Block, answers: pa.Table, order: int, tasks: int, retained:
     n_words = n_words[asked]
     of_words = np.concatenate([t[:n] for t, n in zip(told, n_words)])[at_words]
     of_sequences = np.concatenate([t[n:] for t, n in zip(told, n_words)])[at_sequences]
-    return [of_words, *of_sequences.reshape(order - 1, -1)]
+    return [of_words, *of_sequences.reshape(order - 1, len(block.tokens))]
 
 
 def _chances(counts: list[np.ndarray], contexts: list[np.ndarray], total: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:

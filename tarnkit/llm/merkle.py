@@ -18,7 +18,7 @@ FANOUT = 2
 #: Leaves of a block are between these, as far as the fanout's powers allow; blocks for each shuffle partition.
 LEAST_LEAVES, MOST_LEAVES, BLOCKS_A_PARTITION = 16, 1 << 14, 4
 #: Rounds of the exchange after which the blocks are stored.
-ROUNDS_STORED = 8
+ROUNDS_STORED = 12
 #: Leaves whose proofs are laid out together.
 _SLICE = 2048
 _HEX = 64
@@ -65,17 +65,16 @@ def merkle_manifest(
     rows = docs.select(
         g.alias("g"), F.col(f"`{order}`").cast("bigint").alias("id"), F.unhex(leaf).alias("leaf"), F.struct(F.lit(0).alias("_"), *keep).alias("keep")
     )
-    leaves = stored(_placed(stored(rows, "leaves")), "placed")
-    total = leaves.count()
+    leaves, total, most = _placed(stored(rows, "leaves"))
     if not total:
         return _named(spark.createDataFrame([], _schema(leaves)), order, leaves)
     size = _block_size(block_leaves or _wanted(spark, total), fanout)
-    tops = stored(_exchanged(_roots(leaves, size, fanout), fanout), "blocks")
+    tops = stored(_exchanged(_roots(leaves, size, fanout), -(-most // size), fanout), "blocks")
     # the subroots are the leaves of one more tree
     subroots = tops.filter("block = 0").select(F.lit("").alias("g"), F.unhex("node").alias("leaf"), F.struct(F.col("g").alias("of")).alias("keep"))
-    subroots = stored(_placed(subroots.select("g", F.lit(None).cast("bigint").alias("id"), "leaf", "keep"), by="keep"), "subroots")
-    upper = stored(_exchanged(_roots(subroots, size, fanout), fanout), "tops")
-    proofs = stored(_proofs(subroots, upper, size, fanout), "subroot-proofs")
+    subroots, _, groups = _placed(subroots.select("g", F.lit(None).cast("bigint").alias("id"), "leaf", "keep"), by="keep")
+    upper = _exchanged(_roots(subroots, size, fanout), -(-groups // size), fanout)
+    proofs = _proofs(subroots, upper, size, fanout)
     above = proofs.select(F.col("keep.of").alias("g"), F.col("subroot").alias("root"), *[F.col(c).alias(f"top_{c}") for c in ("siblings", "places", "widths")])
     joined = tops.join(above, "g").select(
         "g", "block", "blocks", "node", *[F.concat(c, f"top_{c}").alias(c) for c in ("siblings", "places", "widths")], "root"
@@ -107,8 +106,8 @@ def _block_size(wanted: int, fanout: int) -> int:
     return size
 
 
-def _placed(rows: DataFrame, by: str = "id") -> DataFrame:
-    """g, id, leaf, keep, pos (from 0 in its group, in order of ``by`` and leaf), n (leaves of the group)."""
+def _placed(rows: DataFrame, by: str = "id") -> tuple[DataFrame, int, int]:
+    """g, id, leaf, keep, pos (from 0 in its group, in order of ``by`` and leaf), n (leaves of the group); rows of all, and of the largest group."""
     order = ["g", by, "leaf"]
     sorted_ = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "sorted")
     part = F.shiftright("at", 33).alias("part")
@@ -117,12 +116,14 @@ def _placed(rows: DataFrame, by: str = "id") -> DataFrame:
     before = F.coalesce(F.sum("n").over(of_group.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     runs = stored(runs.select("g", "part", "first", before.alias("before"), F.sum("n").over(of_group).alias("n")), "runs")
     # a run for each range and each group in it
-    runs = F.broadcast(runs) if runs.count() <= SHORT else runs
-    return (
+    n_runs, total, most = runs.agg(F.count(F.lit(1)), F.sum(F.when(F.col("before") == 0, F.col("n"))), F.max("n")).first()
+    runs = F.broadcast(runs) if n_runs <= SHORT else runs
+    placed = (
         sorted_.withColumn("part", part)
         .join(runs, ["g", "part"])
         .select("g", "id", "leaf", "keep", (F.col("at") - F.col("first") + F.col("before")).alias("pos"), "n")
     )
+    return placed, total or 0, most or 0
 
 
 def _parents(nodes: list[bytes], fanout: int) -> list[bytes]:
@@ -161,24 +162,20 @@ def _roots(leaves: DataFrame, size: int, fanout: int) -> DataFrame:
     return slim.groupBy("g", "block").applyInArrow(root, "g string, block bigint, blocks bigint, node string")
 
 
-def _exchanged(roots: DataFrame, fanout: int) -> DataFrame:
-    """g, block, blocks, node (the group's root), siblings, places, widths: every block with its upper proof.
+def _exchanged(roots: DataFrame, most: int, fanout: int) -> DataFrame:
+    """g, block, blocks, node (the group's root), siblings, places, widths: every block with its upper proof. ``most``: blocks of the largest group.
 
     A group's blocks are filled up to a power of the fanout by blocks without a node of their own: they take part in the exchange, so that also the last
     subtree's root is at hand wherever it is asked for, and every swap has ``fanout`` blocks, however many the group has.
     """
-    state = stored(roots, "roots")
-    most = state.agg(F.max("blocks")).first()[0]
     powers = [1]
     while powers[-1] < most:
         powers.append(powers[-1] * fanout)
     full = F.array_min(F.filter(F.array(*[F.lit(p).cast("bigint") for p in powers]), lambda p: p >= F.col("blocks")))
-    spare = F.filter(
-        F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda k: F.col("block") + k * F.col("blocks")), lambda b: b < full
-    )
-    filled = state.select("g", F.explode(spare).alias("block"), "blocks", F.lit(None).cast("string").alias("node"))
+    numbers = F.filter(F.transform(F.sequence(F.lit(0), F.lit(fanout - 1)), lambda k: F.col("own") + k * F.col("blocks")), lambda b: b < full)
     nothing = [F.array().cast(kind).alias(name) for name, kind in (("siblings", "array<string>"), ("places", "array<int>"), ("widths", "array<int>"))]
-    state = state.unionByName(filled).select("*", *nothing)
+    state = roots.withColumnRenamed("block", "own").select("g", "own", F.explode(numbers).alias("block"), "blocks", "node")
+    state = state.select("g", "block", "blocks", F.when(F.col("block") == F.col("own"), F.col("node")).alias("node"), *nothing)
     for done, power in enumerate(powers[:-1], 1):
         state = _swap(state, power, fanout)
         if done % ROUNDS_STORED == 0:

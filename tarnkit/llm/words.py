@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that a task takes at a time.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 #: Up to so many possible pairs, which of them occur is told by a table of all.
-_TABLE = 1 << 24
+_TABLE = 1 << 21
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: int, limit: int = CHUNK_BYTES) -> Iterator[pa.Table]:
