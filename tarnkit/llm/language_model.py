@@ -110,7 +110,7 @@ _ANSWER = "task bigint, block bigint, learnt binary, retained binary, vocabulary
 
 def _squeezed(values: np.ndarray, kind: str) -> bytes:
     """Numbers as compressed bytes, the lowest bytes of all first: so the many zeros stand together."""
-    planes = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    planes = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T.tobytes()
     return np.int64(len(values)).tobytes() + pa.compress(planes, codec="zstd", asbytes=True)
 
 
