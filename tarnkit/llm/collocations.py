@@ -268,6 +268,9 @@ def _ranked(scored: DataFrame, phrases: DataFrame, words: DataFrame, frequent: D
         F.col("_lang0").alias("lang"), F.concat_ws(" ", *[f"_word{k}" for k in range(max_words)]).alias("phrase"), "a", "best.*"
     )
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = named.withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= top)
+    # each task keeps only its own first rows of a language before the shuffle
+    first = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    return first.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", F.col("k").cast("bigint").alias("k"))
+    return first.join(totals, "lang").select(
+        "lang", F.col("rank").cast("bigint"), "phrase", "a", "l", "r", "n", "score", F.col("k").cast("bigint").alias("k")
+    )
