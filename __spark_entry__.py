@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnkit.functions import with_time_parts, with_zorder
+from tarnkit.operators.asof import asof_join
+from tarnkit.operators.changes import apply_changes
 from tarnkit.operators import quality
 from tarnkit.operators.layout import gather_partitions, zorder_layout
 from tarnkit.operators.merge import append_rows, merge
@@ -36,6 +38,8 @@ from tarnkit.plans.versions import preview as first_rows
 from tarnkit.session import scratch_folder
 from tarnkit.sources.formats import DataFormat, convert_format, read_data, write_data
 from tarnkit.sources.landing import describe_sources, land_datasets, stored_size, with_tier
+from tarnkit.streaming.landing import land_stream, read_landed, stream_manifest
+from tarnkit.streaming.late import LateSplit
 
 AS_OF = datetime(2024, 1, 31)
 LINEITEM_TRIPS = TripColumns("l_quantity", "l_shipdate", "l_extendedprice", "l_quantity")
@@ -527,6 +531,149 @@ def cleanup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_rows(gone, AS_OF, **EVENT_LOG)
 
 
+# -- streams, change logs, as-of joins --------------------------------------------------------
+
+ARRIVALS = 4
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
+    """Events with the number of the ``arrival`` they come with: a quarter of the ids each; some come one or two quarters ``late``."""
+    events = _read(spark, sf_dir, "events")
+    ends = events.agg(F.max("event_id").alias("last"))
+    quarter = F.floor(F.col("event_id") * ARRIVALS / (F.col("last") + 1)).cast("int")
+    if late:
+        quarter = F.least(quarter + F.when(F.col("event_id") % 17 == 0, 2).when(F.col("event_id") % 11 == 0, 1).otherwise(0), F.lit(ARRIVALS - 1))
+    # one row
+    return events.crossJoin(F.broadcast(ends)).withColumn("arrival", quarter).drop("last")
+
+
+def _arrive(spark: SparkSession, sf_dir: str, late: bool, handle: Callable[[str], None]) -> str:
+    """Put one arrival after the other in a folder and have each handled before the next comes."""
+    folder = scratch_folder(spark, "arriving")
+    rows = _arrivals(spark, sf_dir, late)
+    for number in range(ARRIVALS):
+        rows.filter(F.col("arrival") == number).drop("arrival").write.parquet(f"{folder}/part{number}")
+        handle(f"{folder}/part*")
+    return f"{folder}/part*"
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """Events landed as they arrive; then once more by a stream that knows nothing of the first, as when a checkpoint is lost."""
+    lake, schema = scratch_folder(spark, "streamed"), _read(spark, sf_dir, "events").schema
+
+    def land(arriving: str, checkpoint: str) -> None:
+        land_stream(spark, arriving, schema, lake, "events", checkpoint, clock=lambda: AS_OF).awaitTermination()
+
+    first, second = scratch_folder(spark, "checkpoint"), scratch_folder(spark, "checkpoint")
+    land(_arrive(spark, sf_dir, False, lambda arriving: land(arriving, first)), second)
+    return lake
+
+
+def streamed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What has landed after four arrivals and a second stream over the same files."""
+    return read_landed(spark, _streamed(spark, sf_dir), "events", _read(spark, sf_dir, "events").schema)
+
+
+def streamed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of that stream, by arrival."""
+    manifest = stream_manifest(spark, _streamed(spark, sf_dir), "events")
+    part = F.regexp_extract("source_url", r"/part(\d+)/", 1).cast("int")
+    return manifest.groupBy(part.alias("arrival"), "object_name", "content_type", "ingestion_time").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def _late_split(spark: SparkSession, sf_dir: str) -> tuple[LateSplit, DataFrame]:
+    """Events that arrive out of order, parted by day with a delay of a day."""
+    events = _read(spark, sf_dir, "events")
+    split = LateSplit(spark, scratch_folder(spark, "late"), "ts", timedelta(days=1), timedelta(days=1))
+    checkpoint = scratch_folder(spark, "checkpoint")
+
+    def part(arriving: str) -> None:
+        split.start(spark.readStream.schema(events.schema).parquet(arriving), checkpoint).awaitTermination()
+
+    _arrive(spark, sf_dir, True, part)
+    return split, events
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events whose day was over when they came, with the batch that brought them."""
+    split, events = _late_split(spark, sf_dir)
+    return split.late(events.schema)
+
+
+def in_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in time by day, after two arrivals and after all four."""
+    split, events = _late_split(spark, sf_dir)
+    rows = split.in_time(events.schema).select(F.to_date("ts").alias("day"), "batch")
+    cuts = rows.select("day", F.explode(F.array(F.lit(2), F.lit(4))).alias("cut"), "batch").filter("batch < cut")
+    return cuts.groupBy("cut", "day").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as changes of customers, two in five of them of customer 1; an error deletes."""
+    key = F.when(F.col("event_id") % 5 < 2, F.lit(1)).otherwise(F.col("user_id")).cast("bigint")
+    return _read(spark, sf_dir, "events").withColumn("key", key)
+
+
+CHANGED = {"c_custkey": "source.key", "c_name": "source.event_type", "c_acctbal": "source.value"}
+
+
+def changed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers after all events, in order of time and id."""
+    return apply_changes(
+        _read(spark, sf_dir, "customer"), _change_log(spark, sf_dir), {"c_custkey": "key"}, ["ts", "event_id"], "source.event_type = 'error'", CHANGED
+    )
+
+
+def changed_customers_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with nothing broadcast and hot keys split."""
+    return apply_changes(
+        _read(spark, sf_dir, "customer"), _change_log(spark, sf_dir), {"c_custkey": "key"}, ["ts", "event_id"], "source.event_type = 'error'", CHANGED,
+        broadcast_changes=False, min_rows=10,
+    )
+
+
+def changed_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target with many rows for each key, a third of them under one: changes by part reach every row, and old ones none."""
+    items = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_partkey")).cast("bigint").alias("part"), "l_extendedprice",
+        F.col("l_shipdate").cast("timestamp_ntz").alias("since"),
+    )
+    changes = _read(spark, sf_dir, "part").select(
+        "p_partkey", "p_size", "p_retailprice", (F.lit("1992-01-01").cast("timestamp_ntz") + F.expr("make_dt_interval(p_size * 50)")).alias("moment")
+    )
+    return apply_changes(
+        items, changes, {"part": "p_partkey"}, ["moment"], "source.p_size % 10 = 0", {"part": "source.p_partkey", "l_extendedprice": "source.p_retailprice", "since": "source.moment"},
+        target_sequence=["since"], broadcast_changes=False, min_rows=100,
+    )
+
+
+def changed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A versioned table that takes the events in two parts, the second one holding the first again."""
+    table = VersionedTable(spark, scratch_folder(spark, "changed"))
+    customers = _read(spark, sf_dir, "customer").withColumns({"ts": F.lit(None).cast("timestamp_ntz"), "event_id": F.lit(None).cast("bigint")})
+    table.commit(customers, AS_OF)
+    log = _change_log(spark, sf_dir).filter("event_type <> 'error'")
+    values = CHANGED | {"ts": "source.ts", "event_id": "source.event_id"}
+    for day, part in ((1, log.filter("event_id % 2 = 0")), (2, log)):
+        table.apply(part, {"c_custkey": "key"}, ["ts", "event_id"], AS_OF + timedelta(days=day), "false", values, target_sequence=["ts", "event_id"])
+    return table.read()
+
+
+def asof_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the newest purchase of its user at or before it."""
+    events = _read(spark, sf_dir, "events")
+    bought = events.filter("event_type = 'purchase'").select("user_id", "ts", "event_id", "value")
+    return asof_join(events.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", "p_")
+
+
+def asof_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with half of all events under one key, whose rows are cut into ranges of time."""
+    hot = F.when(F.col("event_id") % 2 == 0, F.lit(-1)).otherwise(F.col("user_id")).cast("bigint")
+    events = _read(spark, sf_dir, "events").withColumn("user_id", hot)
+    bought = events.filter("event_type = 'purchase' AND event_id % 7 = 0").select("user_id", "ts", "event_id", "value")
+    return asof_join(events.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", "p_", pieces=20, min_rows=10)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The trip transform on the smallest tables."""
     return transform_trips(spark, "/root/testdata/sf0.001")
@@ -606,6 +753,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             snapshot_stats_single,
             retained_rows,
             cleanup_history,
+            streamed_rows,
+            streamed_manifest,
+            late_rows,
+            in_time_counts,
+            changed_customers,
+            changed_customers_large,
+            changed_lineitems,
+            changed_table,
+            asof_purchases,
+            asof_hot_key,
         )
     }
 
@@ -697,6 +854,26 @@ def oracle_sql() -> dict[str, str]:
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) > 3
                   AND ts < TIMESTAMP '2024-01-31' - INTERVAL 7 DAY AS expired
         FROM events"""
+    quarter = "floor(event_id * 4 / ((SELECT max(event_id) FROM events) + 1))::INT"
+    arriving = f"""
+        WITH e AS (SELECT *, least({quarter} + CASE WHEN event_id % 17 = 0 THEN 2 WHEN event_id % 11 = 0 THEN 1 ELSE 0 END, 3) AS batch FROM events),
+             m AS (SELECT b.batch, date_trunc('day', max(ts) - INTERVAL 1 DAY) AS boundary FROM e, (SELECT DISTINCT batch FROM e) b WHERE e.batch < b.batch GROUP BY 1),
+             a AS (SELECT e.*, coalesce(ts < boundary, false) AS late FROM e LEFT JOIN m ON m.batch = e.batch)"""
+    change_log = "(SELECT *, CASE WHEN event_id % 5 < 2 THEN 1 ELSE user_id END AS key FROM events)"
+    last_change = f"(SELECT * FROM {change_log} e QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) = 1)"
+    changed = f"""
+        SELECT c_custkey, coalesce(l.event_type, c_name) AS c_name, c_nationkey, coalesce(l.value, c_acctbal) AS c_acctbal, c_mktsegment
+        FROM customer LEFT JOIN {last_change} l ON l.key = c_custkey WHERE l.event_type IS DISTINCT FROM 'error'
+        UNION ALL
+        SELECT key, event_type, NULL, value, NULL FROM {last_change} l WHERE event_type <> 'error' AND key NOT IN (SELECT c_custkey FROM customer)"""
+
+    def asof(key: str, bought: str) -> str:
+        events = f"(SELECT event_id, {key} AS user_id, ts, value, event_type FROM events)"
+        return f"""
+            SELECT e.event_id, e.user_id, e.ts, p.ts AS p_ts, p.event_id AS p_event_id, p.value AS p_value
+            FROM {events} e ASOF LEFT JOIN (SELECT * FROM {events} b WHERE event_type = 'purchase' AND {bought}) p
+            ON e.user_id = p.user_id AND e.ts >= p.ts"""
+
     stats = "count(*) AS total, count(*) FILTER (expired) AS expired, count(*) FILTER (NOT expired) AS active"
     return _training_data()[1] | {
         "filter_positive": "SELECT * FROM customer WHERE c_acctbal > 0",
@@ -740,6 +917,30 @@ def oracle_sql() -> dict[str, str]:
             SELECT TIMESTAMP '2024-01-31' AS run_at, d::BIGINT AS snapshot_id,
                    TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (d - 1) AS created_at, 3::INT AS removed
             FROM range(1, 4) r(d)""",
+        "streamed_rows": "SELECT * FROM events",
+        "streamed_manifest": f"""
+            SELECT {quarter} AS arrival, 'raw/events' AS object_name, 'application/parquet' AS content_type,
+                   TIMESTAMP '2024-01-31' AS ingestion_time, count(*) AS n_rows FROM events GROUP BY 1""",
+        "late_rows": f"{arriving} SELECT * EXCLUDE (late, batch), batch::BIGINT AS batch FROM a WHERE late",
+        "in_time_counts": f"""{arriving}
+            SELECT cut::INT AS cut, ts::DATE AS day, count(*) AS n_rows FROM a, (VALUES (2), (4)) c(cut) WHERE NOT late AND batch < cut GROUP BY ALL""",
+        "changed_customers": changed,
+        "changed_customers_large": changed,
+        "changed_lineitems": """
+            WITH i AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_partkey END AS part, l_extendedprice, l_shipdate AS since FROM lineitem),
+                 c AS (SELECT *, TIMESTAMP '1992-01-01' + INTERVAL 1 DAY * (p_size * 50) AS moment, p_size % 10 = 0 AS gone FROM part)
+            SELECT l_orderkey, l_linenumber, part, CASE WHEN moment > since THEN p_retailprice ELSE l_extendedprice END AS l_extendedprice,
+                   CASE WHEN moment > since THEN moment ELSE since END AS since
+            FROM i LEFT JOIN c ON part = p_partkey WHERE NOT coalesce(gone AND moment > since, false)
+            UNION ALL SELECT NULL, NULL, p_partkey, p_retailprice, moment FROM c WHERE NOT gone AND p_partkey NOT IN (SELECT part FROM i)""",
+        "changed_table": f"""
+            WITH l AS (SELECT * FROM {change_log} e WHERE event_type <> 'error'
+                       QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) = 1)
+            SELECT coalesce(c_custkey, key) AS c_custkey, coalesce(event_type, c_name) AS c_name, c_nationkey, coalesce(value, c_acctbal) AS c_acctbal,
+                   c_mktsegment, ts, event_id
+            FROM customer FULL JOIN l ON key = c_custkey""",
+        "asof_purchases": asof("user_id", "true"),
+        "asof_hot_key": asof("CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END", "event_id % 7 = 0"),
         "listed_tables": """
             SELECT name, 'TEMPORARY' AS table_type, true AS is_temporary
             FROM (VALUES ('listed_nation'), ('listed_region')) v(name)""",

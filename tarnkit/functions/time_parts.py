@@ -35,3 +35,14 @@ def with_time_parts(df: DataFrame, column: str, parsed_as: str = "pickup_date")
             "hour": F.hour(moment),
         }
     )
+
+
+def micros(df: DataFrame, column: str) -> Column:
+    """A timestamp as microseconds since 1970, as bigint; one without a zone is taken as it stands, whatever the session's zone."""
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if not isinstance(kind, T.TimestampNTZType):
+        raise ValueError(f"not a timestamp: {column}")
+    seconds = (value - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second").cast("decimal(20,6)")
+    return (seconds * 1_000_000).cast("bigint")

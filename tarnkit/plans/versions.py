@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnkit.operators.changes import apply_changes
 from tarnkit.operators.layout import gather_partitions
 from tarnkit.operators.merge import merge
 from tarnkit.operators.profile import with_run_metrics
@@ -168,6 +169,21 @@ class VersionedTable:
         merged = merge(self.read(), source, on, when_matched, when_not_matched)
         return self.commit(merged, committed_at, "merge", partition_by=partition_by)
 
+    def apply(
+        self,
+        changes: DataFrame,
+        on: Sequence[str] | Mapping[str, str],
+        sequence: Sequence[str],
+        committed_at: datetime,
+        deleted: str,
+        values: Mapping[str, str],
+        target_sequence: Sequence[str] = (),
+        partition_by: Sequence[str] = (),
+    ) -> int:
+        """Apply a log of changes to the latest snapshot (:func:`~tarnkit.operators.changes.apply_changes`) and commit the result as a new one."""
+        changed = apply_changes(self.read(), changes, on, sequence, deleted, values, target_sequence)
+        return self.commit(changed, committed_at, "apply", partition_by=partition_by)
+
     def publish(
         self,
         df: DataFrame,
