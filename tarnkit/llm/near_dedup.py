@@ -21,8 +21,10 @@ WORDS = 5
 #: Percent of shared shingles that links two documents.
 SIMILARITY = 75
 #: Coordinates of a signature, and how many two documents must share to be compared. A pair at the similarity
-#: threshold shares 24 on average; fewer than 12 happens once in about 680,000 such pairs.
-COORDINATES, MATCHES = 32, 12
+#: threshold shares 24 on average; fewer than 10 happens once in about 29 million such pairs.
+COORDINATES, MATCHES = 32, 10
+#: Bits of the filter of values that more than one class has: 4 MB.
+SHARED_BITS = 24
 #: Posting lists up to this length are joined at once; from longer ones pivots are taken, first PIVOTS from each.
 SHORT_LIST, PIVOTS = 48, 8
 #: Shingles of the pivots, and about those of the members, that a task compares with each other.
@@ -111,7 +113,7 @@ def _doc(doc_id: str) -> Column:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """cls, shingles for the classes ``wanted`` (cls, doc): the texts of the documents they are named after, shingled again."""
+    """cid, shingles for the classes ``wanted`` (cls, cid, doc): the texts of the documents they are named after, shingled again."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,59 +126,76 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Data
     rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"))
     held = maybe_in(rows, F.xxhash64("doc"), key_bits(wanted, F.xxhash64("doc")))
     shingled = held.mapInArrow(shingle, "cls binary, shingles array<bigint>")
-    return shingled.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    return shingled.join(wanted.select("cls", "cid"), "cls").dropDuplicates(["cid"]).select("cid", "shingles")
+
+
+#: Eight bits of each coordinate, eight coordinates in a number.
+SKETCH = [f"s{k}" for k in range(COORDINATES // 8)]
+
+
+def _sketches() -> list[Column]:
+    out = []
+    for k, name in enumerate(SKETCH):
+        word = F.lit(0).cast("bigint")
+        for j in range(8):
+            byte = F.element_at("signature", 8 * k + j + 1).bitwiseAND(255).cast("bigint")
+            word = word.bitwiseOR(F.call_function("shiftleft", byte, F.lit(8 * j)))
+        out.append(word.alias(name))
+    return out
+
+
+def _matches(a: str, b: str) -> Column:
+    """Coordinates whose bits agree in two sketches: all that the signatures share, and of the others one in 256."""
+    unlike = F.lit(0)
+    for name in SKETCH:
+        bits = F.col(f"{a}{name}").bitwiseXOR(F.col(f"{b}{name}"))
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift)).bitwiseAND(F.lit(mask))
+        unlike = unlike + F.bit_count(bits)
+    return COORDINATES - unlike
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """Classes posted under coordinate-value pairs: key, cls, place, popularity, places, n_list, node, n_shingles, signature.
+    """A row for each class that may have a partner: cid, n_shingles, popularity, its sketch and ``keys``, the coordinate-value pairs it is posted under.
 
     A pair of classes that shares MATCHES of its coordinates shares one of the first COORDINATES - MATCHES + 1 in any common
     order. The order is from rare to frequent, so a passage that very many documents hold does not bring them together;
-    values that no other class has come first and are not posted at all. ``place`` is a list's place in that order, ``places`` those of
-    all the class's coordinates: the first one that two classes share is posted by both.
+    values that no other class has come first and are not posted at all.
     """
-    elements = classes.select("cls", F.posexplode("signature").alias("at", "value")).select(
-        F.xxhash64("at", "value").alias("key"), "cls", "at"
-    )
-    shared = elements.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    elements = classes.select("cid", F.posexplode("signature").alias("at", "value")).select(F.xxhash64("at", "value").alias("key"), "cid")
+    shared = stored(elements.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
+    # most values of one class alone stay where they are
+    likely = maybe_in(elements, F.col("key"), key_bits(shared, F.col("key"), SHARED_BITS), SHARED_BITS)
     # 20 bits of the frequency before 43 of the hash
     place = F.call_function("shiftleft", F.least(F.col("n"), F.lit((1 << 20) - 1)), F.lit(43)) + F.shiftrightunsigned("key", 21)
-    placed = elements.join(shared, "key").select("cls", F.struct(place.alias("place"), "key", "at", "n").alias("e"))
-    listed = placed.groupBy("cls").agg(F.array_sort(F.collect_list("e")).alias("keys")).filter(F.size("keys") >= MATCHES)
-    by_coordinate = F.map_from_entries(F.transform("keys", lambda e: F.struct(e["at"], e["place"])))
+    placed = likely.join(shared, "key").select("cid", F.struct(place.alias("place"), "key", "n").alias("e"))
+    listed = placed.groupBy("cid").agg(F.array_sort(F.collect_list("e")).alias("keys")).filter(F.size("keys") >= MATCHES)
     posted = listed.select(
-        "cls",
+        "cid",
         F.aggregate("keys", F.lit(0).cast("bigint"), lambda total, e: total + e["n"]).alias("popularity"),
-        by_coordinate.alias("by_coordinate"),
-        F.explode(F.slice("keys", F.lit(1), F.size("keys") - (MATCHES - 1))).alias("e"),
-    ).select("cls", "popularity", "e.key", "e.place", F.array(*[F.try_element_at("by_coordinate", F.lit(k)) for k in range(COORDINATES)]).alias("places"))
-    lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n_list")).filter("n_list > 1")
-    return posted.join(lists, "key").join(classes.select("cls", "node", "n_shingles", "signature"), "cls")
+        F.transform(F.slice("keys", F.lit(1), F.size("keys") - (MATCHES - 1)), lambda e: e["key"]).alias("keys"),
+    )
+    return posted.join(classes.select("cid", "n_shingles", *_sketches()), "cid")
 
 
-def _alike(a: str, b: str) -> Column:
-    """Whether sizes and shared coordinates of two rows of one list allow a link, and the list is the first they share: so
-    a pair meets once, however many lists it shares."""
-    na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    sizes = 100 * F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)
-    equal = [F.col(f"{a}.signature")[k] == F.col(f"{b}.signature")[k] for k in range(COORDINATES)]
-    shared = [e.cast("int") for e in equal]
-    first = F.least(*[F.when(e, F.col(f"{a}.places")[k]) for k, e in enumerate(equal)])
-    return sizes & (sum(shared[1:], shared[0]) >= MATCHES) & (first == F.col(f"{a}.place"))
+def _may_link(a: str, b: str) -> Column:
+    """Whether sizes and shared coordinates of two rows allow a link."""
+    na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+    return (100 * F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)) & (_matches(a, b) >= MATCHES)
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (cls1, cls2, a, b) whose whole sets are similar enough, as edges a, b.
+    """The pairs (a, b) of classes whose whole sets are similar enough.
 
     A set is shuffled once to meet all pairs it is second in. The first ones are broadcast if they are few (pivots are),
     up to BROADCAST_SHINGLES in all; beyond that a second join brings them."""
     pairs = stored(pairs, "pairs")
     few = F.broadcast if pairs.count() <= SHORT else lambda names: names
-    firsts = sets.join(few(pairs.select("cls1").distinct()), F.col("cls") == F.col("cls1"), "left_semi")
-    firsts = firsts.select(F.col("cls").alias("cls1"), F.col("shingles").alias("set1"))
+    firsts = sets.join(few(pairs.select("a").distinct()), F.col("cid") == F.col("a"), "left_semi")
+    firsts = firsts.select(F.col("cid").alias("a"), F.col("shingles").alias("set1"))
     small = (firsts.agg(F.sum(F.size("set1"))).first()[0] or 0) <= BROADCAST_SHINGLES
-    both = few(pairs).join(sets.select(F.col("cls").alias("cls2"), F.col("shingles").alias("set2")), "cls2").join(
-        F.broadcast(firsts) if small else firsts, "cls1"
+    both = few(pairs).join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set2")), "b").join(
+        F.broadcast(firsts) if small else firsts, "a"
     )
     inter = F.size(F.array_intersect("set1", "set2"))
     union = F.size("set1") + F.size("set2") - inter
@@ -214,21 +233,21 @@ def _pivot_links(lists: DataFrame, chosen: DataFrame, sets: DataFrame) -> DataFr
     members and pivots. Sets stay on executors."""
     # the names of so few members are broadcast rather than all sets shuffled
     few = F.broadcast if lists.count() <= SHORT else lambda names: names
-    pivots = stored(sets.join(few(chosen.select("cls", "node").distinct()), "cls").select("node", "shingles"), "pivot-sets")
+    pivots = stored(sets.join(few(chosen.select("cid").distinct()), "cid").select("cid", "shingles"), "pivot-sets")
     total = pivots.agg(F.sum(F.size("shingles"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_SHINGLES))
-    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block")
-    members = lists.select("key", "cls", "node", "n_shingles")
+    block = F.pmod(F.xxhash64("cid"), F.lit(blocks)).alias("block")
+    members = lists.select("key", "cid", "n_shingles")
     if blocks > 1:
         members = members.join(chosen.select("key", block).distinct(), "key")
     else:
         members = members.withColumn("block", F.lit(0).cast("bigint"))
-    members = stored(members.select("cls", "node", "n_shingles", "block").distinct(), "members")
+    members = stored(members.select("cid", "n_shingles", "block").distinct(), "members")
     most = members.groupBy("block").agg(F.sum("n_shingles").alias("n")).agg(F.max("n")).first()[0] or 0
     salts = max(-(-most // MEMBER_SHINGLES), -(-lists.sparkSession.sparkContext.defaultParallelism // blocks))
-    salt = F.pmod(F.xxhash64("cls"), F.lit(salts)).cast("int").alias("salt")
-    full = sets.join(few(members.select("cls", "node", "block", salt)), "cls").select("block", "salt", "node", "shingles")
-    dealt = pivots.select(block, F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))).alias("salt"), "node", "shingles")
+    salt = F.pmod(F.xxhash64("cid"), F.lit(salts)).cast("int").alias("salt")
+    full = sets.join(few(members.select("cid", "block", salt)), "cid").select("block", "salt", "cid", "shingles")
+    dealt = pivots.select(block, F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))).alias("salt"), "cid", "shingles")
     both = full.groupBy("block", "salt").cogroup(dealt.groupBy("block", "salt"))
     return both.applyInArrow(_connect, "a bigint, b bigint")
 
@@ -251,15 +270,10 @@ def _connect(members: pa.Table, pivots: pa.Table) -> pa.Table:
 
 
 def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes, all their shingles in a row, and where each node's begin (one entry more than nodes)."""
+    """Classes, all their shingles in a row, and where each one's begin (one entry more than classes)."""
     shingles = table.column("shingles")
     sizes = pc.list_value_length(shingles).to_numpy()
-    return table.column("node").to_numpy(), pc.list_flatten(shingles).to_numpy(), np.r_[0, np.cumsum(sizes)].astype(np.int64)
-
-
-def _pairs(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
-    joined = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & _alike("l", "r") & more)
-    return joined.select(F.col("l.cls").alias("cls1"), F.col("r.cls").alias("cls2"), F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+    return table.column("cid").to_numpy(), pc.list_flatten(shingles).to_numpy(), np.r_[0, np.cumsum(sizes)].astype(np.int64)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -271,16 +285,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     that is the row's own. Rows of one id are one document; null ids are one document with the smallest id and component_id null.
 
     Equal sets are one class, so copies never meet each other. Classes are posted under the coordinate-value pairs
-    of their signatures (:func:`postings`), and those that share enough are compared on full sets. Short lists are joined
-    at once. From a long list a few pivots at a time are compared with its members (:func:`_pivot_links`) and
-    then leave it; once all members are in one component no pair is left that could change anything, so a list of near copies is done in a
-    round or two. Each round takes eight times as many pivots, until no list has two components: nothing is capped or dropped.
+    of their signatures (:func:`postings`); in a list, those that share enough coordinates are compared on full sets (:func:`_labels`).
     """
     rows = stored(signatures(docs, text, doc_id), "signatures")
-    classes = stored(
-        rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min("doc").alias("node")), "classes"
+    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min("doc").alias("doc"))
+    classes = _numbered(classes)
+    reached = _reached(classes, _labels(docs, classes, text, doc_id, _one_id(rows, classes)), "doc")
+    found = rows.select("doc", "cls", "n_shingles").join(reached.select("cls", F.col("first").alias("label")), "cls", "left")
+    own = F.coalesce("label", "doc")
+    return found.select(
+        _id("doc").alias("doc_id"), "n_shingles", _id(own).alias("component_id"), (F.col("doc") == own).alias("kept")
     )
-    return _answer(rows, classes, _labels(docs, classes, text, doc_id, _one_id(rows, classes)))
 
 
 def near_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -289,56 +304,95 @@ def near_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     Links are those of :func:`near_duplicates`, but an id ties nothing together: neither the texts of a repeated id nor those without one.
     Of each component the document with the smallest id (null is the smallest) and tag is kept, and all without shingles are."""
     rows = stored(signatures(docs, text, doc_id, (text_tag(text),)), "signatures")
-    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min(F.struct("doc", "tag")).alias("first"))
-    # an id may name several classes, so they are numbered; once written, the numbers stay
-    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    labels = _labels(docs, classes, text, doc_id)
-    reached = classes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
+    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min(F.struct("doc", "tag")).alias("own"))
+    classes = _numbered(classes.withColumn("doc", F.col("own.doc")))
+    reached = _reached(classes, _labels(docs, classes, text, doc_id), "own").select("first").distinct()
     firsts = reached.select("first.doc", "first.tag", F.lit(True).alias("is_first"))
     each = rows.groupBy("doc", "tag").agg(F.count(F.lit(1)).alias("n_rows"), F.max("n_shingles").alias("n_shingles"))
     kept = (F.col("n_shingles") == 0) | F.col("is_first").isNotNull()
     return each.join(firsts, ["doc", "tag"], "left").select("doc", "tag", "n_rows", kept.alias("kept"))
 
 
+def _numbered(classes: DataFrame) -> DataFrame:
+    """Classes with a number of their own, ``cid``; once written, the numbers stay."""
+    return stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+
+
+def _reached(classes: DataFrame, labels: DataFrame, own: str) -> DataFrame:
+    """cls, first: the smallest ``own`` of all classes in the component of each class."""
+    named = classes.select("cls", "cid", own).join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    firsts = named.groupBy("label").agg(F.min(own).alias("first"))
+    return named.select("cls", "label").join(firsts, "label").select("cls", "first")
+
+
 def _labels(docs: DataFrame, classes: DataFrame, text: str, doc_id: str, known: DataFrame | None = None) -> DataFrame:
-    """node, label for the nodes of ``classes`` that links, or the ``known`` edges, connect with others."""
+    """node, label for the numbers of ``classes`` that links, or the ``known`` edges, connect with others.
+
+    First each class meets, of the most popular members of its lists, the one it shares most coordinates with: so groups of near copies, however large, become one
+    component by one comparison for each class. Lists whose members are then all in one component are closed, as no pair is left in them that could
+    change anything. In the others the classes of different components are compared: in short lists all that share MATCHES coordinates. From a
+    long list a few pivots at a time are compared with its members (:func:`_pivot_links`) and then leave it; each round takes eight times as many pivots, until no list
+    has two components: nothing is capped or dropped.
+    """
     posted = stored(postings(classes), "postings")
-    named = posted.select("cls", F.col("node").alias("doc")).distinct()
-    if "first" in classes.columns:
-        named = classes.select("cls", "first.doc").join(named.select("cls"), "cls", "left_semi")
-    sets = stored(_sets_of(docs, named, text, doc_id), "sets")
-    short = posted.filter(F.col("n_list") <= SHORT_LIST)
-    ordered = F.col("l.cls") < F.col("r.cls")
-    edges = _links(_pairs(short, short, ordered), sets)
+    sets = stored(_sets_of(docs, classes.select("cls", "cid", "doc").join(posted.select("cid"), "cid", "left_semi"), text, doc_id), "sets")
+    edges = _links(_best_pivots(posted), sets)
     edges = stored(edges.unionByName(known) if known is not None else edges, "links")
     labels = stored(components(edges), "labels")
-    lists = posted.filter(F.col("n_list") > SHORT_LIST)
+    named = _labelled(posted, gathered(labels))
+    members = named.select(*[c for c in named.columns if c != "keys"], F.explode("keys").alias("key"))
+    spread = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n_list"))
+    open_ = stored(members.join(spread.filter("low != high").select("key", "n_list"), "key"), "open")
+    short = open_.filter(F.col("n_list") <= SHORT_LIST).select("key", "cid", "label", "n_shingles", *SKETCH)
+    right = short.toDF(*[c if c == "key" else f"r_{c}" for c in short.columns])
+    apart = (F.col("cid") < F.col("r_cid")) & (F.col("label") != F.col("r_label"))
+    pairs = short.join(right, "key").filter(apart & _may_link("", "r_")).select(F.col("cid").alias("a"), F.col("r_cid").alias("b")).distinct()
+    labels = _joined(labels, stored(_links(pairs, sets), "links"))
+    lists = open_.filter(F.col("n_list") > SHORT_LIST).drop("label")
     pivots = PIVOTS
     while True:
         lists = gathered(stored(_undecided(lists, gathered(labels)), "lists"))
         if lists.isEmpty():
             break
         chosen = gathered(stored(_pivots(lists, pivots), "pivots"))
-        found = stored(_pivot_links(lists, chosen, sets), "links")
-        if not found.isEmpty():
-            stars = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = stored(components(stars.unionByName(found)), "labels")
-        lists = lists.join(chosen.select("key", "cls"), ["key", "cls"], "left_anti").drop("label", "n_label")
+        labels = _joined(labels, stored(_pivot_links(lists, chosen, sets), "links"))
+        lists = lists.join(chosen.select("key", "cid"), ["key", "cid"], "left_anti").drop("label", "n_label")
         pivots *= 8
     return labels
 
 
+def _best_pivots(posted: DataFrame) -> DataFrame:
+    """Pairs a, b: class b and, of the most popular members of its lists, the one that shares most coordinates with it, if it shares enough."""
+    members = posted.select(F.explode("keys").alias("key"), "cid", "popularity", "n_shingles", *SKETCH)
+    first = F.max(F.struct("popularity", "cid", "n_shingles", *SKETCH)).alias("first")
+    firsts = members.groupBy("key").agg(first, F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "first")
+    met = members.join(firsts, "key").filter((F.col("cid") != F.col("first.cid")) & _may_link("", "first."))
+    return met.groupBy(F.col("cid").alias("b")).agg(F.max(F.struct(_matches("", "first."), F.col("first.cid").alias("a"))).alias("m")).select("m.a", "b")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    named = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    return named.withColumn("label", F.coalesce("label", "cid"))
+
+
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after more edges."""
+    if found.isEmpty():
+        return labels
+    stars = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return stored(components(stars.unionByName(found)), "labels")
+
+
 def _one_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges between the classes of rows that share an id."""
-    placed = rows.join(classes.select("cls", "node"), "cls").select("doc", "node").distinct()
-    least = placed.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("most")).filter("a != most")
-    return placed.join(least, "doc").filter("a != node").select("a", F.col("node").alias("b"))
+    placed = rows.select("doc", "cls").join(classes.select("cls", "cid"), "cls").select("doc", "cid").distinct()
+    least = placed.groupBy("doc").agg(F.min("cid").alias("a"), F.max("cid").alias("most")).filter("a != most")
+    return placed.join(least, "doc").filter("a != cid").select("a", F.col("cid").alias("b"))
 
 
 def _undecided(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Lists with more than one component, each member with its label and that label's members in the list."""
-    named = lists.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").drop("of")
-    named = named.withColumn("label", F.coalesce("label", "node"))
+    named = _labelled(lists, labels)
     counts = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n_label"))
     several = counts.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
     return named.join(several.select("key"), "key", "left_semi").join(counts, ["key", "label"])
@@ -347,19 +401,10 @@ def _undecided(lists: DataFrame, labels: DataFrame) -> DataFrame:
 def _pivots(lists: DataFrame, most: int) -> DataFrame:
     """Up to ``most`` members of each list: those of its smallest components first, and of these the ones whose coordinate
     values are the most common, as the text that many others were copied from has those."""
-    order = W.partitionBy("key").orderBy("n_label", F.desc("popularity"), "cls")
+    order = W.partitionBy("key").orderBy("n_label", F.desc("popularity"), "cid")
     return lists.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= most).drop("turn")
 
 
-def _answer(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    reached = classes.join(labels, "node", "left").select("cls", F.coalesce("label", "node").alias("label"))
-    found = rows.select("doc", "cls", "n_shingles").join(reached, "cls", "left")
-    own = F.coalesce("label", "doc")
-    return found.select(
-        _id("doc").alias("doc_id"), "n_shingles", _id(own).alias("component_id"), (F.col("doc") == own).alias("kept")
-    )
-
-
 def _id(value) -> Column:
     value = F.col(value) if isinstance(value, str) else value
     return F.when(value != NO_ID, value)
