@@ -9,13 +9,15 @@ from __future__ import annotations
 import json
 import unicodedata
 from array import array
+from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Chunks remembered by a worker, and the longest one it remembers.
-CACHED_CHUNKS = 400_000
+#: Chunks remembered by a worker, in each of two generations, and the longest one it remembers.
+CACHED_CHUNKS = 200_000
 CACHED_LENGTH = 48
 
 _PUNCTUATION = ".,!?;:$%&*#"
@@ -37,8 +39,8 @@ _SYMBOLS = _byte_symbols()
 
 
 def _lower(text: str) -> str:
-    # code point by code point: a whole string's lower() treats a final sigma apart
-    return text.lower() if text.isascii() else "".join([c.lower() for c in text])
+    # a whole string's lower() treats a final sigma apart; all other code points it lowers one by one
+    return text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
 
 
 def _symbols(piece: str) -> str:
@@ -51,7 +53,30 @@ def _plain(text: str) -> bool:
     return text.isascii() or ("İ" not in text and unicodedata.is_normalized("NFC", text))
 
 
-class ChunkIds(dict):
+class _Remembered(dict):
+    """A dictionary that computes what it lacks and stays small: when it is full it becomes the old generation, which is asked before anything is
+    computed again, so what is used often stays."""
+
+    def __init__(self):
+        super().__init__()
+        self._old: dict = {}
+
+    def __missing__(self, key):
+        value = self._old.get(key)
+        return self.keep(key, self.compute(key) if value is None else value)
+
+    def compute(self, key):
+        raise NotImplementedError
+
+    def keep(self, key, value):
+        if len(self) >= CACHED_CHUNKS:
+            self._old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class ChunkIds(_Remembered):
     """chunk -> its token ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
@@ -60,7 +85,10 @@ class ChunkIds(dict):
         self._model = self._library.model
         self._model._resize_cache(0)  # every word comes here once
 
-    def __missing__(self, chunk: str) -> bytes:
+    def keep(self, chunk: str, ids: bytes) -> bytes:
+        return super().keep(chunk, ids) if len(chunk) <= CACHED_LENGTH else ids
+
+    def compute(self, chunk: str) -> bytes:
         word = chunk.rstrip(_PUNCTUATION)
         if word.isalpha() and _plain(word):
             # letters are one pre-token, and so is the punctuation after them
@@ -69,17 +97,13 @@ class ChunkIds(dict):
                 ids += self[chunk[len(word) :]]
         else:
             ids = np.array(self._library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
-                self.clear()
-            self[chunk] = ids
         return ids
 
     def of_text(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, chunks_of(text)))
 
 
-class PrefixCounts(dict):
+class PrefixCounts(_Remembered):
     """chunk -> how the token count changes with each of its code points, one signed 16-bit number each.
 
     Within a pre-token, dynamic programming over its prefixes finds the last token of each: the one
@@ -97,12 +121,8 @@ class PrefixCounts(dict):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab, merges, end = spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"]
-        self._tokens: dict[str, tuple[int | None, int | None]] = {}  # string -> unmarked and marked id
-        for token in vocab:
-            plain = token.removesuffix(end)
-            if plain and plain not in self._tokens:
-                self._tokens[plain] = vocab.get(plain), vocab.get(plain + end)
-        self._longest = max(map(len, self._tokens))
+        names = {token.removesuffix(end) for token in vocab} - {""}
+        self._endings = _Endings({name: (vocab.get(name), vocab.get(name + end)) for name in names})
         rank: dict[tuple[int, int], int] = {}  # pair of ids -> order of its merge
         halves: dict[int, tuple[int, int, int]] = {}  # id -> order, left and right of the merge that makes it
         for order, (left, right) in enumerate(merges):
@@ -112,23 +132,33 @@ class PrefixCounts(dict):
         self._apart = _Apart(halves, rank)
         names = "|".join(regex.escape(t["content"]) for t in spec["added_tokens"])
         self._special = regex.compile(f"({names})") if names else None
-        self._states: dict[str, tuple[int, int, int]] = {}
+        # of each prefix of the word last counted: where it ends, its last unmarked token, its count, the count with a marked end
+        self._last, self._states, self._ends, self._counts, self._closed = "", [0], [-1], [0], [0]
+
+    def keep(self, chunk: str, changes: bytes) -> bytes:
+        return super().keep(chunk, changes) if len(chunk) <= CACHED_LENGTH else changes
 
-    def __missing__(self, chunk: str) -> bytes:
+    def learn(self, texts: list[str]) -> None:
+        """Count the words of texts that are not remembered, in order, so that each begins where the one before it ends to agree with it."""
+        old = self._old
+        new = [c for c in set().union(*map(chunks_of, texts)).difference(self.keys()) if c not in old and len(c) <= CACHED_LENGTH]
+        words = {_lower(w) for w in {c.rstrip(_PUNCTUATION) for c in new} if w.isalpha() and _plain(w)}
+        for word in sorted(words.difference(self.keys(), old.keys())):
+            self.keep(word, self._changes(self._word(word)))
+
+    @staticmethod
+    def _changes(counts: list[int]) -> bytes:
+        return array("h", map(sub, counts, [0, *counts])).tobytes()
+
+    def compute(self, chunk: str) -> bytes:
         word = chunk.rstrip(_PUNCTUATION)
-        if word.isalpha() and _plain(word) and (word != chunk or word != _lower(word)):
-            # letters are one pre-token, and so is the punctuation after them; their changes just follow each other
-            changes = self[_lower(word)]
-            if len(word) < len(chunk):
-                changes += self[chunk[len(word) :]]
-        else:
-            counts = self.prefix_counts(chunk)
-            changes = array("h", [b - a for a, b in zip([0, *counts], counts)]).tobytes()
-        if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
-                self.clear()
-            self[chunk] = changes
-        return changes
+        if not (word.isalpha() and _plain(word)):
+            return self._changes(self.prefix_counts(chunk))
+        # letters are one pre-token, and so is the punctuation after them; their changes just follow each other
+        lower = _lower(word)
+        if lower == chunk:
+            return self._changes(self._word(lower))
+        return self[lower] + (self[chunk[len(word) :]] if len(word) < len(chunk) else b"")
 
     def of_text(self, text: str) -> np.ndarray:
         """The token count of every prefix of ``text``: entry i is that of its first i + 1 code points."""
@@ -183,53 +213,87 @@ class PrefixCounts(dict):
         if lower.isascii() and lower.isprintable():
             return self._table(lower)
         counts = self._table(_symbols(piece))
-        ends = np.cumsum([len(c.encode("utf-8", "replace")) for c in lower])
-        return [counts[e - 1] for e in ends]
+        return [counts[e - 1] for e in accumulate(len(c.encode("utf-8", "replace")) for c in lower)]
 
     def _table(self, symbols: str) -> list[int]:
-        """Counts of all prefixes; what is known of a prefix serves every word that begins with it."""
-        states, n = self._states, len(symbols)
-        keep = n <= CACHED_LENGTH
-        if keep and len(states) >= CACHED_CHUNKS:
-            states.clear()
-        known = n if keep else 0
-        while known and symbols[:known] not in states:
-            known -= 1
-        # per prefix: its last unmarked token, its count, and the count with a marked end
-        row = [(-1, 0, 0), *[states[symbols[:i]] for i in range(1, known + 1)]]
-        tokens, apart = self._tokens, self._apart
-        for i in range(known + 1, n + 1):
-            last = count = closed = None
-            for j in range(max(0, i - self._longest), i):
-                ids = tokens.get(symbols[j:i])
-                if ids is None:
-                    continue
-                left, before, _ = row[j]
-                plain, marked = ids
-                if closed is None and marked is not None and (left < 0 or apart[left << 20 | marked]):
-                    closed = before + 1
-                if last is None and plain is not None and (left < 0 or apart[left << 20 | plain]):
-                    last, count = plain, before + 1
-                if last is not None and closed is not None:
-                    break
-            row.append((last, count, closed))
-            if keep:
-                states[symbols[:i]] = row[i]
-        return [state[2] for state in row[1:]]
-
-
-class _Apart(dict):
+        """Counts of all prefixes; those that the word before begins with too are known."""
+        known = 0
+        for a, b in zip(symbols, self._last):
+            if a != b:
+                break
+            known += 1
+        states, ends, counts, closed = self._states, self._ends, self._counts, self._closed
+        for column in (states, ends, counts, closed):
+            del column[known + 1 :]
+        follow, tokens, apart, state = self._endings.follow, self._endings.tokens, self._apart, states[-1]
+        for i in range(known + 1, len(symbols) + 1):
+            state = follow(state, ord(symbols[i - 1]))
+            end = marked_end = None
+            for length, plain, marked in tokens[state]:
+                left = ends[i - length]
+                if marked_end is None and marked is not None and (left < 0 or apart[left << 20 | marked]):
+                    marked_end = counts[i - length] + 1
+                    if end is not None:
+                        break
+                if end is None and plain is not None and (left < 0 or apart[left << 20 | plain]):
+                    end, count = plain, counts[i - length] + 1
+                    if marked_end is not None:
+                        break
+            states.append(state)
+            ends.append(end)
+            counts.append(count)
+            closed.append(marked_end)
+        self._last = symbols
+        return closed[1:]
+
+
+class _Endings:
+    """Which tokens end at a place: a trie of all tokens, where each node also leads to the longest other one that it ends with."""
+
+    def __init__(self, names: dict[str, tuple[int | None, int | None]]):
+        self._next: dict[int, int] = {}  # node << 10 | character -> node
+        self._shorter = [0]
+        self.tokens: list[tuple[tuple[int, int | None, int | None], ...]] = [()]  # of each node: length, unmarked and marked id; the longest first
+        own = [None]
+        for name, ids in names.items():
+            node = 0
+            for character in name:
+                key = node << 10 | ord(character)
+                node = self._next.setdefault(key, len(own))
+                if node == len(own):
+                    own.append(None)
+            own[node] = (len(name), *ids)
+        self._shorter += [0] * (len(own) - 1)
+        self.tokens += [()] * (len(own) - 1)
+        # children come after their parents, nodes of one depth after all above: by length of the name
+        order = sorted(self._next.items(), key=lambda item: item[1])
+        depth = [0] * len(own)
+        for key, node in order:
+            depth[node] = depth[key >> 10] + 1
+        for key, node in sorted(order, key=lambda item: depth[item[1]]):
+            parent, character = key >> 10, key & 1023
+            if parent:
+                self._shorter[node] = self.follow(self._shorter[parent], character)
+            shorter = self.tokens[self._shorter[node]]
+            self.tokens[node] = (own[node], *shorter) if own[node] else shorter
+
+    def follow(self, node: int, character: int) -> int:
+        while True:
+            found = self._next.get(node << 10 | character)
+            if found is not None or not node:
+                return found or 0
+            node = self._shorter[node]
+
+
+class _Apart(_Remembered):
     """left id << 20 | right id -> whether merging the symbols of both tokens together gives just these two."""
 
     def __init__(self, halves: dict[int, tuple[int, int, int]], rank: dict[tuple[int, int], int]):
         super().__init__()
         self._halves, self._rank = halves, rank
 
-    def __missing__(self, key: int) -> bool:
-        if len(self) >= CACHED_CHUNKS:
-            self.clear()
-        self[key] = out = self._holds(key >> 20, key & 0xFFFFF)
-        return out
+    def compute(self, key: int) -> bool:
+        return self._holds(key >> 20, key & 0xFFFFF)
 
     def _holds(self, left: int, right: int) -> bool:
         """Undo the merges of both sides from the latest to the earliest. At each step the tokens that then meet

@@ -33,8 +33,9 @@ def count_tokens(
         for batch in batches:
             for part in slices(batch, 64 if keep_prefixes else 1024):
                 rows, prefixes = [], []
-                for content in part.column(1).to_pylist():
-                    content = content or ""
+                texts = [content or "" for content in part.column(1).to_pylist()]
+                table.learn(texts)
+                for content in texts:
                     counts = table.of_text(content)
                     # more text can make fewer tokens, so the last prefix that fits counts
                     fit = np.flatnonzero(counts <= budget)
