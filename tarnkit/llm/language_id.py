@@ -130,23 +130,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> Model:
-    """Fit on a bounded sample of the labelled texts that are not held out: in each language those whose ids have the
+    """Fit on a bounded sample of the labelled texts that are not held out: in each language those whose ids and texts have the
     smallest hashes, at most TEXTS_PER_LANGUAGE, TEXTS in all. Texts become rows of n-gram bits in the tasks; only those
-    are collected, 4 KB each. The first LANDMARKS_PER_LANGUAGE of each language are the landmarks."""
-    id_ = F.col(f"`{doc_id}`")
-    usable = docs.filter(has_letter(F.col(f"`{text}`")) & F.col(f"`{lang}`").isNotNull() & id_.isNotNull() & ~held_out(id_))
-    keyed = usable.select(F.col(f"`{lang}`").cast("string").alias("lang"), id_.cast("string").alias("id"), F.xxhash64(id_.cast("string")).alias("hash"))
+    are collected, 4 KB each: one for each id and text, however often it is repeated. The first LANDMARKS_PER_LANGUAGE of each language are the landmarks."""
+    id_, content = F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string")
+    usable = docs.filter(has_letter(content) & F.col(f"`{lang}`").isNotNull() & id_.isNotNull() & ~held_out(id_))
+    texts = usable.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.xxhash64(id_.cast("string"), content).alias("hash"), content.alias("text"))
+    keyed = texts.select("lang", "hash")
     # hashes are even, so those below a threshold hold the smallest ones: about OVERSAMPLED times the texts wanted are ranked,
     # not the whole of a language (a rarer one than that is ranked whole)
-    sizes = stored(keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    sizes = stored(keyed.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")), "languages")
     # sent to the rows, so that these are cut before they are dealt by language
     sizes = F.broadcast(sizes) if fits_broadcast(sizes) else sizes
     share = F.least(F.lit(1.0), F.lit(float(OVERSAMPLED * TEXTS_PER_LANGUAGE)) / F.col("n"))
-    low = keyed.join(sizes, "lang").filter(F.col("hash") / F.lit(2.0**64) + 0.5 <= share)
-    turn = F.row_number().over(W.partitionBy("lang").orderBy("hash", "id"))
+    low = keyed.join(sizes, "lang").filter(F.col("hash") / F.lit(2.0**64) + 0.5 <= share).dropDuplicates(["lang", "hash"])
+    turn = F.row_number().over(W.partitionBy("lang").orderBy("hash"))
     chosen = low.withColumn("turn", turn).filter(F.col("turn") <= TEXTS_PER_LANGUAGE).orderBy("turn", "lang").limit(TEXTS)
-    texts = usable.select(id_.cast("string").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").select("text", "lang", "turn", "hash")  # at most TEXTS rows
+    chosen = chosen.select("lang", "hash", "turn")  # at most TEXTS rows
+    sample = texts.join(F.broadcast(chosen), ["lang", "hash"]).select("text", "lang", "turn", "hash")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,9 +156,10 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str
                 bits = [r.tobytes() if ok else None for r, ok in zip(np.packbits(rows, axis=1), lettered)]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(bits, pa.binary())], ["lang", "turn", "hash", "bits"])
 
-    found = sample.mapInArrow(grams, "lang string, turn int, hash bigint, bits binary").filter("bits IS NOT NULL").collect()
-    # repeated ids may give some more rows
-    found = sorted(found, key=lambda r: (r.turn, r.lang, r.hash, bytes(r.bits)))[:TEXTS]
+    marked = sample.mapInArrow(grams, "lang string, turn int, hash bigint, bits binary").filter("bits IS NOT NULL")
+    # repeated rows are put together in the tasks
+    once = marked.groupBy("lang", "turn", "hash").agg(F.min("bits").alias("bits"))
+    found = sorted(once.limit(TEXTS).collect(), key=lambda r: (r.turn, r.lang))
     packed = np.array([np.frombuffer(r.bits, np.uint8) for r in found], np.uint8).reshape(len(found), BUCKETS // 8)
     seen: dict[str, int] = {}
     first = []

@@ -236,3 +236,44 @@ def test_language_edge_cases(spark):
     none = train(source.limit(0))
     assert {r.lang_pred for r in identify_languages(source, none).collect()} == {"und"}
     assert isinstance(none, Model)
+
+
+def test_a_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
+    """Two thousand rows of one id, of two texts: each text is learnt from once, and the driver gets no more."""
+    words = {"en": ["the", "of", "with", "house"], "de": ["und", "der", "nicht", "haus"]}
+    rows = [(k, f"{' '.join(v[(k + j) % 4] for j in range(8))} {k}", lang) for lang, v in words.items() for k in range(60)]
+    rows += [(1, ("same text again" if k % 2 else "the other text") if k % 4 else None, "en") for k in range(2000)]
+    source = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    collected = []
+    frame = type(source)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    model = train(source)
+    assert model.languages == ["de", "en"]
+    assert max(map(len, collected)) <= 122
+
+
+def test_ridge_is_that_of_a_plain_solution():
+    rng = np.random.default_rng(3)
+    rows = np.zeros((30, language_id.BUCKETS), bool)
+    labels = []
+    for k in range(30):
+        rows[k, rng.choice(200 + 100 * (k % 3), 60, replace=False)] = True
+        labels.append("abc"[k % 3])
+    landmark = np.arange(30) % 5 < 2
+    model = Model.fit(rows, labels, landmark)
+    plain = lambda a, b: len(set(a) & set(b)) / (len(a) * len(b)) ** 0.5
+    grams = [np.flatnonzero(r).tolist() for r in rows]
+    marks = [g for g, m in zip(grams, landmark) if m]
+    within = np.array([[plain(a, b) for b in marks] for a in marks])
+    across = np.array([[plain(a, b) for b in marks] for a in grams])
+    values, vectors = np.linalg.eigh(within)
+    keep = values > 1e-6
+    features = across @ vectors[:, keep] @ np.diag(values[keep] ** -0.5)
+    for column, language in enumerate("abc"):
+        wanted = np.array([1.0 if x == language else -1.0 for x in labels])
+        weight = np.array([1 / labels.count(x) for x in labels])
+        # minimise the weighted squared error plus the ridge, as an ordinary least squares problem
+        tall = np.vstack([features * np.sqrt(weight)[:, None], np.sqrt(language_id.RIDGE) * np.eye(features.shape[1])])
+        beta = np.linalg.lstsq(tall, np.r_[wanted * np.sqrt(weight), np.zeros(features.shape[1])], rcond=None)[0]
+        assert np.allclose(features @ beta, across @ model.weights[:, column], atol=1e-4)
