@@ -23,10 +23,13 @@ SIMILARITY = 75
 #: Coordinates of a signature, and how many two documents must share to be compared. A pair at the similarity
 #: threshold shares 24 on average; fewer than 10 happens once in about 29 million such pairs.
 COORDINATES, MATCHES = 32, 10
+#: Coordinates of which eight bits are kept, the first COORDINATES among them, and how many must agree before sets are fetched: of a pair at the threshold 72
+#: agree on average, fewer than LIKELY once in some hundred million pairs.
+WIDE, LIKELY = 96, 48
 #: Bits of the filter of values that more than one class has: 4 MB.
 SHARED_BITS = 24
-#: Posting lists up to this length are joined at once; from longer ones pivots are taken, first PIVOTS from each.
-SHORT_LIST, PIVOTS = 48, 8
+#: Posting lists up to the first length are joined with themselves, up to the second compared whole; from longer ones pivots are taken, first PIVOTS from each.
+SHORT_LIST, LONG_LIST, PIVOTS = 48, 4096, 8
 #: Shingles of the pivots, and about those of the members, that a task compares with each other.
 BLOCK_SHINGLES, MEMBER_SHINGLES = 1 << 20, 1 << 22
 #: Shingles of sets that are sent to every executor at most: 32 MB.
@@ -77,29 +80,31 @@ def _class_id(found: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", more: tuple[Column, ...] = ()) -> DataFrame:
-    """Per row: doc, cls (128-bit hash of its set of shingles), n_shingles, signature (null without shingles), and ``more``."""
+    """Per row: doc, cls (128-bit hash of its set of shingles), n_shingles, signature and wide (both null without shingles; ``wide``
+    has eight bits of each of WIDE coordinates, eight in a number), and ``more``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = np.random.default_rng(7).integers(1, 1 << 63, (2, COORDINATES), np.uint64)
+        seeds = np.random.default_rng(7).integers(1, 1 << 63, (2, WIDE), np.uint64)
         for batch in batches:
             for part in slices(batch, 512):
                 flat, starts = _shingle_sets(part.column(1))
                 sizes = np.diff(starts)
                 some = np.flatnonzero(sizes)
-                signature = np.zeros((len(some), COORDINATES), np.int32)
-                for k in range(COORDINATES):
+                signature = np.zeros((len(some), WIDE), np.int32)
+                for k in range(WIDE):
                     values = ((flat * (seeds[0, k] | np.uint64(1)) + seeds[1, k]) >> np.uint64(32)).astype(np.uint32)
                     if len(some):
                         signature[:, k] = np.minimum.reduceat(values, starts[:-1][some]).view(np.int32)
-                offsets = np.zeros(len(sizes) + 1, np.int32)
-                offsets[1:] = np.cumsum((sizes > 0) * COORDINATES)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signature.ravel()), mask=pa.array(sizes == 0))
+                lists = []
+                for values in (signature[:, :COORDINATES], signature.astype(np.uint8).view(np.int64)):
+                    offsets = np.r_[0, np.cumsum((sizes > 0) * values.shape[1])].astype(np.int32)
+                    lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()), mask=pa.array(sizes == 0)))
                 classes = [_class_id(flat[a:b]) for a, b in zip(starts, starts[1:])]
-                columns = [part.column(0), pa.array(classes, pa.binary()), pa.array(sizes), lists, *part.columns[2:]]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "cls", "n_shingles", "signature", *part.schema.names[2:]])
+                columns = [part.column(0), pa.array(classes, pa.binary()), pa.array(sizes), *lists, *part.columns[2:]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "cls", "n_shingles", "signature", "wide", *part.schema.names[2:]])
 
     rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"), *more)
-    schema = T.StructType([*T._parse_datatype_string("doc bigint, cls binary, n_shingles bigint, signature array<int>"), *rows.schema[2:]])
+    schema = T.StructType([*T._parse_datatype_string("doc bigint, cls binary, n_shingles bigint, signature array<int>, wide array<bigint>"), *rows.schema[2:]])
     return rows.mapInArrow(sign, schema)
 
 
@@ -129,30 +134,23 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Data
     return shingled.join(wanted.select("cls", "cid"), "cls").dropDuplicates(["cid"]).select("cid", "shingles")
 
 
-#: Eight bits of each coordinate, eight coordinates in a number.
+#: The bits of the first COORDINATES.
 SKETCH = [f"s{k}" for k in range(COORDINATES // 8)]
 
 
-def _sketches() -> list[Column]:
-    out = []
-    for k, name in enumerate(SKETCH):
-        word = F.lit(0).cast("bigint")
-        for j in range(8):
-            byte = F.element_at("signature", 8 * k + j + 1).bitwiseAND(255).cast("bigint")
-            word = word.bitwiseOR(F.call_function("shiftleft", byte, F.lit(8 * j)))
-        out.append(word.alias(name))
-    return out
-
-
-def _matches(a: str, b: str) -> Column:
-    """Coordinates whose bits agree in two sketches: all that the signatures share, and of the others one in 256."""
+def _agreeing(ones: list[Column], others: list[Column]) -> Column:
+    """Coordinates whose bits agree: all that two signatures share, and of the others one in 256."""
     unlike = F.lit(0)
-    for name in SKETCH:
-        bits = F.col(f"{a}{name}").bitwiseXOR(F.col(f"{b}{name}"))
+    for one, other in zip(ones, others):
+        bits = one.bitwiseXOR(other)
         for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
             bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift)).bitwiseAND(F.lit(mask))
         unlike = unlike + F.bit_count(bits)
-    return COORDINATES - unlike
+    return 8 * len(ones) - unlike
+
+
+def _matches(a: str, b: str) -> Column:
+    return _agreeing([F.col(f"{a}{name}") for name in SKETCH], [F.col(f"{b}{name}") for name in SKETCH])
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -175,7 +173,7 @@ def postings(classes: DataFrame) -> DataFrame:
         F.aggregate("keys", F.lit(0).cast("bigint"), lambda total, e: total + e["n"]).alias("popularity"),
         F.transform(F.slice("keys", F.lit(1), F.size("keys") - (MATCHES - 1)), lambda e: e["key"]).alias("keys"),
     )
-    return posted.join(classes.select("cid", "n_shingles", *_sketches()), "cid")
+    return posted.join(classes.select("cid", "n_shingles", *[F.element_at("wide", k + 1).alias(name) for k, name in enumerate(SKETCH)]), "cid")
 
 
 def _may_link(a: str, b: str) -> Column:
@@ -184,13 +182,20 @@ def _may_link(a: str, b: str) -> Column:
     return (100 * F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)) & (_matches(a, b) >= MATCHES)
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets are similar enough.
 
-    A set is shuffled once to meet all pairs it is second in. The first ones are broadcast if they are few (pivots are),
-    up to BROADCAST_SHINGLES in all; beyond that a second join brings them."""
+    Their wide sketches rule out most of the others before any set is fetched. A set is then shuffled once to meet all pairs it is second in. The first ones are broadcast if
+    they are few (pivots are), up to BROADCAST_SHINGLES in all; beyond that a second join brings them."""
     pairs = stored(pairs, "pairs")
     few = F.broadcast if pairs.count() <= SHORT else lambda names: names
+    for side in ("a", "b"):
+        pairs = few(pairs).join(classes.select(F.col("cid").alias(side), F.col("wide").alias(f"wide_{side}")), side)
+    words = [[F.element_at(f"wide_{side}", k + 1) for k in range(WIDE // 8)] for side in ("a", "b")]
+    pairs = stored(pairs.filter(_agreeing(*words) >= LIKELY).select("a", "b"), "likely")
+    few = F.broadcast if pairs.count() <= SHORT else lambda names: names
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    sets = stored(_sets_of(docs, classes.select("cls", "cid", "doc").join(few(asked), "cid", "left_semi"), text, doc_id), "sets")
     firsts = sets.join(few(pairs.select("a").distinct()), F.col("cid") == F.col("a"), "left_semi")
     firsts = firsts.select(F.col("cid").alias("a"), F.col("shingles").alias("set1"))
     small = (firsts.agg(F.sum(F.size("set1"))).first()[0] or 0) <= BROADCAST_SHINGLES
@@ -288,7 +293,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     of their signatures (:func:`postings`); in a list, those that share enough coordinates are compared on full sets (:func:`_labels`).
     """
     rows = stored(signatures(docs, text, doc_id), "signatures")
-    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min("doc").alias("doc"))
+    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature", "wide").agg(F.min("doc").alias("doc"))
     classes = _numbered(classes)
     reached = _reached(classes, _labels(docs, classes, text, doc_id, _one_id(rows, classes)), "doc")
     found = rows.select("doc", "cls", "n_shingles").join(reached.select("cls", F.col("first").alias("label")), "cls", "left")
@@ -304,7 +309,7 @@ def near_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     Links are those of :func:`near_duplicates`, but an id ties nothing together: neither the texts of a repeated id nor those without one.
     Of each component the document with the smallest id (null is the smallest) and tag is kept, and all without shingles are."""
     rows = stored(signatures(docs, text, doc_id, (text_tag(text),)), "signatures")
-    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature").agg(F.min(F.struct("doc", "tag")).alias("own"))
+    classes = rows.filter("n_shingles > 0").groupBy("cls", "n_shingles", "signature", "wide").agg(F.min(F.struct("doc", "tag")).alias("own"))
     classes = _numbered(classes.withColumn("doc", F.col("own.doc")))
     reached = _reached(classes, _labels(docs, classes, text, doc_id), "own").select("first").distinct()
     firsts = reached.select("first.doc", "first.tag", F.lit(True).alias("is_first"))
@@ -330,13 +335,13 @@ def _labels(docs: DataFrame, classes: DataFrame, text: str, doc_id: str, known:
 
     First each class meets, of the most popular members of its lists, the one it shares most coordinates with: so groups of near copies, however large, become one
     component by one comparison for each class. Lists whose members are then all in one component are closed, as no pair is left in them that could
-    change anything. In the others the classes of different components are compared: in short lists all that share MATCHES coordinates. From a
-    long list a few pivots at a time are compared with its members (:func:`_pivot_links`) and then leave it; each round takes eight times as many pivots, until no list
+    change anything. In the others the classes of different components are compared: short lists are joined with themselves, and pairs that share enough coordinates go on. In
+    lists of up to LONG_LIST members all are compared with all by what shingles they share, without a row for each pair (:func:`_pivot_links`). From a
+    longer list a few pivots at a time are compared with its members and then leave it; each round takes eight times as many pivots, until no list
     has two components: nothing is capped or dropped.
     """
     posted = stored(postings(classes), "postings")
-    sets = stored(_sets_of(docs, classes.select("cls", "cid", "doc").join(posted.select("cid"), "cid", "left_semi"), text, doc_id), "sets")
-    edges = _links(_best_pivots(posted), sets)
+    edges = _links(_best_pivots(posted), classes, docs, text, doc_id)
     edges = stored(edges.unionByName(known) if known is not None else edges, "links")
     labels = stored(components(edges), "labels")
     named = _labelled(posted, gathered(labels))
@@ -346,17 +351,23 @@ def _labels(docs: DataFrame, classes: DataFrame, text: str, doc_id: str, known:
     short = open_.filter(F.col("n_list") <= SHORT_LIST).select("key", "cid", "label", "n_shingles", *SKETCH)
     right = short.toDF(*[c if c == "key" else f"r_{c}" for c in short.columns])
     apart = (F.col("cid") < F.col("r_cid")) & (F.col("label") != F.col("r_label"))
-    pairs = short.join(right, "key").filter(apart & _may_link("", "r_")).select(F.col("cid").alias("a"), F.col("r_cid").alias("b")).distinct()
-    labels = _joined(labels, stored(_links(pairs, sets), "links"))
+    pairs = short.join(right, "key").filter(apart & _may_link("", "r_")).select(F.col("cid").alias("a"), F.col("r_cid").alias("b"))
+    labels = _joined(labels, stored(_links(pairs.distinct(), classes, docs, text, doc_id), "links"))
     lists = open_.filter(F.col("n_list") > SHORT_LIST).drop("label")
+    if lists.isEmpty():
+        return labels
+    lists = gathered(stored(_undecided(lists, gathered(labels)), "lists"))
+    asked = lists.select("cid").distinct()
+    sets = stored(_sets_of(docs, classes.select("cls", "cid", "doc").join(asked, "cid", "left_semi"), text, doc_id), "sets")
+    middle = lists.filter(F.col("n_list") <= LONG_LIST)
+    labels = _joined(labels, stored(_pivot_links(middle, middle, sets), "links"))
+    lists = gathered(stored(_undecided(lists.filter(F.col("n_list") > LONG_LIST).drop("label", "n_label"), gathered(labels)), "lists"))
     pivots = PIVOTS
-    while True:
-        lists = gathered(stored(_undecided(lists, gathered(labels)), "lists"))
-        if lists.isEmpty():
-            break
+    while not lists.isEmpty():
         chosen = gathered(stored(_pivots(lists, pivots), "pivots"))
         labels = _joined(labels, stored(_pivot_links(lists, chosen, sets), "links"))
-        lists = lists.join(chosen.select("key", "cid"), ["key", "cid"], "left_anti").drop("label", "n_label")
+        lists = stored(lists.join(chosen.select("key", "cid"), ["key", "cid"], "left_anti").drop("label", "n_label"), "left")
+        lists = gathered(stored(_undecided(lists, gathered(labels)), "lists"))
         pivots *= 8
     return labels
 

@@ -145,6 +145,16 @@ def test_pivots_stay_on_executors(docs, monkeypatch):
     compare_near(out.collect(), rows)
 
 
+def test_pivots_of_the_longest_lists(docs, monkeypatch):
+    """All lists count as too long to be compared whole: pivots leave them round by round, and none is left out."""
+    for name, value in {"SHORT_LIST": 2, "LONG_LIST": 2, "PIVOTS": 1}.items():
+        monkeypatch.setattr(near_dedup, name, value)
+    shared = [f"s{k}" for k in range(90)]
+    rows = [(k, " ".join([*shared, *(f"o{k // 2}-{j}" for j in range(60)), f"end{k}"])) for k in range(24)]
+    rows += [(i + 100, t) for i, t in near_rows(5, groups=4)]
+    compare_near(near_duplicates(docs(rows)).collect(), rows)
+
+
 def test_near_duplicates_of_null_and_repeated_ids(docs):
     one, other = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
     rows = [(3, one), (3, other), (3, other), (7, one), (9, other), (11, "alone here with five words")]
