@@ -32,8 +32,8 @@ SHARED_BITS = 24
 SHORT_LIST, LONG_LIST, PIVOTS = 48, 4096, 8
 #: Shingles of the pivots, and about those of the members, that a task compares with each other.
 BLOCK_SHINGLES, MEMBER_SHINGLES = 1 << 20, 1 << 22
-#: Shingles of sets that are sent to every executor at most: 32 MB.
-BROADCAST_SHINGLES = 1 << 22
+#: Shingles of sets that are sent to every executor at most: 2 MB.
+BROADCAST_SHINGLES = 1 << 18
 NO_ID = -(1 << 63)  # stands for a null id
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -118,20 +118,28 @@ def _doc(doc_id: str) -> Column:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """cid, shingles for the classes ``wanted`` (cls, cid, doc): the texts of the documents they are named after, shingled again."""
+    """cid, shingles for the classes ``wanted`` (cls, cid, doc): the texts of the documents they are named after, shingled again. Each task gives a class once; rows that repeat one
+    document may have several tasks give it."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[bytes] = set()
         for batch in batches:
             for part in slices(batch, 512):
                 flat, starts = _shingle_sets(part.column(1))
-                lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat.view(np.int64)))
                 classes = [_class_id(flat[a:b]) for a, b in zip(starts, starts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), lists], ["cls", "shingles"])
+                new = []
+                for cls in classes:
+                    new.append(cls not in given)
+                    given.add(cls)
+                lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), lists], ["cls", "shingles"]).filter(pa.array(new, pa.bool_()))
 
+    wanted = stored(wanted, "wanted")
     rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"))
     held = maybe_in(rows, F.xxhash64("doc"), key_bits(wanted, F.xxhash64("doc")))
     shingled = held.mapInArrow(shingle, "cls binary, shingles array<bigint>")
-    return shingled.join(wanted.select("cls", "cid"), "cls").dropDuplicates(["cid"]).select("cid", "shingles")
+    few = F.broadcast if wanted.count() <= SHORT else lambda names: names
+    return shingled.join(few(wanted.select("cls", "cid")), "cls").select("cid", "shingles")
 
 
 #: The bits of the first COORDINATES.
@@ -197,7 +205,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc
     asked = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     sets = stored(_sets_of(docs, classes.select("cls", "cid", "doc").join(few(asked), "cid", "left_semi"), text, doc_id), "sets")
     firsts = sets.join(few(pairs.select("a").distinct()), F.col("cid") == F.col("a"), "left_semi")
-    firsts = firsts.select(F.col("cid").alias("a"), F.col("shingles").alias("set1"))
+    firsts = firsts.select(F.col("cid").alias("a"), F.col("shingles").alias("set1")).dropDuplicates(["a"])
     small = (firsts.agg(F.sum(F.size("set1"))).first()[0] or 0) <= BROADCAST_SHINGLES
     both = few(pairs).join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set2")), "b").join(
         F.broadcast(firsts) if small else firsts, "a"
