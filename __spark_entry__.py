@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tarnkit.functions import with_time_parts, with_zorder
 from tarnkit.operators.asof import asof_join
 from tarnkit.operators.changes import apply_changes
+from tarnkit.operators.difference import with_copies
+from tarnkit.operators.intervals import interval_join
 from tarnkit.operators import quality
 from tarnkit.operators.layout import gather_partitions, zorder_layout
 from tarnkit.operators.merge import append_rows, merge
@@ -33,6 +35,7 @@ from tarnkit.operators.retention import (
 from tarnkit.operators.zones import file_zone_map, read_matching, zone_map as map_zones, zones_matching
 from tarnkit.plans.transform import TripColumns, clean_trips, partition_range
 from tarnkit.plans.transform import transform_trips as write_trips
+from tarnkit.plans.upkeep import merged_profile, profile_statistics, zone_statistics
 from tarnkit.plans.versions import VersionedTable, list_tables
 from tarnkit.plans.versions import preview as first_rows
 from tarnkit.session import scratch_folder
@@ -674,6 +677,123 @@ def asof_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(events.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", "p_", pieces=20, min_rows=10)
 
 
+# -- intervals, differences, statistics that keep up, checks over rows ------------------------
+
+
+def _spans(events: DataFrame, kind: str, hours: int) -> DataFrame:
+    """Events of a kind as spans of time that begin with them, of up to ``hours`` hours times their value."""
+    length = F.expr(f"make_dt_interval(0, {hours} * int(value))")
+    return events.filter(F.col("event_type") == kind).select("event_id", "user_id", F.col("ts").alias("since"), (F.col("ts") + length).alias("till"))
+
+
+def overlapping_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of one user's views and purchases that overlap."""
+    events = _read(spark, sf_dir, "events")
+    return interval_join(_spans(events, "view", 2), _spans(events, "purchase", 1), ("since", "till"), ("since", "till"), ["user_id"], "p_")
+
+
+def overlapping_hot_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors, as points of time, within the spans of purchases, whoever's; bins with many errors are split."""
+    events = _read(spark, sf_dir, "events").filter("event_id % 4 <> 0")
+    points = events.filter("event_type = 'error'").select("event_id", "ts")
+    spans = _spans(events.filter("value < 40"), "purchase", 1).drop("user_id")
+    return interval_join(points, spans, ("ts", "ts"), ("since", "till"), prefix="p_", pieces=50, min_rows=3).select("event_id", "p_event_id")
+
+
+def snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that one of two snapshots has more often than the other; some rows are repeated, some keys null."""
+    orders = _read(spark, sf_dir, "orders").withColumn("o_orderkey", F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderkey")))
+    before = orders.filter("o_custkey % 10 <> 0").unionByName(orders.filter("o_custkey % 7 = 0"))
+    doubled = F.when(F.col("o_custkey") % 5 == 0, F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice"))
+    after = orders.filter("o_custkey % 11 <> 0").withColumn("o_totalprice", doubled)
+    after = after.unionByName(orders.filter("o_custkey % 14 = 0")).unionByName(orders.filter("o_custkey % 14 = 0"))
+    table = VersionedTable(spark, scratch_folder(spark, "compared"))
+    table.commit(before, AS_OF)
+    table.commit(after, AS_OF + timedelta(days=1))
+    return with_copies(table.difference(1, 2, ["o_orderkey"]))
+
+
+def _growing(spark: SparkSession, sf_dir: str, refresh: Callable[[str, int], None]) -> None:
+    """Orders in three partitions, of which one is added and one written again between two refreshes."""
+    path = scratch_folder(spark, "growing")
+    orders = _read(spark, sf_dir, "orders").withColumn("third", F.col("o_orderkey") % 3)
+    orders.filter("third < 2").write.partitionBy("third").parquet(path)
+    refresh(path, 0)
+    orders.filter("third = 2").write.mode("append").partitionBy("third").parquet(path)
+    again = orders.filter("third = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("third").parquet(path)
+    refresh(path, 1)
+
+
+def zones_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone map after an append and an overwritten partition, put together by partition."""
+    store = scratch_folder(spark, "zones")
+    kept = []
+
+    def refresh(path: str, day: int) -> None:
+        kept.append(zone_statistics(spark, path, store, ["o_totalprice"]))
+        kept[-1].refresh(AS_OF + timedelta(days=day))
+
+    _growing(spark, sf_dir, refresh)
+    third = F.regexp_extract("file", "third=([0-9])", 1).cast("int")
+    low, high = F.min("o_totalprice_min").alias("o_totalprice_min"), F.max("o_totalprice_max").alias("o_totalprice_max")
+    return kept[-1].read().groupBy(third.alias("third")).agg(F.sum("n_rows").alias("n_rows"), low, high)
+
+
+def profile_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile merged from stored parts after the same changes; ``within``: quartiles are within half a percent of the rows in rank."""
+    store = scratch_folder(spark, "profile")
+    paths, kept = [], []
+
+    def refresh(path: str, day: int) -> None:
+        paths.append(path)
+        kept.append(profile_statistics(spark, path, store, ["o_totalprice", "o_custkey"]))
+        kept[-1].refresh(AS_OF + timedelta(days=day))
+
+    _growing(spark, sf_dir, refresh)
+    merged = merged_profile(kept[-1].read())
+    quartiles = [(k, f"p{25 * k}") for k in (1, 2, 3)]
+    # a row for each column
+    ranks = to_long(spark.read.parquet(paths[-1]), ["o_totalprice", "o_custkey"]).join(F.broadcast(merged.select("column", "n", "p25", "p50", "p75")), "column")
+    ranks = ranks.groupBy("column", "n").agg(*[x.alias(f"{name}_{p}") for _, p in quartiles for name, x in (("under", F.count_if(F.col("value") < F.col(p))), ("upto", F.count_if(F.col("value") <= F.col(p))))])
+    within = F.lit(True)
+    for k, p in quartiles:
+        within = within & (F.col(f"under_{p}") <= F.col("n") * (k / 4 + 0.005)) & (F.col(f"upto_{p}") >= F.col("n") * (k / 4 - 0.005))
+    return merged.join(ranks.select("column", within.alias("within")), "column").select(
+        "column", "n", "n_null", F.round("mean", 6).alias("mean"), F.round("stddev", 4).alias("stddev"), "min", "max", "within"
+    )
+
+
+ROWS_SUITE = quality.Suite(
+    "rows",
+    (
+        quality.values_unique("o_orderkey"),
+        quality.values_not_null("o_custkey"),
+        quality.values_unique("o_custkey"),
+        quality.values_in_table("o_custkey", "customer", "c_custkey"),
+        quality.values_in_table("o_custkey", "supplier", "s_suppkey"),
+    ),
+)
+
+
+def validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that must be unique, or those of another table; some are null."""
+    orders = _read(spark, sf_dir, "orders").withColumn("o_custkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_custkey")))
+    return quality.run_suite(orders, ROWS_SUITE, {name: _read(spark, sf_dir, name) for name in ("customer", "supplier")})
+
+
+def repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose key is not unique; a third of all share one."""
+    items = _read(spark, sf_dir, "lineitem").withColumn("key", F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_orderkey") * 7 + F.col("l_linenumber")))
+    return quality.unexpected_rows(items, quality.values_unique("key"), min_rows=100).select("l_orderkey", "l_linenumber", "l_partkey", "key")
+
+
+def validate_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip checks by year and month, by year, and in all."""
+    items = with_time_parts(_read(spark, sf_dir, "lineitem"), "l_shipdate")
+    return quality.run_suite_by(items, quality.trip_suite("l_quantity", "l_shipdate", "l_receiptdate"), ["year", "month"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The trip transform on the smallest tables."""
     return transform_trips(spark, "/root/testdata/sf0.001")
@@ -763,6 +883,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             changed_table,
             asof_purchases,
             asof_hot_key,
+            overlapping_spans,
+            overlapping_hot_bins,
+            snapshot_difference,
+            zones_kept_up,
+            profile_kept_up,
+            validate_rows,
+            repeated_keys,
+            validate_by_month,
         )
     }
 
@@ -874,6 +1002,32 @@ def oracle_sql() -> dict[str, str]:
             FROM {events} e ASOF LEFT JOIN (SELECT * FROM {events} b WHERE event_type = 'purchase' AND {bought}) p
             ON e.user_id = p.user_id AND e.ts >= p.ts"""
 
+
+    def spans(kind: str, hours: int) -> str:
+        return f"""(SELECT event_id, user_id, ts AS since, ts + INTERVAL 1 HOUR * ({hours} * trunc(value)::INT) AS till, value
+                    FROM events WHERE event_type = '{kind}')"""
+
+    grown = "(SELECT o_orderkey % 3 AS third, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_custkey FROM orders)"
+
+    def kept_up(c: str) -> str:
+        return f"""
+        SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS n_null, round(avg({c}::DOUBLE), 6) AS mean,
+               round(stddev_samp({c}::DOUBLE), 4) AS stddev, min({c})::DOUBLE AS "min", max({c})::DOUBLE AS "max", true AS within FROM {grown} g"""
+
+    row_checks = [
+        (quality.VALUES_UNIQUE, "o_orderkey", "o_orderkey IN (SELECT o_orderkey FROM o GROUP BY 1 HAVING count(*) > 1)"),
+        (quality.VALUES_NOT_NULL, "o_custkey", "o_custkey IS NULL"),
+        (quality.VALUES_UNIQUE, "o_custkey", "o_custkey IN (SELECT o_custkey FROM o GROUP BY 1 HAVING count(*) > 1)"),
+        (quality.VALUES_IN_TABLE, "o_custkey", "o_custkey NOT IN (SELECT c_custkey FROM customer)"),
+        (quality.VALUES_IN_TABLE, "o_custkey", "o_custkey NOT IN (SELECT s_suppkey FROM supplier)"),
+    ]
+    months = [
+        (quality.COLUMN_EXISTS, "l_quantity", "NULL", "NULL", "NULL", "true"),
+        (quality.VALUES_BETWEEN, "l_quantity", "count(*)", "count(*) - count(l_quantity)", "count(*) FILTER (l_quantity < 1 OR l_quantity > 8)", "count(*) FILTER (l_quantity < 1 OR l_quantity > 8) = 0"),
+        (quality.COLUMN_EXISTS, "l_shipdate", "NULL", "NULL", "NULL", "true"),
+        (quality.COLUMN_EXISTS, "l_receiptdate", "NULL", "NULL", "NULL", "false"),
+        (quality.VALUES_NOT_NULL, "l_shipdate", "count(*)", *["count(*) FILTER (l_shipdate IS NULL)"] * 2, "count(*) FILTER (l_shipdate IS NULL) = 0"),
+    ]
     stats = "count(*) AS total, count(*) FILTER (expired) AS expired, count(*) FILTER (NOT expired) AS active"
     return _training_data()[1] | {
         "filter_positive": "SELECT * FROM customer WHERE c_acctbal > 0",
@@ -941,6 +1095,40 @@ def oracle_sql() -> dict[str, str]:
             FROM customer FULL JOIN l ON key = c_custkey""",
         "asof_purchases": asof("user_id", "true"),
         "asof_hot_key": asof("CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END", "event_id % 7 = 0"),
+        "overlapping_spans": f"""
+            SELECT v.event_id, v.user_id, v.since, v.till, p.event_id AS p_event_id, p.since AS p_since, p.till AS p_till
+            FROM {spans("view", 2)} v JOIN {spans("purchase", 1)} p
+            ON v.user_id = p.user_id AND v.since <= p.till AND p.since <= v.till""",
+        "overlapping_hot_bins": f"""
+            SELECT e.event_id, p.event_id AS p_event_id FROM (SELECT * FROM events WHERE event_type = 'error' AND event_id % 4 <> 0) e
+            JOIN {spans("purchase", 1)} p ON e.ts BETWEEN p.since AND p.till WHERE p.event_id % 4 <> 0 AND p.value < 40""",
+        "snapshot_difference": """
+            WITH o AS (SELECT * REPLACE (CASE WHEN o_orderkey % 13 <> 0 THEN o_orderkey END AS o_orderkey) FROM orders),
+                 b AS (SELECT * FROM o WHERE o_custkey % 10 <> 0 UNION ALL SELECT * FROM o WHERE o_custkey % 7 = 0),
+                 a AS (SELECT * REPLACE (CASE WHEN o_custkey % 5 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice) FROM o WHERE o_custkey % 11 <> 0
+                       UNION ALL SELECT * FROM o WHERE o_custkey % 14 = 0 UNION ALL SELECT * FROM o WHERE o_custkey % 14 = 0),
+                 d AS (SELECT 'before' AS side, * FROM (FROM b EXCEPT ALL FROM a) UNION ALL SELECT 'after', * FROM (FROM a EXCEPT ALL FROM b)),
+                 k AS (SELECT o_orderkey, count(DISTINCT side) AS sides FROM d GROUP BY 1)
+            SELECT CASE WHEN sides = 2 THEN 'changed' WHEN side = 'before' THEN 'deleted' ELSE 'inserted' END AS change, d.*
+            FROM d JOIN k ON k.o_orderkey IS NOT DISTINCT FROM d.o_orderkey""",
+        "zones_kept_up": f"""
+            SELECT third::INT AS third, count(*) AS n_rows, min(o_totalprice) AS o_totalprice_min, max(o_totalprice) AS o_totalprice_max FROM {grown} g GROUP BY 1""",
+        "profile_kept_up": f"{kept_up('o_totalprice')} UNION ALL {kept_up('o_custkey')}",
+        "validate_rows": "WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS o_custkey FROM orders) " + " UNION ALL ".join(
+            f"""SELECT {k}::INT AS position, '{kind}' AS expectation, '{c}' AS column_name, count(*) AS element_count, count(*) - count({c}) AS null_count,
+                       count(*) FILTER ({bad}) AS unexpected_count, count(*) FILTER ({bad}) = 0 AS success FROM o"""
+            for k, (kind, c, bad) in enumerate(row_checks)
+        ),
+        "repeated_keys": """
+            SELECT l_orderkey, l_linenumber, l_partkey, key FROM (
+                SELECT *, CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_orderkey * 7 + l_linenumber END AS key FROM lineitem) t
+            QUALIFY count(*) OVER (PARTITION BY key) > 1""",
+        "validate_by_month": "WITH t AS (SELECT *, year(l_shipdate)::INT AS year, month(l_shipdate)::INT AS month FROM lineitem) " + " UNION ALL ".join(
+            f"""SELECT year, month, (2 - grouping(year) - grouping(month))::INT AS level, {k}::INT AS position, '{kind}' AS expectation, '{c}' AS column_name,
+                       {n}::BIGINT AS element_count, {nulls}::BIGINT AS null_count, {bad}::BIGINT AS unexpected_count, {ok} AS success
+                FROM t GROUP BY ROLLUP (year, month)"""
+            for k, (kind, c, n, nulls, bad, ok) in enumerate(months)
+        ),
         "listed_tables": """
             SELECT name, 'TEMPORARY' AS table_type, true AS is_temporary
             FROM (VALUES ('listed_nation'), ('listed_region')) v(name)""",

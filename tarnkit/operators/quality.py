@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnkit.operators.lookups import left_lookup
+
 # The names of the expectation types.
 COLUMN_EXISTS = "expect_column_to_exist"
 VALUES_BETWEEN = "expect_column_values_to_be_between"
 VALUES_NOT_NULL = "expect_column_values_to_not_be_null"
+VALUES_UNIQUE = "expect_column_values_to_be_unique"
+VALUES_IN_TABLE = "expect_column_values_to_be_in_table"
 
 
 class QualityError(ValueError):
@@ -25,6 +30,14 @@ class Expectation:
     column: str
     min_value: float | None = None
     max_value: float | None = None
+    #: of VALUES_IN_TABLE: the other table's name among the parents given to the run, and its column
+    parent: str | None = None
+    parent_column: str | None = None
+
+    @property
+    def compares_rows(self) -> bool:
+        """Whether a row alone doesn't tell if it is bad."""
+        return self.kind in (VALUES_UNIQUE, VALUES_IN_TABLE)
 
     def violated(self) -> Column | None:
         """True for a row that breaks the expectation, null or false otherwise; None where only the
@@ -64,6 +77,16 @@ def values_not_null(column: str) -> Expectation:
     return Expectation(VALUES_NOT_NULL, column)
 
 
+def values_unique(column: str) -> Expectation:
+    """Every value once. Nulls are no values; all rows of a repeated value are unexpected."""
+    return Expectation(VALUES_UNIQUE, column)
+
+
+def values_in_table(column: str, parent: str, parent_column: str | None = None) -> Expectation:
+    """Every value is in a column of another table (of the same name unless told). Nulls are no values, on both sides."""
+    return Expectation(VALUES_IN_TABLE, column, parent=parent, parent_column=parent_column or column)
+
+
 @dataclass(frozen=True)
 class Suite:
     """A named, ordered set of expectations. Adding one for the same type and column replaces it."""
@@ -97,12 +120,93 @@ def trip_suite(
     return suite
 
 
-def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """One row per expectation, in suite order, from a single aggregate over the data.
+def run_suite(df: DataFrame, suite: Suite, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One row per expectation, from a single aggregate over the data, and one more for each that compares rows.
 
     Columns: position, expectation, column_name, element_count, null_count, unexpected_count,
     success. Existence is read off the schema. A check on a missing column fails with null counts.
+
+    Uniqueness and membership in another table (one of ``parents``) take a shuffle of the column's values, each task's own reduced to one row for
+    each different value first: a value that most rows have costs no more than another.
     """
+    alone = replace(suite, expectations=tuple(e for e in suite.expectations if not e.compares_rows or e.column not in df.columns))
+    places = [k for k, e in enumerate(suite.expectations) if e in alone.expectations]
+    parts = []
+    if alone.expectations or not suite.expectations:
+        found = _run_alone(df, alone)
+        if len(places) < len(suite.expectations):
+            found = found.withColumn("position", F.element_at(F.array(*map(F.lit, places)), F.col("position") + 1))
+        parts.append(found)
+    parts += [_compare_rows(df, e, k, parents or {}) for k, e in enumerate(suite.expectations) if k not in places]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _values(df: DataFrame, expectation: Expectation, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """_value, _n, _bad: each different value (null too), its rows, and whether they are unexpected."""
+    values = df.groupBy(F.col(f"`{expectation.column}`").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    if expectation.kind == VALUES_UNIQUE:
+        return values.withColumn("_bad", F.col("_value").isNotNull() & (F.col("_n") > 1))
+    if expectation.parent not in parents:
+        raise ValueError(f"{expectation.label} needs the table {expectation.parent}")
+    known = parents[expectation.parent].select(F.col(f"`{expectation.parent_column}`").alias("_value")).distinct()
+    # both sides have each value once
+    met = values.join(known.withColumn("_known", F.lit(True)), "_value", "left")
+    return met.select("_value", "_n", (F.col("_value").isNotNull() & F.col("_known").isNull()).alias("_bad"))
+
+
+def _compare_rows(df: DataFrame, expectation: Expectation, position: int, parents: Mapping[str, DataFrame]) -> DataFrame:
+    zero = F.lit(0).cast("bigint")
+    counts = _values(df, expectation, parents).agg(
+        F.coalesce(F.sum("_n"), zero).alias("element_count"),
+        F.coalesce(F.sum(F.when(F.col("_value").isNull(), F.col("_n"))), zero).alias("null_count"),
+        F.coalesce(F.sum(F.when(F.col("_bad"), F.col("_n"))), zero).alias("unexpected_count"),
+    )
+    first = [F.lit(position).alias("position"), F.lit(expectation.kind).alias("expectation"), F.lit(expectation.column).alias("column_name")]
+    return counts.select(*first, "*", (F.col("unexpected_count") == 0).alias("success"))
+
+
+def unexpected_rows(
+    df: DataFrame, expectation: Expectation, parents: Mapping[str, DataFrame] | None = None, pieces: int = 1000, min_rows: int = 100_000
+) -> DataFrame:
+    """The rows that break one expectation, for those that compare rows too. Rows of a hot value are spread over several tasks
+    (:func:`~tarnkit.operators.lookups.left_lookup`)."""
+    if not expectation.compares_rows:
+        broken = expectation.violated()
+        return df.filter(F.lit(False) if broken is None else broken)
+    bad = _values(df, expectation, parents or {}).filter("_bad").select("_value", "_bad")
+    keyed = df.withColumn("_value", F.col(f"`{expectation.column}`"))
+    return left_lookup(keyed, bad, ["_value"], pieces=pieces, min_rows=min_rows).filter("_bad").drop("_value", "_bad")
+
+
+def run_suite_by(df: DataFrame, suite: Suite, by: Sequence[str]) -> DataFrame:
+    """The suite for each group of the columns ``by``, for each group of the first ones of them, and for all rows, in one scan.
+
+    Columns: ``by`` (null where a total goes over them), ``level`` (how many of them the group is of), then those of :func:`run_suite`. A null in a column is a group of its own; ``level``
+    tells it from a total. Each task reduces its rows to one for each group first, so a group with most rows costs no more. Expectations that compare rows are refused.
+    """
+    if any(e.compares_rows for e in suite.expectations):
+        raise ValueError("an expectation that compares rows has no place in groups")
+    missing = [c for c in by if c not in df.columns]
+    if missing or not by:
+        raise ValueError(f"no such columns: {', '.join(missing) or 'none given'}")
+    measures, results = _measures(df, suite)
+    # a column summed over sets its bit, the last column the lowest one
+    level = F.lit(len(by)) - F.bit_count(F.grouping_id())
+    counted = df.rollup(*(F.col(f"`{c}`") for c in by)).agg(level.cast("int").alias("level"), *(m.alias(name) for name, m in measures.items()))
+    return counted.select(*by, "level", F.inline(F.array(*results)))
+
+
+def _run_alone(df: DataFrame, suite: Suite) -> DataFrame:
+    measures, results = _measures(df, suite)
+    counted = df.agg(*(m.alias(name) for name, m in measures.items())) if measures else df.sparkSession.range(1)
+    return counted.select(F.inline(F.array(*results)))
+
+
+def _measures(df: DataFrame, suite: Suite) -> tuple[dict[str, Column], list[Column]]:
+    """The aggregates that the suite needs, and its result rows over them."""
     present = set(df.columns)
     measures, results = {}, []
     for position, expectation in enumerate(suite.expectations):
@@ -130,11 +234,7 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
         )
     if not results:
         raise ValueError(f"suite {suite.name} is empty")
-    if measures:
-        counted = df.agg(*(m.alias(name) for name, m in measures.items()))
-    else:
-        counted = df.sparkSession.range(1)
-    return counted.select(F.inline(F.array(*results)))
+    return measures, results
 
 
 def overall(results: DataFrame) -> DataFrame:

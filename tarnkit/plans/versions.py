@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnkit.operators.changes import apply_changes
+from tarnkit.operators.difference import diff_rows
 from tarnkit.operators.layout import gather_partitions
 from tarnkit.operators.merge import merge
 from tarnkit.operators.profile import with_run_metrics
@@ -105,6 +106,10 @@ class VersionedTable:
             raise UnknownSnapshot(f"{self.path} has no snapshot {snapshot_id}")
         return self._load(snapshot_id)
 
+    def difference(self, before: int, after: int, keys: Sequence[str] = ()) -> DataFrame:
+        """What one snapshot has and the other has not (:func:`~tarnkit.operators.difference.diff_rows`)."""
+        return diff_rows(self.read(before), self.read(after), keys)
+
     # -- writing --------------------------------------------------------------------------
 
     def _stage(
