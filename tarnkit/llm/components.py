@@ -12,9 +12,12 @@ from tarnkit.session import scratch_folder
 SHORT = 100_000
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts its lineage in a place that outlives executors."""
+def stored(df: DataFrame, label: str, slim: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts its lineage in a place that outlives executors. A ``slim`` table, of a few numbers a
+    row, is written by two tasks a core at most, so that many shuffle partitions don't make as many small files."""
     folder = scratch_folder(df.sparkSession, label)
+    if slim:
+        df = df.coalesce(2 * max(1, df.sparkSession.sparkContext.defaultParallelism))
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
@@ -34,11 +37,11 @@ def components(edges: DataFrame) -> DataFrame:
     is only ever aggregated to its minimum, which is combined before the shuffle. A list of at most SHORT edges is one
     partition (:func:`gathered`), where Spark needs no shuffle for the same steps.
     """
-    links = stored(edges.select("a", "b").filter("a != b").distinct(), "edges")
+    links = stored(edges.select("a", "b").filter("a != b").distinct(), "edges", slim=True)
     before = None
     while True:
         links = gathered(links)
-        links = stored(_tie(_tie(links, larger=True), larger=False), "edges")
+        links = stored(_tie(_tie(links, larger=True), larger=False), "edges", slim=True)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if now == before:
             break

@@ -134,7 +134,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Data
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), lists], ["cls", "shingles"]).filter(pa.array(new, pa.bool_()))
 
-    wanted = stored(wanted, "wanted")
+    wanted = stored(wanted, "wanted", slim=True)
     rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"))
     held = maybe_in(rows, F.xxhash64("doc"), key_bits(wanted, F.xxhash64("doc")))
     shingled = held.mapInArrow(shingle, "cls binary, shingles array<bigint>")
@@ -169,7 +169,7 @@ def postings(classes: DataFrame) -> DataFrame:
     values that no other class has come first and are not posted at all.
     """
     elements = classes.select("cid", F.posexplode("signature").alias("at", "value")).select(F.xxhash64("at", "value").alias("key"), "cid")
-    shared = stored(elements.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
+    shared = stored(elements.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared", slim=True)
     # most values of one class alone stay where they are
     likely = maybe_in(elements, F.col("key"), key_bits(shared, F.col("key"), SHARED_BITS), SHARED_BITS)
     # 20 bits of the frequency before 43 of the hash
@@ -195,12 +195,12 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc
 
     Their wide sketches rule out most of the others before any set is fetched. A set is then shuffled once to meet all pairs it is second in. The first ones are broadcast if
     they are few (pivots are), up to BROADCAST_SHINGLES in all; beyond that a second join brings them."""
-    pairs = stored(pairs, "pairs")
+    pairs = stored(pairs, "pairs", slim=True)
     few = F.broadcast if pairs.count() <= SHORT else lambda names: names
     for side in ("a", "b"):
         pairs = few(pairs).join(classes.select(F.col("cid").alias(side), F.col("wide").alias(f"wide_{side}")), side)
     words = [[F.element_at(f"wide_{side}", k + 1) for k in range(WIDE // 8)] for side in ("a", "b")]
-    pairs = stored(pairs.filter(_agreeing(*words) >= LIKELY).select("a", "b"), "likely")
+    pairs = stored(pairs.filter(_agreeing(*words) >= LIKELY).select("a", "b"), "likely", slim=True)
     few = F.broadcast if pairs.count() <= SHORT else lambda names: names
     asked = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     sets = stored(_sets_of(docs, classes.select("cls", "cid", "doc").join(few(asked), "cid", "left_semi"), text, doc_id), "sets")
@@ -255,7 +255,7 @@ def _pivot_links(lists: DataFrame, chosen: DataFrame, sets: DataFrame) -> DataFr
         members = members.join(chosen.select("key", block).distinct(), "key")
     else:
         members = members.withColumn("block", F.lit(0).cast("bigint"))
-    members = stored(members.select("cid", "n_shingles", "block").distinct(), "members")
+    members = stored(members.select("cid", "n_shingles", "block").distinct(), "members", slim=True)
     most = members.groupBy("block").agg(F.sum("n_shingles").alias("n")).agg(F.max("n")).first()[0] or 0
     salts = max(-(-most // MEMBER_SHINGLES), -(-lists.sparkSession.sparkContext.defaultParallelism // blocks))
     salt = F.pmod(F.xxhash64("cid"), F.lit(salts)).cast("int").alias("salt")
@@ -348,34 +348,34 @@ def _labels(docs: DataFrame, classes: DataFrame, text: str, doc_id: str, known:
     longer list a few pivots at a time are compared with its members and then leave it; each round takes eight times as many pivots, until no list
     has two components: nothing is capped or dropped.
     """
-    posted = stored(postings(classes), "postings")
+    posted = stored(postings(classes), "postings", slim=True)
     edges = _links(_best_pivots(posted), classes, docs, text, doc_id)
-    edges = stored(edges.unionByName(known) if known is not None else edges, "links")
-    labels = stored(components(edges), "labels")
+    edges = stored(edges.unionByName(known) if known is not None else edges, "links", slim=True)
+    labels = stored(components(edges), "labels", slim=True)
     named = _labelled(posted, gathered(labels))
     members = named.select(*[c for c in named.columns if c != "keys"], F.explode("keys").alias("key"))
     spread = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n_list"))
-    open_ = stored(members.join(spread.filter("low != high").select("key", "n_list"), "key"), "open")
+    open_ = stored(members.join(spread.filter("low != high").select("key", "n_list"), "key"), "open", slim=True)
     short = open_.filter(F.col("n_list") <= SHORT_LIST).select("key", "cid", "label", "n_shingles", *SKETCH)
     right = short.toDF(*[c if c == "key" else f"r_{c}" for c in short.columns])
     apart = (F.col("cid") < F.col("r_cid")) & (F.col("label") != F.col("r_label"))
     pairs = short.join(right, "key").filter(apart & _may_link("", "r_")).select(F.col("cid").alias("a"), F.col("r_cid").alias("b"))
-    labels = _joined(labels, stored(_links(pairs.distinct(), classes, docs, text, doc_id), "links"))
+    labels = _joined(labels, stored(_links(pairs.distinct(), classes, docs, text, doc_id), "links", slim=True))
     lists = open_.filter(F.col("n_list") > SHORT_LIST).drop("label")
     if lists.isEmpty():
         return labels
-    lists = gathered(stored(_undecided(lists, gathered(labels)), "lists"))
+    lists = gathered(stored(_undecided(lists, gathered(labels)), "lists", slim=True))
     asked = lists.select("cid").distinct()
     sets = stored(_sets_of(docs, classes.select("cls", "cid", "doc").join(asked, "cid", "left_semi"), text, doc_id), "sets")
     middle = lists.filter(F.col("n_list") <= LONG_LIST)
-    labels = _joined(labels, stored(_pivot_links(middle, middle, sets), "links"))
-    lists = gathered(stored(_undecided(lists.filter(F.col("n_list") > LONG_LIST).drop("label", "n_label"), gathered(labels)), "lists"))
+    labels = _joined(labels, stored(_pivot_links(middle, middle, sets), "links", slim=True))
+    lists = gathered(stored(_undecided(lists.filter(F.col("n_list") > LONG_LIST).drop("label", "n_label"), gathered(labels)), "lists", slim=True))
     pivots = PIVOTS
     while not lists.isEmpty():
-        chosen = gathered(stored(_pivots(lists, pivots), "pivots"))
-        labels = _joined(labels, stored(_pivot_links(lists, chosen, sets), "links"))
-        lists = stored(lists.join(chosen.select("key", "cid"), ["key", "cid"], "left_anti").drop("label", "n_label"), "left")
-        lists = gathered(stored(_undecided(lists, gathered(labels)), "lists"))
+        chosen = gathered(stored(_pivots(lists, pivots), "pivots", slim=True))
+        labels = _joined(labels, stored(_pivot_links(lists, chosen, sets), "links", slim=True))
+        lists = stored(lists.join(chosen.select("key", "cid"), ["key", "cid"], "left_anti").drop("label", "n_label"), "left", slim=True)
+        lists = gathered(stored(_undecided(lists, gathered(labels)), "lists", slim=True))
         pivots *= 8
     return labels
 
@@ -399,7 +399,7 @@ def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
     if found.isEmpty():
         return labels
     stars = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-    return stored(components(stars.unionByName(found)), "labels")
+    return stored(components(stars.unionByName(found)), "labels", slim=True)
 
 
 def _one_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
