@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections import Counter
 from functools import lru_cache
 
@@ -27,9 +28,11 @@ ENDS_PARAGRAPH = BLOCK - frozenset("br caption body html option optgroup legend
 
 # parts of a page that are not its article: elements, roles, and words of class and id names
 DROPPED = frozenset(
-    "head nav header footer aside form script style noscript template iframe svg math button select textarea title "
-    "object canvas audio video dialog menu datalist".split()
+    "head nav footer aside script style noscript template iframe svg math button select textarea title label "
+    "object canvas audio video menu datalist".split()
 )
+#: Not part of the article either, unless they enclose it, as some pages' forms and headers do.
+MOSTLY_DROPPED = frozenset("header form dialog".split())
 DROPPED_ROLES = frozenset("navigation banner complementary contentinfo search dialog alertdialog alert menu menubar toolbar form".split())
 DROPPED_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside header masthead footer cookie cookies consent gdpr notice "
@@ -37,6 +40,8 @@ DROPPED_WORDS = frozenset(
     "subscribe subscription signup login share sharing social related recommended recommendations comment comments disqus respond "
     "replies reply widget toolbar pagination pager hidden".split()
 )
+#: Of these the words of what readers wrote.
+COMMENT_WORDS = frozenset("comment comments disqus respond replies reply".split())
 KEPT = frozenset("html body main article".split())
 # a name with one of these tells of a neighbour or child (has-sidebar), one that begins or ends with LAYOUT of how a box is laid out
 LINKING = frozenset("has with no without".split())
@@ -44,7 +49,7 @@ LAYOUT = frozenset("overflow layout wrap wrapper border outline backface".split(
 #: An article or main counts from this share of the page's prose on.
 LEAST_PROSE = 0.1
 
-#: A path keeps its innermost steps.
+#: A path keeps its innermost steps; those further out become one.
 PATH_STEPS = 16
 
 TAG = re.compile(
@@ -63,8 +68,8 @@ def _names_part(words: list[str]) -> bool:
 
 @lru_cache(maxsize=20_000)
 def _traits(tag: str, attributes: str) -> tuple[bool, int, str]:
-    """Whether an element is not part of the article for sure, or (1) by a name of its, or (2) by one of such words only;
-    and its step in a generalised path."""
+    """Whether an element is not part of the article for sure, or (1) by a name, role or style of its, or (2) by a name of such words only, or (3) as
+    one that tells of readers' comments; and its step in a generalised path."""
     found = {}
     for name, value in ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), html.unescape(value.strip("\"'")))
@@ -74,16 +79,18 @@ def _traits(tag: str, attributes: str) -> tuple[bool, int, str]:
         return True, 0, step
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
     hidden = hidden or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
-    if hidden or found.get("role", "").lower() in DROPPED_ROLES:
-        return True, 0, step
-    if tag in KEPT:
-        return False, 0, step
+    names = [[w.lower() for w in WORD.findall(name)] for name in [*classes, found.get("id", "")] if ":" not in name]
+    # sm:hidden and the like hold for some screens only
+    against = [words for words in names if words and _names_part(words)]
     named = 0
-    for name in [*classes, found.get("id", "")]:
-        words = [w.lower() for w in WORD.findall(name)]
-        # sm:hidden and the like hold for some screens only
-        if words and ":" not in name and _names_part(words):
-            named = max(named, 2 if DROPPED_WORDS.issuperset(words) else 1)
+    if tag not in KEPT:
+        named = max((2 if DROPPED_WORDS.issuperset(words) else 1 for words in against), default=0)
+        if tag in MOSTLY_DROPPED or found.get("role", "").lower() in DROPPED_ROLES:
+            named = max(named, 1)
+    if hidden:
+        named = max(named, 1)
+    if tag not in ("html", "body", "main") and any(COMMENT_WORDS.intersection((words[0], words[-1])) for words in against):
+        named = 3
     return False, named, step
 
 
@@ -96,6 +103,10 @@ class _Part:
     def holds(self, other: _Part) -> bool:
         return self is not other and self.start < other.start and other.end <= self.end
 
+    @property
+    def comments(self) -> bool:
+        return self.named == 3
+
 
 class Page:
     """One pass over a page. ``target`` is the path whose elements' text is wanted.
@@ -103,7 +114,8 @@ class Page:
     Text inside a block runs on; blocks and line breaks part it. Markup, comments and the parts that
     :data:`DROPPED` and the like name are left out. Unclosed and stray tags are taken as browsers mostly do.
 
-    A class or id drops no element that encloses the page's article or main, or most of its prose: such a page is read once more.
+    A class, id, role or style drops no element that encloses the page's article or main, or most of its prose, and neither do a form or a header: such a
+    page is read once more. Readers' comments are dropped however long they are, unless the page has nothing else.
     """
 
     def __init__(self, source: str, target: str | None = None):
@@ -147,17 +159,26 @@ class Page:
     def _spared(self) -> frozenset[int]:
         """Where the elements begin that names speak against, but that must be the article or enclose it."""
         against = [p for p in self.parts if p.named and p.prose]
-        chosen = [p for p in self.parts if not p.named and p.prose >= max(LEAST_PROSE * self.prose, 1)]
         if not against:
             return frozenset()
+        # an article within readers' comments is one of them
+        comments = [p for p in against if p.comments]
+        chosen = [p for p in self.parts if not p.named and p.prose >= max(LEAST_PROSE * self.prose, 1)]
+        chosen = [p for p in chosen if not any(c.holds(p) for c in comments)]
+        written = sum(c.prose for c in comments if not any(d.holds(c) for d in comments))
         mains = [max((p for p in chosen if p.tag == tag), key=lambda p: p.prose, default=None) for tag in ("article", "main")]
 
         def spare(part: _Part) -> bool:
             if any(m and part.holds(m) for m in mains):
                 return True
+            if part.comments:
+                return part.prose == self.prose
+            # readers' comments are no measure of what is the article
+            inside = sum(c.prose for c in comments if part.holds(c))
+            prose, whole = part.prose - inside, self.prose - written
             beside = max((c.prose - part.prose * c.holds(part) for c in chosen), default=0)
             most = 0.5 if part.named == 1 else 1 - LEAST_PROSE
-            return part.prose > most * self.prose and beside < 2 * LEAST_PROSE * self.prose
+            return prose > most * whole and beside < 2 * LEAST_PROSE * self.prose
 
         return frozenset(p.start for p in against if spare(p))
 
@@ -199,7 +220,9 @@ class Page:
             if not dropped and tag in CONTAINER:
                 above, path = path, f"{path}>{step}" if path else step
                 if path.count(">") >= PATH_STEPS:
-                    path = path.split(">", 1)[1]
+                    # unlike outer steps stay unlike
+                    first, second, inner = path.split(">", 2)
+                    path = f"~{zlib.crc32(f'{first}>{second}'.encode()):08x}>{inner}"
                 if path != above:
                     self.parents.setdefault(path, above)
                 wanted = wanted or path == target

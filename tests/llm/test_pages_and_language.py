@@ -46,6 +46,52 @@ def test_text_of_a_page(source, text):
     assert text_of(source) == text
 
 
+PROSE = "words of the article, one after the other, " * 6
+SAID = "<p>what a reader has to say about it, and more of that</p>"
+
+
+@pytest.mark.parametrize("name", ["post-comments", "comment-list", "comments-area", "comments", "respond", "disqus-thread"])
+@pytest.mark.parametrize("many", [1, 8, 60])
+def test_comments_are_no_article_however_long(name, many):
+    said = f"<section class='{name}'>{SAID * many}</section>"
+    replies = f"<section id='{name}'>{f'<article>{SAID}</article>' * many}</section>"
+    for source in (
+        f"<body><article><p>{PROSE}</p>{said}</article></body>",
+        f"<body><article><p>{PROSE}</p></article>{said}</body>",
+        f"<body><div><p>{PROSE}</p></div>{said}</body>",
+        f"<body><main><article><p>{PROSE}</p></article>{replies}</main></body>",
+    ):
+        assert text_of(source) == PROSE.strip()
+
+
+@pytest.mark.parametrize(
+    "opening", ["<form>", "<form id='aspnetForm' action='x'>", "<div aria-hidden='true'>", "<div style='display:none'>", "<div role='dialog'>", "<header>", "<div hidden>"]
+)
+def test_what_encloses_the_article_is_not_dropped(opening):
+    closing = f"</{opening[1:].split(' ')[0].rstrip('>')}>"
+    field = "<label>your name</label><input name='q'><select><option>one</option></select><button>go</button>"
+    for source in (
+        f"<body>{opening}<article><p>{PROSE}</p></article>{field}{closing}</body>",
+        f"<body><article>{opening}<p>{PROSE}</p>{field}{closing}</article></body>",
+        f"<body>{opening}<div><p>{PROSE}</p></div>{field}{closing}<div class='cookie-notice'>ok?</div></body>",
+    ):
+        assert text_of(source) == PROSE.strip()
+    beside = f"<body><article><p>{PROSE}</p></article>{opening}<p>not of the article</p>{closing}</body>"
+    assert text_of(beside) == PROSE.strip()
+
+
+def test_a_hidden_body_shows_its_article():
+    assert text_of(f"<body style='display:none'><div><p>{PROSE}</p></div><nav>menu</nav></body>") == PROSE.strip()
+
+
+def test_deep_containers_keep_their_outer_steps_apart():
+    deep = lambda name: f"<div class='{name}'>" + "<div>" * 30 + f"<p>{PROSE} {name}</p>" + "</div>" * 31
+    source = f"<body>{deep('a')}{deep('b')}</body>"
+    paths = {path for path, size in Page(source).direct.items() if size}
+    assert len(paths) == 2 and all(path.count(">") <= 16 for path in paths)
+    assert {Page(source, path).text() for path in paths} == {f"{PROSE}{name}" for name in "ab"}
+
+
 @pytest.mark.parametrize(
     "name", ["class='overflow-hidden'", "id='content-sidebar-wrap'", "class='layout-with-sidebar'", "class='sidebar-right'", "class='header-fixed'",
              "class='share-price'", "class='page-with-comments'", "class='sm:hidden'"],
