@@ -22,6 +22,8 @@ from tarnkit.session import local_rows
 SKETCH_SIZE = 4096
 MARGIN = 0.002
 PIECES = 2048
+# A bucket with more values than this is cut into buckets of its own before its values are ranked.
+MOST_RANKED = 1_000_000
 
 # Sketches are merged in this many groups of tasks first, so that no single task receives
 # one sketch from every task of a large scan.
@@ -76,7 +78,7 @@ def _buckets(long: DataFrame, grids: Mapping[str, Sequence[float]]) -> DataFrame
     # one row per column
     known = F.broadcast(local_rows(long.sparkSession, rows, GRID))
     n_marks = len(rows[0]["grid"]) - 2
-    region = " + ".join(f"int(value > grid[{i + 1}])" for i in range(n_marks))
+    region = " + ".join(f"int(value > grid[{i + 1}])" for i in range(n_marks)) or "0"
     step = f"greatest(0, least({PIECES - 1}, floor((value - left) / width * {PIECES})))"
     offset = f"CASE WHEN isnan(value) THEN {PIECES - 1} WHEN width > 0 AND width < double('inf') THEN {step} ELSE 0 END"
     return (
@@ -90,15 +92,70 @@ def _buckets(long: DataFrame, grids: Mapping[str, Sequence[float]]) -> DataFrame
     )
 
 
-def rank_exactly(long: DataFrame, grids: Mapping[str, Sequence[float]], probabilities: Sequence[float]) -> DataFrame:
+def rank_exactly(
+    long: DataFrame, grids: Mapping[str, Sequence[float]], probabilities: Sequence[float], most_ranked: int = MOST_RANKED
+) -> DataFrame:
     """``column`` and ``percentiles`` for long rows, given a grid per column: minimum, sketched
     marks, maximum. Interpolates between neighbours as Spark's ``percentile`` does.
 
-    Runs the histogram job; the driver gets two rows per column and probability from it.
+    Runs the histogram job; the driver gets two rows per column and probability from it. Where values leave a gap inside a bracket one bucket can hold nearly all of
+    it: a bucket with more than ``most_ranked`` values is cut again between its own smallest and largest value, round after round, so no task ranks more
+    values than that (but for infinite ones, whose distance has no parts).
     """
     cells = _buckets(long, grids)
-    # at most (marks + 1) * PIECES rows per column
-    counted = (
+    counted = _counted(cells)
+    places = [f"named_struct('which', {i}, 'place', double({p}) * (total - 1))" for i, p in enumerate(probabilities)]
+    wanted = (
+        counted.selectExpr("column", "bucket", "before", "n", f"inline(array({', '.join(places)}))")
+        .selectExpr("*", "inline(array(struct(0 AS side, floor(place) AS rank), struct(1 AS side, ceil(place) AS rank)))")
+        .filter("rank >= before AND rank < before + n")
+    )
+    # two rows for each column and probability: where a rank is, how many values come before and share its bucket
+    found = [r.asDict() | {"label": r.column} for r in wanted.collect()]
+    ends = []
+    while found:
+        large = [r for r in found if r["n"] > most_ranked]
+        ends.append(_ranked_in(cells, [r for r in found if r["n"] <= most_ranked]))
+        if not large:
+            break
+        # each large bucket becomes a column of its own, with ranks from its first value on
+        inside = local_rows(long.sparkSession, [{"column": c, "bucket": b} for c, b in {(r["column"], r["bucket"]) for r in large}], _BUCKET)
+        rows = cells.join(F.broadcast(inside), ["column", "bucket"]).select(F.concat("column", F.lit("/"), F.col("bucket").cast("string")).alias("column"), "value")
+        extremes = {r.column: (r.low, r.high) for r in rows.groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high")).collect()}
+        for r in large:
+            r["column"], r["rank"] = f"{r['column']}/{r['bucket']}", r["rank"] - r["before"]
+        cells = _buckets(rows, {c: list(ends_) for c, ends_ in extremes.items()})
+        asked = local_rows(long.sparkSession, [{k: r[k] for k in _ASKED.names} for r in large], _ASKED)
+        nested = _counted(cells).join(F.broadcast(asked), "column").filter("rank >= before AND rank < before + n").collect()
+        found = [r.asDict() for r in nested]
+        # one value, or infinite distances: a bucket that did not get smaller is ranked as it is
+        held = {(r["column"], r["which"], r["side"]): r["n"] for r in large}
+        if all(held[r["column"], r["which"], r["side"]] == r["n"] for r in found):
+            ends.append(_ranked_in(cells, found))
+            break
+    blend = "CASE WHEN low = high THEN low ELSE low * (1 - (place - floor(place))) + high * (place - floor(place)) END"
+    chosen = ", ".join(f"max(percentile) FILTER (WHERE which = {i})" for i in range(len(probabilities)))
+    both = ends[0]
+    for more in ends[1:]:
+        both = both.unionByName(more)
+    return (
+        both.groupBy("label", "which")
+        .agg(F.min_by("value", "side").alias("low"), F.max_by("value", "side").alias("high"), F.max("place").alias("place"))
+        .selectExpr("label AS column", "which", f"{blend} AS percentile")
+        .groupBy("column")
+        .agg(F.expr(f"array({chosen}) AS percentiles"))
+    )
+
+
+_BUCKET = T.StructType().add("column", T.StringType()).add("bucket", T.IntegerType())
+#: label: the column's own name; place: the fractional rank that is asked for; rank: the whole one below (side 0) or above it (1), counted within the (nested) column.
+_ASKED = T.StructType([T.StructField(n, t) for n, t in (("column", T.StringType()), ("label", T.StringType()), ("which", T.IntegerType()), ("side", T.IntegerType()), ("place", T.DoubleType()), ("rank", T.LongType()))])
+_FOUND = T.StructType([*_ASKED, T.StructField("bucket", T.IntegerType()), T.StructField("before", T.LongType())])
+
+
+def _counted(cells: DataFrame) -> DataFrame:
+    """column, bucket, n, before (values in lower buckets), total: at most (marks + 1) * PIECES rows per column."""
+    return (
         cells.groupBy("column", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
         .selectExpr(
@@ -107,33 +164,23 @@ def rank_exactly(long: DataFrame, grids: Mapping[str, Sequence[float]], probabil
             "sum(n) OVER (PARTITION BY column) AS total",
         )
     )
-    places = [f"named_struct('which', {i}, 'place', double({p}) * (total - 1))" for i, p in enumerate(probabilities)]
-    wanted = (
-        counted.selectExpr("column", "bucket", "before", "n", f"inline(array({', '.join(places)}))")
-        .selectExpr("*", "explode(array(floor(place), ceil(place))) AS rank")
-        .filter("rank >= before AND rank < before + n")
-        .drop("n")
-    )
-    found = F.broadcast(local_rows(long.sparkSession, [r.asDict() for r in wanted.collect()], wanted.schema))
-    ends = (
-        cells.join(found.select("column", "bucket"), ["column", "bucket"], "left_semi")
+
+
+def _ranked_in(cells: DataFrame, found: list[dict]) -> DataFrame:
+    """label, which, place, side and the value there, for ranks whose buckets are known."""
+    rows = [{k: r[k] for k in _FOUND.names} for r in found]
+    wanted = F.broadcast(local_rows(cells.sparkSession, rows, _FOUND))
+    return (
+        cells.join(wanted.select("column", "bucket").distinct(), ["column", "bucket"], "left_semi")
         .groupBy("column", "bucket", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
         .selectExpr(
             "*",
             "sum(copies) OVER (PARTITION BY column, bucket ORDER BY value ROWS UNBOUNDED PRECEDING) - copies AS skipped",
         )
-        .join(found, ["column", "bucket"])
+        .join(wanted, ["column", "bucket"])
         .filter("rank >= before + skipped AND rank < before + skipped + copies")
-        .groupBy("column", "which")
-        .agg(F.expr("min_by(value, rank) AS low"), F.expr("max_by(value, rank) AS high"), F.expr("max(place) AS place"))
-    )
-    blend = "CASE WHEN low = high THEN low ELSE low * (1 - (place - floor(place))) + high * (place - floor(place)) END"
-    chosen = ", ".join(f"max(percentile) FILTER (WHERE which = {i})" for i in range(len(probabilities)))
-    return (
-        ends.selectExpr("column", "which", f"{blend} AS percentile")
-        .groupBy("column")
-        .agg(F.expr(f"array({chosen}) AS percentiles"))
+        .select("label", "which", "place", "side", "value")
     )
 
 

@@ -108,7 +108,7 @@ def trip_suite(
     count: str = "passenger_count", start: str = "pickup_datetime", end: str = "dropoff_datetime"
 ) -> Suite:
     """The five checks of the trip table."""
-    suite = Suite("taxi_data_suite")
+    suite = Suite("trip_suite")
     for expectation in (
         column_exists(count),
         values_between(count, 1, 8),

@@ -1,10 +1,12 @@
 import math
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tarnkit.operators import percentiles
 from tarnkit.operators.percentiles import exact_percentiles
 from tarnkit.operators.profile import profile, with_run_metrics
 
@@ -73,3 +75,33 @@ def test_run_metrics_come_with_the_write(spark, folder):
     counted, seen = with_run_metrics(df, "run", ["v"])
     counted.write.parquet(f"{folder}/out")
     assert seen.get == {"n_rows": 2, "v_nulls": 1}
+
+
+@pytest.mark.parametrize("kind", ["gap", "copies", "infinite", "spread"])
+def test_large_buckets_are_cut_again(spark, monkeypatch, kind):
+    """Few values are ranked in one task: where most lie close together beside a gap, one value is most of them, or a bracket has no end."""
+    rng = np.random.default_rng(5)
+    values = {
+        "gap": np.r_[rng.random(4000) * 1e-9, 1e12, -1e12],
+        "copies": np.r_[np.full(3000, 7.25), rng.random(1000)],
+        "infinite": np.r_[rng.random(2000), np.full(1500, np.inf), np.full(1400, -np.inf)],
+        "spread": rng.normal(size=4000),
+    }[kind]
+    monkeypatch.setattr(percentiles, "MARGIN", 0.4)
+    df = spark.createDataFrame([(float(v), float(-v)) for v in values], "v double, w double").repartition(4)
+    asked = (0.1, 0.25, 0.5, 0.75, 0.99)
+    partial = {c: df.agg(F.min(c), F.max(c)).first() for c in "vw"}
+    grids = {c: [partial[c][0], *[float(np.quantile(df.toPandas()[c], p, method="lower")) for p in percentiles.marks(asked)], partial[c][1]] for c in "vw"}
+    ranked = []
+    plain = percentiles._ranked_in
+    monkeypatch.setattr(percentiles, "_ranked_in", lambda cells, found: ranked.extend(found) or plain(cells, found))
+    found = {r.column: r.percentiles for r in percentiles.rank_exactly(percentiles.to_long(df, ["v", "w"]), grids, asked, most_ranked=50).collect()}
+    for c, sign in (("v", 1), ("w", -1)):
+        ordered = np.sort(sign * values)
+        for p, got in zip(asked, found[c]):
+            place = p * (len(ordered) - 1)
+            low, high = ordered[math.floor(place)], ordered[math.ceil(place)]
+            share = place - math.floor(place)
+            assert got == low if low == high else math.isclose(got, low * (1 - share) + high * share, rel_tol=1e-12)
+    if kind in ("gap", "spread"):
+        assert max(r["n"] for r in ranked) <= 50
