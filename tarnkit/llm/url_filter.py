@@ -21,7 +21,7 @@ LEXICON_SHARE = 1e-5
 #: A smaller corpus counts as one of so many words, or single letters would pass for words.
 LEAST_TOTAL = 1_000_000
 
-#: Hosts with one of these words are the classifier's examples of what to block (a parameter, not a verdict).
+#: Hosts with one of these words are examples of what to block where no rule decides (a parameter, not a verdict).
 BLOCK_SEEDS = tuple(
     "adult ads bet bets betting casino escort gambling jackpot lottery malware nude payday phishing pharmacy pills poker porn slots spam "
     "viagra warez xxx".split()
@@ -128,14 +128,17 @@ def best_split(name: str, counts: dict[str, float], total: int) -> list[str]:
 def classify_urls(
     urls: DataFrame, texts: DataFrame, seeds: Sequence[str] = BLOCK_SEEDS, lexicon: Sequence[str] = HOST_WORDS
 ) -> DataFrame:
-    """host, kind, block, log_odds for the kinds of URLs in ``urls`` (host, path).
+    """host, kind, block, log_odds for the kinds of URLs in ``urls`` (host, path, and ``decision``, block or allow, where one is known; the column may be left out).
 
-    Host names are cut at all but letters and segmented (:func:`segment`). Hosts with one of the words ``seeds`` are examples
-    to block, all others examples to allow; multinomial naive Bayes with add-one smoothing learns the words of hosts and paths
+    Host names are cut at all but letters and segmented (:func:`segment`). URLs with a decision are examples of it; of the others those on hosts with one of the words
+    ``seeds`` are examples to block, the rest examples to allow; multinomial naive Bayes with add-one smoothing learns the words of hosts and paths
     from all URLs and scores every kind: block is whether blocking is likelier. URLs with one host and path kind are counted
     together first, so a host with very many pages is one row from then on. Without a URL of either class the score is that of smoothing alone.
     """
-    kinds = stored(urls.groupBy("host", path_kind(F.col("path")).alias("kind")).agg(F.count(F.lit(1)).alias("n")), "kinds")
+    decision = F.col("decision") if "decision" in urls.columns else F.lit(None).cast("string")
+    counts = {"n": F.count(F.lit(1)), "n_block": F.count_if(decision == "block"), "n_allow": F.count_if(decision == "allow")}
+    kinds = urls.groupBy("host", path_kind(F.col("path")).alias("kind")).agg(*[c.alias(name) for name, c in counts.items()])
+    kinds = stored(kinds, "kinds")
     hosts = kinds.select("host").distinct()
     parts = hosts.select("host", F.explode(F.regexp_extract_all("host", F.lit("([a-z]+)"), F.lit(1))).alias("name"))
     words = segment(parts.select("name").distinct(), texts, [*seeds, *lexicon])
@@ -145,16 +148,16 @@ def classify_urls(
     host_words = F.coalesce("host_words", none)
     seed = F.arrays_overlap(host_words, F.array(*map(F.lit, seeds)))
     tokens = F.concat(F.transform(host_words, lambda w: F.concat(F.lit("h:"), w)), F.transform(path_words(F.col("kind")), lambda w: F.concat(F.lit("p:"), w)))
-    examples = stored(
-        kinds.join(known, "host").select("host", "kind", "n", seed.cast("int").alias("seed"), tokens.alias("tokens")), "examples"
-    )
-    by_token = examples.select("n", "seed", F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.sum(F.col("n") * F.col("seed")).alias("n_block"), F.sum(F.col("n") * (1 - F.col("seed"))).alias("n_allow")
+    block = F.col("n_block") + seed.cast("int") * (F.col("n") - F.col("n_block") - F.col("n_allow"))
+    examples = kinds.join(known, "host").select("host", "kind", block.alias("n_block"), (F.col("n") - block).alias("n_allow"), tokens.alias("tokens"))
+    examples = stored(examples, "examples")
+    by_token = examples.select("n_block", "n_allow", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.sum("n_block").alias("n_block"), F.sum("n_allow").alias("n_allow")
     )
     by_token = stored(by_token, "token-counts")
     size = by_token.agg(F.count(F.lit(1)), F.sum("n_block"), F.sum("n_allow")).first()
     vocabulary, all_block, all_allow = size[0], size[1] or 0, size[2] or 0
-    pages = examples.agg(F.sum(F.col("n") * F.col("seed")), F.sum(F.col("n") * (1 - F.col("seed")))).first()
+    pages = examples.agg(F.sum("n_block"), F.sum("n_allow")).first()
     prior = math.log(((pages[0] or 0) + 1) / ((pages[1] or 0) + 1))
     shift = math.log((all_allow + vocabulary + 1) / (all_block + vocabulary + 1))
     weights = by_token.select("token", (F.log(F.col("n_block") + 1) - F.log(F.col("n_allow") + 1) + shift).alias("weight"))
@@ -178,16 +181,16 @@ def filter_urls(
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict (allow or block) and log_odds of blocking.
 
-    The longest fitting rule decides (:func:`rule_of`), without one the classifier (:func:`classify_urls`), with word counts from all of
+    The longest fitting rule decides (:func:`rule_of`), without one the classifier (:func:`classify_urls`), which learns from what the rules decided too, with word counts from all of
     ``texts`` (its first column). Null urls and those without ``://`` have an empty host and path, no rule and the verdict of their kind,
     which has no words and so follows the prior. Repeated rows are kept; columns of these names in the input are replaced.
     """
     address = F.col(f"`{url}`")
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict", "log_odds")]
     rows = pages.select(*kept, host_of(address).alias("host"), path_of(address).alias("path"))
-    kinds = stored(classify_urls(rows.select("host", "path"), texts, seeds, lexicon), "url-kinds")
+    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    kinds = stored(classify_urls(rows.select("host", "path", verdict.alias("decision")), texts, seeds, lexicon), "url-kinds")
     kinds = F.broadcast(kinds) if fits_broadcast(kinds) else kinds
     found = rows.withColumn("kind", path_kind(F.col("path"))).join(kinds, ["host", "kind"], "left")
-    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     learnt = F.when(F.coalesce("block", F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
     return found.select(*kept, "host", "path", rule.alias("rule"), F.coalesce(verdict, learnt).alias("verdict"), "log_odds")
