@@ -34,8 +34,8 @@ class LateSplit:
     def start(self, rows: DataFrame, checkpoint: str, every: str | None = None):
         """Start the split of a stream; returns the running query, which ends when all that is there was split, or goes on ``every`` so often.
 
-        One pass writes a batch's rows in two folders and finds its latest time on the way. A batch that failed is written again in place; one that is in
-        the log is left as it is, so each row is in the result once. ``rows`` must have no column ``late``.
+        One pass writes a batch's rows in two folders; what was written is then counted, and its latest time found, from that column alone. A batch that failed is written
+        again in place; one that is in the log is left as it is, so each row is in the result once. ``rows`` must have no column ``late``.
         """
         if LATE in rows.columns:
             raise ValueError(f"the rows have a column of their own named {LATE}")
