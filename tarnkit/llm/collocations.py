@@ -20,8 +20,8 @@ SEPARATORS = r"[.,;:!?\x0a-\x0d]"
 NO_LANG = "und"
 #: Suffixes that a bucket holds on average at most, and buckets for each shuffle partition at least.
 BUCKET_SUFFIXES, BUCKETS_A_PARTITION = 1 << 20, 2
-#: Bits of the filter of frequent words: 2 MB.
-FILTER_BITS = 24
+#: Bits of the filters of frequent words, 2 MB, and of those too frequent for one bucket.
+FILTER_BITS, HOT_BITS = 24, 20
 #: Bytes of words that are broadcast at most.
 BROADCAST_WORDS = 16 << 20
 
@@ -65,17 +65,27 @@ def collocations(
     frequent = stored(words.filter(F.col("n") >= least), "frequent-words")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(BUCKETS_A_PARTITION * partitions, -(-total // BUCKET_SUFFIXES))
-    # fewer words than buckets have more occurrences than a bucket has room for
-    hot = frequent.filter(F.col("n") > total // buckets).select("code").toArrow().column("code").to_numpy()
-    bits = key_bits(frequent, F.col("code"), FILTER_BITS).toArrow()
-    words_of_bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    words_of_bits[bits.column("_word").to_numpy()] = bits.column("_mask").to_numpy().view(np.uint64)
-    packs = rows.mapInArrow(_suffixes(seed, max_words, buckets, np.sort(hot.view(np.uint64)), words_of_bits), _PACK)
+    # words with more occurrences than a bucket has room for; one that the filter takes for such is parted likewise, which changes no count
+    hot = _filter(frequent.filter(F.col("n") > total // buckets), HOT_BITS)
+    packs = rows.mapInArrow(_suffixes(seed, max_words, buckets, hot, _filter(frequent, FILTER_BITS)), _PACK)
     counted = packs.groupBy("bucket").applyInArrow(_sort_bucket(max_words, least), "codes array<bigint>, n bigint")
     phrases = stored(counted.groupBy("codes").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "phrases")
     return _ranked(_scored(phrases, frequent), phrases, words, frequent, max_words, top, percent)
 
 
+def _filter(words: DataFrame, bits: int) -> np.ndarray:
+    """The filter of the words' codes, 64 bits in a number."""
+    found = key_bits(words, F.col("code"), bits).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found.column("_word").to_numpy()] = found.column("_mask").to_numpy().view(np.uint64)
+    return out
+
+
+def _passes(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = codes >> np.uint64(64 - (len(bits).bit_length() + 5))
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 def _words(rows: DataFrame, seed: int) -> DataFrame:
     """lang, word, code, n: how often each language's words occur."""
 
@@ -125,11 +135,10 @@ def _suffixes(seed: int, length: int, buckets: int, hot: np.ndarray, frequent: n
         for chunk in text_chunks(batches, 1):
             found = _Words(chunk, seed)
             codes = np.r_[np.uint64(0), found.codes]
-            at = codes >> np.uint64(64 - FILTER_BITS)
-            keep = (frequent[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+            keep = _passes(codes, frequent)
             keep[0] = False
             suffixes, counts = _distinct_suffixes(np.where(keep[found.at + 1], found.at + 1, 0), found.pieces, length, len(codes))
-            is_hot = np.isin(codes, hot)
+            is_hot = _passes(codes, hot)
             split = is_hot[suffixes[:, 0]] & is_hot[suffixes[:, 1]]
             routed = np.zeros(len(suffixes), np.uint64)
             for k in range(length):
