@@ -24,7 +24,7 @@ SIMILARITY = 75
 #: threshold shares 24 on average; fewer than 10 happens once in about 29 million such pairs.
 COORDINATES, MATCHES = 32, 10
 #: Coordinates of which eight bits are kept, the first COORDINATES among them, and how many must agree before sets are fetched: of a pair at the threshold 72
-#: agree on average, fewer than LIKELY once in some hundred million pairs.
+#: agree on average, fewer than LIKELY once in 26 million pairs.
 WIDE, LIKELY = 96, 48
 #: Bits of the filter of values that more than one class has: 4 MB.
 SHARED_BITS = 24
