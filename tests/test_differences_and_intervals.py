@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tarnkit.operators import intervals
 from tarnkit.operators.difference import diff_rows, with_copies
 from tarnkit.operators.intervals import interval_join
 from tarnkit.plans.versions import VersionedTable
@@ -126,3 +127,16 @@ def test_interval_join_has_no_nested_loop(spark):
     rows = spark.createDataFrame(_intervals(3, 50, "bigint"), SIDE.format("bigint"))
     plan = interval_join(rows, rows, ("a", "b"), ("a", "b"), prefix="r_")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("length", [1000, 4100, 32000])
+def test_interval_join_compares_little_more_than_it_finds(spark, monkeypatch, length):
+    made = []
+    monkeypatch.setattr(intervals, "_binned", lambda *given, keep=intervals._binned: made.append(keep(*given)) or made[-1])
+    points = spark.range(4000).select((F.col("id") * 50).alias("a"), (F.col("id") * 50).alias("b"), "id")
+    spans = spark.range(400).select((F.col("id") * 437).alias("a"), (F.col("id") * 437 + length).alias("b"), "id")
+    found = interval_join(points, spans, ("a", "b"), ("a", "b"), prefix="r_").count()
+    bins = [[c for c in side.columns if c in ("_by", "_at", "_bin")] for side in made]
+    lefts, rights = (side.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for side, keys, n in zip(made, bins, ("l", "r")))
+    compared = lefts.join(rights, bins[0]).agg(F.sum(F.col("l") * F.col("r"))).first()[0]
+    assert found > 5000 and compared < 2.2 * found, (compared, found)
