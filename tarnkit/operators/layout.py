@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,17 @@ def gather_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by)
 
 
+def sorted_parts(df: DataFrame, rows: int, stored_bytes: int, part_bytes: int) -> int:
+    """Into how many equal parts to cut the rows so that sorting one holds about ``part_bytes``.
+
+    A row counts as Spark lays it out: eight bytes a column, 24 more for text and nested values, 40 for itself and its place in the
+    sort. Long values are told by the stored size instead, which is taken to grow fourfold.
+    """
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    width = 40 + sum(8 if isinstance(f.dataType, fixed) else 32 for f in df.schema)
+    return max(1, math.ceil(max(rows * width, 4 * stored_bytes) / part_bytes))
+
+
 def hashable(kind: T.DataType) -> bool:
     """Whether values of the type can be hashed and compared."""
     if isinstance(kind, T.StructType):
@@ -41,6 +53,7 @@ def zorder_layout(
     files: int | None = None,
     partition_by: Sequence[str] = (),
     row_key: Sequence[str] = (),
+    parts: int | None = None,
 ) -> DataFrame:
     """Lay rows out so that each file covers a narrow stretch of the Z-order curve.
 
@@ -53,18 +66,22 @@ def zorder_layout(
     again, at the price of a local sort.
 
     ``files`` is the number of range partitions. Left out, adaptive execution sizes them by
-    its advisory size.
+    its advisory size. ``parts``, where it is more, is the number of sorts with output partitions, so that a task's does not grow with its file; a part is
+    then a task of the write.
     """
-    count = [] if files is None else [files]
+    runs = max(files, parts) if files and parts and partition_by else files
+    count = [] if runs is None else [runs]
     where = [F.col(p) for p in partition_by] + [F.col(code)]
     order = [*partition_by, code]
     if row_key:
         tie = F.xxhash64(*(F.col(k) for k in row_key))
-        return df.repartitionByRange(*count, *where, tie).sortWithinPartitions(*order)
-    tied = (
-        df.withColumn("_tie", row_hash(df))
-        .sortWithinPartitions(*order, "_tie")
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    laid = tied.repartitionByRange(*count, *where, "_tie", "_place")
-    return laid.sortWithinPartitions(*order).drop("_tie", "_place")
+        laid = df.repartitionByRange(*count, *where, tie).sortWithinPartitions(*order)
+    else:
+        tied = (
+            df.withColumn("_tie", row_hash(df))
+            .sortWithinPartitions(*order, "_tie")
+            .withColumn("_place", F.monotonically_increasing_id())
+        )
+        laid = tied.repartitionByRange(*count, *where, "_tie", "_place")
+        laid = laid.sortWithinPartitions(*order).drop("_tie", "_place")
+    return laid

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnkit.functions import with_time_parts, with_zorder
-from tarnkit.operators.layout import gather_partitions, zorder_layout
+from tarnkit.operators.layout import gather_partitions, sorted_parts, zorder_layout
 from tarnkit.operators.profile import profile, with_run_metrics
 from tarnkit.operators.records import keep_positive, with_bucket
 from tarnkit.operators.retention import instant
@@ -24,6 +24,8 @@ from tarnkit.sources.landing import stored_size
 # Default partition columns and target file size.
 PARTITION_BY = ("year", "month", "day")
 TARGET_FILE_BYTES = 536870912
+# Rows that one task sorts, as they lie in memory.
+SORT_BYTES = 536870912
 
 
 @dataclass(frozen=True)
@@ -73,11 +75,13 @@ def transform_trips(
     max_rows_per_file: int | None = None,
     overwrite_partitions_only: bool = False,
     zones_path: str | None = None,
+    sort_bytes: int = SORT_BYTES,
 ) -> TransformResult:
     """Clean a trip dataset and write it as a partitioned Parquet table.
 
     ``cluster`` lays each partition out along the Z-order curve with one range shuffle, in as many
-    equal parts as the input holds ``target_file_bytes``, whatever the cluster; it samples its input first. Without it a rebalance gathers each
+    equal parts as the input holds ``target_file_bytes``, whatever the cluster, and in more where a part's rows would take over
+    ``sort_bytes`` of memory to sort (see :func:`zorder_layout`); it counts and samples its input first. Without it a rebalance gathers each
     partition in a single pass, sized by the session's advisory partition size. Either way no
     task has to write a whole hot partition. ``row_key`` names columns that tell rows apart;
     without it they are told apart by the file and position they were read from. ``zones_path``
@@ -90,9 +94,12 @@ def transform_trips(
         trips = trips.withColumn("_origin", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     cleaned = clean_trips(trips, columns, bounds, passenger_buckets)
     if cluster:
-        files = max(1, math.ceil(stored_size(spark, input_path)[1] / target_file_bytes))
+        stored = stored_size(spark, input_path)[1]
+        files = max(1, math.ceil(stored / target_file_bytes))
+        # rows of Parquet are counted from its footers
+        parts = sorted_parts(cleaned, trips.count(), stored, sort_bytes)
         placed = zorder_layout(
-            cleaned, files=files, partition_by=partition_by, row_key=row_key or ("_origin",)
+            cleaned, files=files, partition_by=partition_by, row_key=row_key or ("_origin",), parts=parts
         ).drop("_origin")
     else:
         placed = gather_partitions(cleaned, partition_by)

@@ -1,8 +1,10 @@
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tarnkit.operators.layout import sorted_parts
 from tarnkit.operators.merge import append_rows
 from tarnkit.operators.quality import QualityError, trip_suite
 from tarnkit.plans.transform import TripColumns, partition_range, transform_trips
@@ -214,3 +216,32 @@ def test_scratch_folders_are_fresh_and_shared(spark):
     one, two = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert one != two and (root is None or one.startswith(root))
     assert RECOMMENDED_SETTINGS["spark.sql.adaptive.enabled"] == "true"
+
+
+@pytest.fixture
+def many_trips(spark, folder):
+    rows = spark.range(0, 20000, 1, 4).select(
+        F.lit(1).alias("passenger_count"),
+        (F.lit(datetime(2024, 3, 1)).cast("timestamp_ntz") + F.make_interval(hours=(F.col("id") % 96).cast("int"))).alias("pickup_datetime"),
+        (F.hash("id") % 180).cast("double").alias("pickup_longitude"),
+        (F.hash(F.col("id") + 1) % 90).cast("double").alias("pickup_latitude"),
+        "id",
+    )
+    rows.write.parquet(f"{folder}/many")
+    return f"{folder}/many"
+
+
+def test_a_transform_task_sorts_no_more_than_its_share(spark, folder, many_trips):
+    done = transform_trips(spark, many_trips, f"{folder}/out", partition_by=["year"], sort_bytes=250_000)
+    assert _ids(done.table) == list(range(20000))
+    sizes = [r.n_rows for r in done.zones.collect()]
+    # about 150 bytes a row, all of one year: nothing but the sort asks for a second file
+    assert len(sizes) >= 8 and max(sizes) < 4000, sizes
+
+
+def test_sorted_parts_follow_rows_and_stored_bytes(spark):
+    narrow, wide = spark.range(1), spark.range(1).select("id", *(F.lit("x").alias(f"c{i}") for i in range(20)))
+    assert sorted_parts(narrow, 0, 0, 100) == 1
+    assert sorted_parts(narrow, 10**9, 10, 1 << 29) * 9 < sorted_parts(wide, 10**9, 10, 1 << 29)
+    assert sorted_parts(narrow, 10, 1 << 40, 1 << 29) == 8192
+    assert sorted_parts(narrow, 6 * 10**9, 10, 1 << 29) >= 5.9 * sorted_parts(narrow, 10**9, 10, 1 << 29)
