@@ -66,10 +66,14 @@ def zorder_layout(
     again, at the price of a local sort.
 
     ``files`` is the number of range partitions. Left out, adaptive execution sizes them by
-    its advisory size. ``parts``, where it is more, is the number of sorts with output partitions, so that a task's does not grow with its file; a part is
-    then a task of the write.
+    its advisory size. ``parts``, where it is more, is the number of sorts, so that a task's does not grow with its file. With output partitions a part is
+    then a task of the write. Without, neighbouring parts go on to one task a file in a second shuffle, which sorts nothing: each file
+    still covers its own stretch of the curve, as one sorted run for each part.
     """
-    runs = max(files, parts) if files and parts and partition_by else files
+    runs = files if files is None or not parts else max(files, parts)
+    joined = bool(files) and not partition_by and runs > files
+    if joined:
+        runs = -(-runs // files) * files
     count = [] if runs is None else [runs]
     where = [F.col(p) for p in partition_by] + [F.col(code)]
     order = [*partition_by, code]
@@ -84,4 +88,8 @@ def zorder_layout(
         )
         laid = tied.repartitionByRange(*count, *where, "_tie", "_place")
         laid = laid.sortWithinPartitions(*order).drop("_tie", "_place")
-    return laid
+    if not joined:
+        return laid
+    # a part's number is its task's, as a range shuffle into a given number is not coalesced
+    numbered = laid.withColumn("_file", F.floor(F.spark_partition_id() / F.lit(runs // files)).cast("int"))
+    return numbered.repartitionById(files, "_file").drop("_file")

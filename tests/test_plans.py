@@ -239,6 +239,16 @@ def test_a_transform_task_sorts_no_more_than_its_share(spark, folder, many_trips
     assert len(sizes) >= 8 and max(sizes) < 4000, sizes
 
 
+def test_files_of_many_sorted_parts_keep_their_number_and_ranges(spark, folder, many_trips):
+    size = sum(f.stat().st_size for f in Path(many_trips).glob("*.parquet"))
+    done = transform_trips(spark, many_trips, f"{folder}/out", partition_by=[], target_file_bytes=-(-size // 3), sort_bytes=250_000)
+    assert _ids(done.table) == list(range(20000))
+    files = done.table.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"), F.min("z_order_col").alias("low"), F.max("z_order_col").alias("high"))
+    files = sorted((r.low, r.high, r.n) for r in files.collect())
+    assert len(files) == 3 and max(n for *_, n in files) < 9000
+    assert all(a[1] <= b[0] for a, b in zip(files, files[1:]))
+
+
 def test_sorted_parts_follow_rows_and_stored_bytes(spark):
     narrow, wide = spark.range(1), spark.range(1).select("id", *(F.lit("x").alias(f"c{i}") for i in range(20)))
     assert sorted_parts(narrow, 0, 0, 100) == 1
