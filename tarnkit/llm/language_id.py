@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from tarnkit.llm.components import stored
-from tarnkit.llm.workers import add_columns, slices
+from tarnkit.llm.workers import add_columns, lean, slices
 from tarnkit.operators.lookups import fits_broadcast
 
 #: n-grams of 1 to LONGEST letters and gaps, hashed to BUCKETS.
@@ -156,7 +156,7 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str
                 bits = [r.tobytes() if ok else None for r, ok in zip(np.packbits(rows, axis=1), lettered)]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(bits, pa.binary())], ["lang", "turn", "hash", "bits"])
 
-    marked = sample.mapInArrow(grams, "lang string, turn int, hash bigint, bits binary").filter("bits IS NOT NULL")
+    marked = sample.mapInArrow(lean(grams), "lang string, turn int, hash bigint, bits binary").filter("bits IS NOT NULL")
     # repeated rows are put together in the tasks
     once = marked.groupBy("lang", "turn", "hash").agg(F.min("bits").alias("bits"))
     found = sorted(once.limit(TEXTS).collect(), key=lambda r: (r.turn, r.lang))

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window as W
 
 from tarnkit.llm.components import SHORT, components, gathered, stored
 from tarnkit.llm.keyfilter import key_bits, maybe_in
-from tarnkit.llm.workers import slices
+from tarnkit.llm.workers import lean, slices
 
 WORDS = 5
 #: Percent of shared shingles that links two documents.
@@ -105,7 +105,7 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", more
 
     rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"), *more)
     schema = T.StructType([*T._parse_datatype_string("doc bigint, cls binary, n_shingles bigint, signature array<int>, wide array<bigint>"), *rows.schema[2:]])
-    return rows.mapInArrow(sign, schema)
+    return rows.mapInArrow(lean(sign), schema)
 
 
 def text_tag(text: str = "text") -> Column:
@@ -137,7 +137,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Data
     wanted = stored(wanted, "wanted", slim=True)
     rows = docs.select(_doc(doc_id), F.col(f"`{text}`").cast("string"))
     held = maybe_in(rows, F.xxhash64("doc"), key_bits(wanted, F.xxhash64("doc")))
-    shingled = held.mapInArrow(shingle, "cls binary, shingles array<bigint>")
+    shingled = held.mapInArrow(lean(shingle), "cls binary, shingles array<bigint>")
     few = F.broadcast if wanted.count() <= SHORT else lambda names: names
     return shingled.join(few(wanted.select("cls", "cid")), "cls").select("cid", "shingles")
 

@@ -29,6 +29,25 @@ def prefix_counts(path: str) -> PrefixCounts:
     return PrefixCounts(path)
 
 
+def forget() -> None:
+    """Drop what a worker has kept from the tasks of operators that count tokens."""
+    chunk_ids.cache_clear()
+    prefix_counts.cache_clear()
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for tasks that count no tokens: Spark keeps a worker for whatever tasks come next, so it forgets what others left and gives its batches' memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def slices(batch: pa.RecordBatch, rows: int):
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
@@ -44,5 +63,5 @@ def add_columns(rows: DataFrame, added: T.StructType, compute: Callable[[pa.Reco
             for part in slices(batch, size):
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(part)], [*names, *added.names])
 
-    found = rows.toDF(*names).mapInArrow(run, T.StructType([*types, *added.fields]))
+    found = rows.toDF(*names).mapInArrow(lean(run), T.StructType([*types, *added.fields]))
     return found.toDF(*rows.columns, *added.names)

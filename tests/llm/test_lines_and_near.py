@@ -4,13 +4,16 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnkit.llm import near_dedup
 from tarnkit.llm.components import components
 from tarnkit.llm.line_dedup import dedup_lines, keep_bitmaps
 from tarnkit.llm.near_dedup import near_duplicates
+from tarnkit.llm.workers import add_columns, chunk_ids, prefix_counts
 from tests.llm.brute import keep_lines, near_components, shingles
 
 LINES = ["A line that many documents hold", "a line THAT many documents hold ", "short", "", "\tanother line of more than twenty points", "  ", "Ünïcode line with more than twenty ÄÖ"]
@@ -163,3 +166,20 @@ def test_near_duplicates_of_null_and_repeated_ids(docs):
     out = near_duplicates(docs([(None, one), (None, "x"), (4, one)])).collect()
     assert {(r.doc_id, r.component_id, r.kept) for r in out} == {(None, None, True), (4, None, False)}
     assert near_duplicates(docs([])).count() == 0
+
+
+def test_tasks_leave_nothing_in_their_workers(docs, bpe, monkeypatch):
+    rows, runs = docs(["some text"]), []
+    wanted = rows.sparkSession.createDataFrame([(b"c", 1, 2)], "cls binary, cid bigint, doc bigint")
+    mapped = type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, run, schema: runs.append(run) or mapped(self, run, schema))
+    near_dedup.signatures(rows)
+    near_dedup._sets_of(rows, wanted, "text", "doc_id")
+    add_columns(rows.select("doc_id", "text"), T.StructType().add("n", "long"), lambda part: [pa.array([1] * part.num_rows)], 2)
+    assert len(runs) == 3
+    batch = pa.RecordBatch.from_pydict({"doc": [1, 2, 3], "text": ["a text of a few words", "other words", None]})
+    for run in runs:
+        chunk_ids(bpe).of_text("a text")
+        prefix_counts(bpe)
+        assert sum(out.num_rows for out in run(iter([batch])))
+        assert chunk_ids.cache_info().currsize == prefix_counts.cache_info().currsize == 0
