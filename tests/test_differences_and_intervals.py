@@ -2,9 +2,11 @@ import random
 from collections import Counter
 from datetime import date, datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 from tarnkit.operators import intervals
 from tarnkit.operators.difference import diff_rows, with_copies
 from tarnkit.operators.intervals import interval_join
@@ -140,3 +142,17 @@ def test_interval_join_compares_little_more_than_it_finds(spark, monkeypatch, le
     lefts, rights = (side.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for side, keys, n in zip(made, bins, ("l", "r")))
     compared = lefts.join(rights, bins[0]).agg(F.sum(F.col("l") * F.col("r"))).first()[0]
     assert found > 5000 and compared < 2.2 * found, (compared, found)
+
+
+def test_hot_bins_read_every_event(spark, folder):
+    rng, kinds, begin = random.Random(7), ["error", "purchase", "purchase", "view"], datetime(2024, 1, 1)
+    events = [(i if i % 50 else None, begin + timedelta(minutes=rng.randrange(30000)), rng.choice(kinds), rng.choice([0.5, 3.2, 39.9, 40.0, 77.0, 480.5, None])) for i in range(400)]
+    rows = spark.createDataFrame([(i, at, 1, kind, value, "{}") for i, at, kind, value in events], "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    rows.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    spans = [(i, at, at + timedelta(hours=int(value))) for i, at, kind, value in events if kind == "purchase" and value is not None]
+    pairs = Counter((i, p) for i, at, kind, _ in events if kind == "error" for p, since, till in spans if since <= at <= till)
+    found = registered.queries()["overlapping_hot_bins"](spark, folder).collect()
+    assert Counter((r.event_id, r.p_event_id) for r in found) == pairs
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    assert Counter(connection.sql(registered.oracle_sql()["overlapping_hot_bins"]).fetchall()) == pairs
