@@ -144,6 +144,30 @@ def test_interval_join_compares_little_more_than_it_finds(spark, monkeypatch, le
     assert found > 5000 and compared < 2.2 * found, (compared, found)
 
 
+@pytest.mark.parametrize("partitions", [8, 5000])
+@pytest.mark.parametrize("turned", [False, True])
+def test_interval_join_of_hot_bins_is_not_left_to_few_tasks(spark, partitions, turned):
+    settings = {
+        "spark.sql.shuffle.partitions": partitions, "spark.sql.autoBroadcastJoinThreshold": -1,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    points = spark.range(6000).select((F.col("id") * 50).alias("a"), (F.col("id") * 50).alias("b"), "id")
+    spans = spark.range(50).select((F.col("id") * 5900).alias("a"), (F.col("id") * 5900 + 30000).alias("b"), "id")
+    sides = (spans, points) if turned else (points, spans)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = interval_join(*sides, ("a", "b"), ("a", "b"), prefix="r_", pieces=40, min_rows=3)
+        made = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(made) == sum(1 for s in range(50) for p in range(6000) if s * 5900 <= p * 50 <= s * 5900 + 30000)
+        assert len(made) > 15 and max(made) < sum(made) / 4, made
+        assert found.rdd.getNumPartitions() < 200
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_hot_bins_read_every_event(spark, folder):
     rng, kinds, begin = random.Random(7), ["error", "purchase", "purchase", "view"], datetime(2024, 1, 1)
     events = [(i if i % 50 else None, begin + timedelta(minutes=rng.randrange(30000)), rng.choice(kinds), rng.choice([0.5, 3.2, 39.9, 40.0, 77.0, 480.5, None])) for i in range(400)]
